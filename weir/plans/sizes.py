@@ -1,0 +1,16 @@
+"""Size checks before a side of a join is broadcast."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``df`` if it is counted to be small, else leave it to Spark.
+
+    Counting stops at the limit. For narrow tables: one row per shard or rule.
+    """
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
