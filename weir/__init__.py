@@ -1,7 +1,30 @@
 """Rule-based routing of JSON records with Spark DataFrames."""
 
+import sys as _sys
+
+from pyspark import cloudpickle as _cloudpickle
+
 from .functions import *  # noqa: F401,F403
-from .functions import __all__ = [
+from .functions import __all__ as _functions
+from .operators.batches import batch_by_size, batch_by_time, batch_key
+from .operators.cache import cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove
+from .operators.project import SEND_ALL, outbound
+from .operators.route import Record, apply_rule, match_counts, route, split_by_destination
+from .operators.unique import (
+    key_hash, seen_add, seen_clear, seen_count, seen_lookup, seen_remove, unique_filter, unique_flag,
+)
+from .plans.rules import Rule, RuleSet, load_ruleset, read_rulesets, ruleset_table
+from .session import local_session, tune, work_folder
+from .sinks.batch_files import read_batches, write_batches
+from .sinks.emit import emit_envelope
+from .sinks.registry import call, publish, register_function, register_sink, register_source, source
+from .sources.envelope import (
+    ENVELOPE, deaggregate, decode_snappy, drop_empty, from_position, sequence_key, tail_positions,
+)
+from .streaming.runner import run_router
+from .streaming.state import stream_cache, stream_unique
+
+__all__ = [
     *_functions, "ENVELOPE", "Record", "Rule", "RuleSet", "SEND_ALL", "apply_rule", "batch_by_size",
     "batch_by_time", "batch_key", "cache_asof", "cache_check", "cache_clear", "cache_fetch", "cache_put",
     "cache_remove", "call", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
@@ -11,3 +34,6 @@ from .functions import __all__ = [
     "sequence_key", "source", "split_by_destination", "stream_cache", "stream_unique", "tail_positions",
     "tune", "unique_filter", "unique_flag", "work_folder", "write_batches",
 ]
+
+# Functions run inside tasks travel with them, so executors need no copy of this package.
+_cloudpickle.register_pickle_by_value(_sys.modules[__name__])

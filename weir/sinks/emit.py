@@ -7,9 +7,10 @@ import gzip
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def gzip_bytes(values: pa.Array) -> pa.Array:
     packed = [None if v is None else gzip.compress(v, mtime=0) for v in values.to_pylist()]
     return pa.array(packed, pa.binary())

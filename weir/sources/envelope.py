@@ -84,7 +84,7 @@ def _unpack(data: bytes) -> bytes:
     return pa.Codec("snappy").decompress(data, decompressed_size=size, asbytes=True)
 
 
-def _mapped(step, returns: str, arrow_type: pa.DataType, mode: str):
+def _mapped(step, returns: T.DataType, arrow_type: pa.DataType, mode: str):
     """``step`` over Arrow batches of binary values; what fails is NULL or an error."""
     strict = mode == "FAILFAST"
 
@@ -111,7 +111,7 @@ def deaggregate(df: DataFrame, data: str = "data", mode: str = "FAILFAST") -> Da
     kept, the digest is not verified. Only aggregated rows reach Python.
     """
     _check(mode)
-    split = _mapped(_payloads, "array<binary>", pa.list_(pa.binary()), mode)
+    split = _mapped(_payloads, T.ArrayType(T.BinaryType()), pa.list_(pa.binary()), mode)
     packed = F.substring(data, 1, len(AGGREGATED_MAGIC)) == F.lit(AGGREGATED_MAGIC)
     parts = F.when(packed, split(F.when(packed, F.col(data)))).otherwise(F.array(data))
     if mode == "PERMISSIVE":
@@ -124,7 +124,7 @@ def deaggregate(df: DataFrame, data: str = "data", mode: str = "FAILFAST") -> Da
 def decode_snappy(df: DataFrame, data: str = "data", into: str = "record", mode: str = "FAILFAST") -> DataFrame:
     """Replace compressed ``data`` by the record text it holds."""
     _check(mode)
-    plain = _mapped(_unpack, "binary", pa.binary(), mode)
+    plain = _mapped(_unpack, T.BinaryType(), pa.binary(), mode)
     out = df.withColumn(into, plain(F.col(data)).cast("string"))
     if into != data:
         out = out.drop(data)
