@@ -35,7 +35,7 @@ def batch_by_size(df: DataFrame, max_bytes: int, order: Sequence[Column | str],
     if max_bytes < 1:
         raise ValueError("max_bytes must be positive")
     out = carry_sum(df, {"__before": line_bytes(record).cast("bigint")}, order, scope=scope, buckets=buckets)
-    return out.withColumn(into, F.floor(F.col("__before") / F.lit(max_bytes))).drop("__before")
+    return out.withColumn(into, F.expr(f"__before div {int(max_bytes)}")).drop("__before")
 
 
 def batch_key(ts: Column | str, shard: Column | str) -> Column:

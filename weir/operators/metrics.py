@@ -20,7 +20,7 @@ def millis_behind(df: DataFrame, shard: str = "shard_id", ts: str = "arrival_ts"
     newest = df.groupBy(shard).agg(F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("__newest"))
     # One row per shard, so the window over everything stays small.
     lag = F.max("__newest").over(Window.partitionBy()) - F.col("__newest")
-    return newest.select(shard, F.floor(lag / 1000).alias("millis_behind"))
+    return newest.select(shard, lag.alias("__lag")).select(shard, F.expr("__lag div 1000").alias("millis_behind"))
 
 
 def with_dims(points: DataFrame, base: Mapping[str, str], dims: str = "dims") -> DataFrame:
