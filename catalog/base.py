@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weir import tune
+from weir import as_envelope, read_records, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,7 +35,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with their nested number ``k`` and a real timestamp."""
-    df = table(spark, sf_dir, "events")
+    return _with_k(table(spark, sf_dir, "events"))
+
+
+def _with_k(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "ts": F.col("ts").cast("timestamp"),
         "k": F.get_json_object("props", "$.k").cast("int"),
@@ -48,7 +51,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``maybe`` is sometimes JSON null, ``mixed`` a number as text, plain text, a
     boolean or null, ``list`` an array or plain text.
     """
-    df = events(spark, sf_dir)
+    df = _with_k(read_records(spark, f"{sf_dir}/events.parquet"))
     turn = F.pmod("event_id", F.lit(4))
     mixed = (
         F.when(turn == 0, F.concat(F.lit(" "), F.col("k").cast("string"), F.lit(" ")).cast("variant"))
@@ -81,14 +84,10 @@ REC = """rec AS (
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as stream envelopes of eight shards, the payload not compressed."""
-    df = events(spark, sf_dir)
-    return df.select(
-        F.concat(F.lit("shard-"), F.pmod("user_id", F.lit(8)).cast("string")).alias("shard_id"),
-        (F.col("event_id") * 37).cast("string").alias("sequence_number"),
-        F.col("user_id").cast("string").alias("partition_key"),
-        F.col("ts").alias("arrival_ts"),
-        F.encode("props", "UTF-8").alias("data"),
-    )
+    return as_envelope(
+        events(spark, sf_dir),
+        shard=F.concat(F.lit("shard-"), F.pmod("user_id", F.lit(8)).cast("string")),
+        sequence=F.col("event_id") * 37, key="user_id", ts="ts", data=F.encode("props", "UTF-8"))
 
 
 ENV = """env AS (

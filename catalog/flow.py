@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from weir import (
     batch_by_size, batch_by_time, batch_key, deaggregate, decode_snappy, drop_empty, emit_envelope, from_position,
-    register_source, source, tail_positions,
+    invalid_records, register_source, source, tail_positions,
 )
 from weir.operators import metrics, progress
 from weir.sources.envelope import AGGREGATED_MAGIC, DIGEST_BYTES
@@ -112,6 +112,12 @@ def _(spark, d):
     return drop_empty(events(spark, d).select("event_id", blank.alias("record")))
 
 
+@query("invalid_records", "SELECT event_id, left(props, length(props) - 1) AS record FROM events WHERE event_type = 'error'")
+def _(spark, d):
+    broken = F.when(F.col("event_type") == "error", F.left("props", F.length("props") - 1)).otherwise(F.col("props"))
+    return invalid_records(events(spark, d).select("event_id", broken.alias("record")))
+
+
 @query("batch_by_time", """
 SELECT strftime(make_timestamp(CAST(floor(epoch(ts) / 3600) * 3600 AS BIGINT) * 1000000), '%Y-%m-%d %H:%M') AS batch,
        user_id % 8 AS shard_id, count(*) AS records, sum(strlen(props) + 1)::BIGINT AS bytes
@@ -225,6 +231,15 @@ def _(spark, d):
     return progress.resume(envelopes(spark, d), _after_commit(spark, d)).select("shard_id", "sequence_number")
 
 
+@query("progress_repeats", f"WITH {ENV} SELECT shard_id, sequence_number, payload FROM env")
+def _(spark, d):
+    # Everything after the middle is read twice.
+    env = envelopes(spark, d)
+    again = env.unionByName(from_position(env, "AFTER", _positions(env)))
+    once = progress.drop_repeats(again)
+    return once.select("shard_id", "sequence_number", F.decode("data", "UTF-8").alias("payload"))
+
+
 # Metrics ------------------------------------------------------------------
 
 @query("metric_record_count", f"WITH {ENV} SELECT shard_id, count(*) AS record_count FROM env GROUP BY shard_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weir import (
-    SEND_ALL, Rule, RuleSet, all_of, any_of, apply_rule, eq, ge, gt, lt, match_counts, ne, publish, route,
+    SEND_ALL, Rule, RuleSet, all_of, any_of, apply_rule, eq, ge, gt, lt, match_counts, ne, publish, read_records, route,
     ruleset_table, split_by_destination, sprintf, work_folder, write_batches, read_batches, run_router,
 )
 
@@ -84,7 +84,7 @@ def _(spark, d):
 SELECT 'returned' AS rule, count(*) AS matches FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 25
 UNION ALL SELECT 'open', count(*) FROM lineitem WHERE l_linestatus = 'O' OR l_discount > 0.05""")
 def _(spark, d):
-    df = table(spark, d, "lineitem")
+    df = read_records(spark, f"{d}/lineitem.parquet")
     df = df.select(F.to_json(F.struct("l_returnflag", "l_linestatus", "l_quantity", "l_discount")).alias("record"))
     rules = RuleSet([
         Rule("returned", "debug", send=SEND_ALL,

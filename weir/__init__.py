@@ -19,17 +19,19 @@ from .sinks.batch_files import read_batches, write_batches
 from .sinks.emit import emit_envelope
 from .sinks.registry import call, publish, register_function, register_sink, register_source, source
 from .sources.envelope import (
-    ENVELOPE, deaggregate, decode_snappy, drop_empty, from_position, sequence_key, tail_positions,
+    ENVELOPE, as_envelope, deaggregate, decode_snappy, drop_empty, from_position, invalid_records, sequence_key,
+    tail_positions,
 )
+from .sources.scan import read_records
 from .streaming.runner import run_router
 from .streaming.state import stream_cache, stream_unique
 
 __all__ = [
-    *_functions, "ENVELOPE", "Record", "Rule", "RuleSet", "SEND_ALL", "apply_rule", "batch_by_size",
+    *_functions, "ENVELOPE", "Record", "Rule", "RuleSet", "SEND_ALL", "apply_rule", "as_envelope", "batch_by_size",
     "batch_by_time", "batch_key", "cache_asof", "cache_check", "cache_clear", "cache_fetch", "cache_put",
     "cache_remove", "call", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
-    "from_position", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",
-    "read_batches", "read_rulesets", "register_function", "register_sink", "register_source", "route",
+    "from_position", "invalid_records", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",
+    "read_batches", "read_records", "read_rulesets", "register_function", "register_sink", "register_source", "route",
     "ruleset_table", "run_router", "seen_add", "seen_clear", "seen_count", "seen_lookup", "seen_remove",
     "sequence_key", "source", "split_by_destination", "stream_cache", "stream_unique", "tail_positions",
     "tune", "unique_filter", "unique_flag", "work_folder", "write_batches",

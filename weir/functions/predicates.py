@@ -52,38 +52,31 @@ def ne(left, right) -> Column:
     return ~eq(left, right)
 
 
-def _no_nan(x: Column) -> Column:
-    return F.nanvl(x, F.lit(None).cast("double"))
-
-
-def _ordered(left, right, compare, guard_left: bool) -> Column:
-    # Spark sorts NaN above every number; here an ordering with NaN is false.
-    # The lower side needs no guard against NaN unless the other one is NaN too.
-    literal = _is_literal(right)
-    if literal and math.isnan(literal_number(right)):
-        return F.lit(False)
-    low, high = as_number(left), as_number(right)
-    if guard_left or not literal:
-        low = _no_nan(low)
-    if not literal:
-        high = _no_nan(high)
-    return F.coalesce(compare(low, high), F.lit(False))
+def _ordered(left, right, compare) -> Column:
+    # NaN is NULL on both sides, so an ordering with NaN comes out false.
+    if _is_literal(right):
+        right = literal_number(right)
+        if math.isnan(right):
+            return F.lit(False)
+    else:
+        right = as_number(right)
+    return F.coalesce(compare(as_number(left), right), F.lit(False))
 
 
 def lt(left, right) -> Column:
-    return _ordered(left, right, operator.lt, False)
+    return _ordered(left, right, operator.lt)
 
 
 def le(left, right) -> Column:
-    return _ordered(left, right, operator.le, False)
+    return _ordered(left, right, operator.le)
 
 
 def gt(left, right) -> Column:
-    return _ordered(left, right, operator.gt, True)
+    return _ordered(left, right, operator.gt)
 
 
 def ge(left, right) -> Column:
-    return _ordered(left, right, operator.ge, True)
+    return _ordered(left, right, operator.ge)
 
 
 def all_of(*conditions: Column) -> Column:

@@ -51,19 +51,22 @@ class Views:
         self.uses: Counter[tuple] = Counter()
         self.columns: dict[tuple, str] = {}
         self._builders: dict[tuple, tuple[int, Callable[[], Column]]] = {}
+        self._made: dict[tuple, Column] = {}
 
     def view(self, key: tuple, level: int, build: Callable[[], Column], uses: int = 1) -> Column:
         self.uses[key] += uses
-        if key in self.columns:
-            return F.col(self.columns[key])
-        self._builders[key] = (level, build)
-        return build()
+        if key not in self._made:
+            if key not in self.columns:
+                self._builders[key] = (level, build)
+            self._made[key] = F.col(self.columns[key]) if key in self.columns else build()
+        return self._made[key]
 
     def share(self) -> None:
         """End the counting round: name a column for every view used twice."""
         for key, count in self.uses.items():
-            if count > 1 and key in self._builders:
+            if count > 1:
                 self.columns[key] = f"__view{len(self.columns)}"
+        self._made.clear()
 
     def project(self, df):
         """Add the shared columns; a view built on another comes one step later."""
@@ -106,8 +109,8 @@ class Json:
 
     @property
     def number(self) -> Column:
-        """As double, NULL where the text is no number."""
-        return self._view("number", 2, lambda: parse_number(self._text(uses=3)))
+        """What an ordering compares, see :func:`as_number`."""
+        return self._view("number", 2, lambda: ordinal(self._text(uses=3)))
 
     @property
     def exact_number(self) -> Column:
@@ -149,6 +152,11 @@ def parse_number(text: Column) -> Column:
     return F.coalesce(masked.try_cast("double"), special)
 
 
+def ordinal(text: Column) -> Column:
+    """0 for what is no number, NULL for NaN, which is in no order."""
+    return F.nanvl(F.coalesce(parse_number(text), F.lit(0.0)), F.lit(None).cast("double"))
+
+
 def json_number(text: Column) -> Column:
     return F.when(text.rlike(_JSON_NUMBER), text.try_cast("double"))
 
@@ -181,11 +189,11 @@ def as_text(x) -> Column:
 
 
 def as_number(x) -> Column:
-    """For ordering: 0 where missing, boolean or no number."""
+    """For ordering: 0 where missing, boolean or no number; NULL for NaN."""
     if isinstance(x, Json):
-        return F.coalesce(x.number, F.lit(0.0))
+        return x.number
     if isinstance(x, Column):
-        return F.coalesce(parse_number(x.cast("string")), F.lit(0.0))
+        return ordinal(x.cast("string"))
     return F.lit(literal_number(x))
 
 

@@ -73,7 +73,7 @@ def cache_check(keys: DataFrame, snapshot: DataFrame, on: Sequence[str]) -> Data
 
 def cache_remove(snapshot: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
     """The snapshot without the entries of ``keys``."""
-    return snapshot.join(keys, list(on), "left_anti")
+    return snapshot.join(keys.select(*on).distinct(), list(on), "left_anti")
 
 
 def cache_clear(snapshot: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,3 +63,12 @@ def finished_shards(progress: DataFrame) -> DataFrame:
 def resume(df: DataFrame, progress: DataFrame) -> DataFrame:
     """What is left to read after the committed positions."""
     return from_position(df, "AFTER", progress.select("shard_id", "sequence_number"))
+
+
+def drop_repeats(df: DataFrame, keys: Sequence[str] = ("shard_id", "sequence_number")) -> DataFrame:
+    """Each record once, after a reader has gone over some of them again.
+
+    Repeats are merged before the shuffle, so any number of copies is fine.
+    Add ``sub_seq`` to the keys for records split from aggregated ones.
+    """
+    return df.dropDuplicates(list(keys))

@@ -66,11 +66,14 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 
 def seen_lookup(df: DataFrame, seen: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key is in the seen table."""
+    seen = seen.distinct()
     return df.join(seen, _same_key(df, seen, seen.columns), "left_semi")
 
 
 def seen_remove(seen: DataFrame, gone: DataFrame) -> DataFrame:
     """The seen table without the keys of ``gone``."""
+    # Copies of a hot key are merged before they are shuffled.
+    gone = gone.select(*seen.columns).distinct()
     return seen.join(gone, _same_key(seen, gone, seen.columns), "left_anti")
 
 

@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_SAMPLES_PER_BUCKET = 40
+# The driver holds at most this many sampled rows per bucket, and this many buckets.
+_SAMPLES_PER_BUCKET = 20
+_MAX_BUCKETS = 10_000
 _LINEAR_LIMIT = 32
 
 
@@ -46,22 +48,16 @@ def with_order(df: DataFrame, order: Sequence[Column | str], prefix: str = "__or
 def split_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[tuple]:
     """About ``buckets - 1`` borders that cut ``df`` into even parts.
 
-    Runs a small job that reads the order columns only. One numeric column is
-    cut by approximate percentiles, anything else by a sample of bounded size.
+    Counts the rows and samples their order columns, reading no others. The
+    sample is of bounded size and only places the borders.
     """
-    if buckets < 2:
-        return []
-    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, T.NumericType):
-        cuts = [i / buckets for i in range(1, buckets)]
-        found = df.agg(F.percentile_approx(order[0], cuts, buckets * 10).alias("p")).first().p
-        return [(v,) for v in sorted(set(found or []))]
-    rows = df.count()
+    buckets = min(buckets, _MAX_BUCKETS)
+    rows = df.count() if buckets > 1 else 0
     if rows == 0:
         return []
     share = min(1.0, _SAMPLES_PER_BUCKET * buckets / rows)
     sample = sorted(tuple(r) for r in df.select(*order).sample(share, seed=7).collect())
-    picked = {sample[len(sample) * i // buckets] for i in range(1, buckets)} if sample else set()
-    return sorted(picked)
+    return sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
 
 
 def bucket_of(df: DataFrame, order: Sequence[str], points: list[tuple]) -> Column:

@@ -35,6 +35,8 @@ def local_session(cores: int = 8, name: str = "weir") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites in error messages cost several calls per expression built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for key, value in RUNTIME_CONF.items():

@@ -21,6 +21,17 @@ ENVELOPE = T.StructType([
     T.StructField("data", T.BinaryType()),
 ])
 
+
+def as_envelope(df: DataFrame, *, shard: Column | str, sequence: Column | str, key: Column | str,
+                ts: Column | str, data: Column | str) -> DataFrame:
+    """What a stream connector or table yields, as envelopes."""
+    given = (shard, sequence, key, ts, data)
+    return df.select(*[
+        (F.col(c) if isinstance(c, str) else c).cast(field.dataType).alias(field.name)
+        for c, field in zip(given, ENVELOPE)
+    ])
+
+
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 
 # Fixed values of the aggregated format: leading bytes and digest length.
@@ -135,6 +146,11 @@ def drop_empty(df: DataFrame, record: str = "record") -> DataFrame:
     return df.where(F.length(record) > 0)
 
 
+def invalid_records(df: DataFrame, record: str = "record") -> DataFrame:
+    """Records that are no JSON: every path of theirs is absent. For a quarantine."""
+    return df.where(F.try_parse_json(record).isNull())
+
+
 def sequence_key(sequence: Column | str) -> Column:
     """Orders opaque decimal sequence texts of any length."""
     text = F.col(sequence) if isinstance(sequence, str) else sequence
