@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weir import (
-    Rule, RuleSet, cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove, eq, key_hash, route,
-    seen_add, seen_clear, seen_count, seen_lookup, seen_remove, stream_cache, stream_unique, unique_filter,
+    Rule, RuleSet, cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove, eq, key_hash,
+    register_sink, route, run_router, seen_add, seen_clear, seen_count, seen_lookup, seen_remove, stream_cache, stream_unique, unique_filter,
     unique_flag, work_folder,
 )
 from weir.streaming.state import ROCKSDB
@@ -50,6 +50,15 @@ def _(spark, d):
     return route(records(spark, d), rules, keep=["event_id"], order=["event_id"]).select("event_id", "outbound")
 
 
+CACHING = RuleSet([
+    Rule("remember", "batch", when=lambda r: eq(r.json("event_type"), "purchase"),
+         send=lambda r: {"now": r.fetch("bought")},
+         cache=lambda r: {"bought": r.json("value")}, cache_matching_only=True),
+    Rule("after_click", "emit", when=lambda r: eq(r.fetch("before"), "click"),
+         send=lambda r: {"bought": r.fetch("bought")}, cache=lambda r: {"before": r.json("event_type")}),
+])
+
+
 @query("rule_cache", f"""
 WITH {REC}, kept AS (
   SELECT event_id, user_id, event_type, vtxt,
@@ -60,17 +69,39 @@ SELECT event_id, 'after_click' AS rule, '{{"bought":' || coalesce(bought, 'null'
 UNION ALL
 SELECT event_id, 'remember', '{{"now":' || bought || '}}' FROM kept WHERE event_type = 'purchase'""")
 def _(spark, d):
-    rules = RuleSet([
-        Rule("remember", "batch", when=lambda r: eq(r.json("event_type"), "purchase"),
-             send=lambda r: {"now": r.fetch("bought")},
-             cache=lambda r: {"bought": r.json("value")}, cache_matching_only=True),
-        Rule("after_click", "emit", when=lambda r: eq(r.fetch("before"), "click"),
-             send=lambda r: {"bought": r.fetch("bought")}, cache=lambda r: {"before": r.json("event_type")}),
-    ])
-    routed = route(records(spark, d), rules, keep=["event_id"], scope=["user_id"], order=["event_id"])
+    routed = route(records(spark, d), CACHING, keep=["event_id"], scope=["user_id"], order=["event_id"])
     return routed.select("event_id", "rule", "outbound")
 
 
+@query("stream_rules", f"""
+WITH {REC}, kept AS (
+  SELECT event_id, user_id, event_type, vtxt,
+         last_value(CASE WHEN event_type = 'purchase' THEN vtxt END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS bought,
+         lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before,
+         row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS nth
+  FROM rec)
+SELECT event_id, 'after_click' AS rule, '{{"bought":' || coalesce(bought, 'null') || '}}' AS outbound FROM kept WHERE before = 'click'
+UNION ALL
+SELECT event_id, 'remember', '{{"now":' || bought || '}}' FROM kept WHERE event_type = 'purchase'
+UNION ALL
+SELECT event_id, 'first', '{{}}' FROM kept WHERE nth = 1""")
+def _(spark, d):
+    out = work_folder(spark, "rules")
+
+    def rows(matches, batch_id, params):
+        matches.write.mode("overwrite").parquet(f"{out}/rows/{params['rule']}/b{batch_id}")
+
+    register_sink("rows", rows)
+    first = Rule("first", "rows", when=lambda r: eq(r.unique(r.json("user_id"), r.json("event_type")), True))
+    rules = RuleSet(
+        Rule(**{**rule.__dict__, "destination": "rows", "params": {"rule": rule.name}}) for rule in [*CACHING, first])
+    stream = _event_stream(spark, d).select(
+        "event_id", "user_id", F.to_json(F.struct("user_id", "event_type", "value")).alias("record"))
+    run_router(stream, rules, f"{out}/progress", keep=["event_id"], scope=["user_id"], order=["event_id"],
+               remember=None).awaitTermination()
+    return spark.read.parquet(f"{out}/rows/*/*").select("event_id", "rule", "outbound")
+
+
 _SEEN, _DOCS = "labels", "documents"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from weir import cache_asof, cache_fetch, unique_filter, unique_flag
 from weir.operators.batches import batch_by_size
-from weir.plans.carry import bucket_of, carry_last, carry_sum, split_points
+from weir.plans.carry import bucket_of, carry_last, carry_sum, find_split
 
 quick = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 rows_strategy = st.lists(
@@ -94,20 +94,27 @@ def test_key_parts_are_not_glued(spark):
 
 def test_bucket_search_is_the_same_for_few_and_many_borders(spark):
     df = spark.range(1000).withColumn("id", F.xxhash64("id"))
-    points = split_points(df, ["id"], 200)
-    assert 100 < len(points) < 200
+    hot, points = find_split(df, [], ["id"], 200)
+    assert len(hot) == 1 and 100 < len(points) < 200
     out = df.select("id", bucket_of(df, ["id"], points).alias("b")).collect()
     for row in out:
         assert row.b == sum(p <= row.id for (p,) in points)
 
 
-def test_hot_scope_is_split(spark):
-    df = spark.range(4000).select("id", F.lit("hot").alias("s"))
-    out = carry_last(df, {"got": F.struct(F.col("id").alias("v"))}, ["id"], scope=["s"], include_current=False, buckets=16)
-    points = split_points(df.withColumn("__order0", F.col("id")), ["__order0"], 16)
-    counts = df.groupBy(bucket_of(df, ["id"], points).alias("b")).count().collect()
-    assert len(counts) == 16 and max(r["count"] for r in counts) < 600
-    assert out.where("id > 0 and got.v != id - 1").count() == 0
+def test_only_hot_scopes_are_split(spark):
+    df = spark.range(12000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(
+        F.concat(F.lit("s"), (F.col("id") % 500).cast("string"))).alias("s"))
+    hot, points = find_split(df, ["s"], ["id"], 32)
+    assert hot == [df.where("s = 'hot'").select(F.xxhash64("s")).first()[0]]
+    buckets = df.where("s = 'hot'").groupBy(bucket_of(df, ["id"], points).alias("b")).count().collect()
+    assert 8 <= len(buckets) <= 14 and max(r["count"] for r in buckets) < 12000 // 32 * 3
+    args = dict(scope=["s"], include_current=False)
+    value = {"got": F.struct(F.col("id").alias("v"))}
+    split = carry_last(df, value, ["id"], buckets=32, **args)
+    whole = carry_last(df, value, ["id"], buckets=1, **args)
+    assert "Union" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in whole._jdf.queryExecution().optimizedPlan().toString()
+    assert split.exceptAll(whole).count() == whole.exceptAll(split).count() == 0
 
 
 def test_text_order_of_any_length(spark):

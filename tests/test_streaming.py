@@ -76,6 +76,71 @@ def test_rules_that_keep_state_are_refused_on_streams(spark, tmp_path):
         route(stream(spark, folder), rules, order=["i"])
 
 
+def test_rules_that_keep_state_remember_earlier_micro_batches(spark, tmp_path):
+    folder, where = str(tmp_path / "in"), str(tmp_path / "progress")
+    got, state = {}, {"fail": True}
+
+    def keep(matches, batch_id, params):
+        rows = [(r.rule, r.i, r.outbound) for r in matches.collect()]
+        got[batch_id] = [*got.get(batch_id, []), *rows]
+
+    def flaky(matches, batch_id, params):
+        if state["fail"] and batch_id == 2:
+            got.pop(2, None)
+            raise OSError("down")
+
+    register_sink("remembered", keep)
+    register_sink("flaky", flaky)
+    rules = RuleSet([
+        Rule("first", "remembered", when=lambda r: eq(r.unique(r.json("k")), True), send=lambda r: {"k": r.json("k")}),
+        Rule("seen", "remembered", send=lambda r: {"last": r.fetch("odd"), "before": r.fetch("all")}),
+        Rule("odd", "flaky", when=lambda r: eq(r.json("odd"), 1), cache=lambda r: {"odd": r.json("i")},
+             cache_matching_only=True),
+        Rule("all", "flaky", cache=lambda r: {"all": r.json("maybe")}),
+    ])
+    numbers = list(range(40))
+    rows = [(n, "ab"[n % 2 if n % 7 else 0], dt.datetime(2024, 1, 1),
+             json.dumps({"i": n, "odd": n % 2, "k": n % 6 if n < 20 else n % 9, "maybe": n if n % 3 else None}))
+            for n in numbers]
+    for i in range(0, 40, 10):
+        spark.createDataFrame(rows[i:i + 10], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+
+    def start():
+        return run_router(stream(spark, folder), rules, where, scope=["u"], order=["i"], remember=None, keep=["i"])
+
+    with pytest.raises(ValueError):
+        run_router(stream(spark, folder), rules, where, order=["i"])
+    with pytest.raises(StreamingQueryException):
+        start().awaitTermination()
+    state["fail"] = False
+    start().awaitTermination()
+    sent = [r for part in got.values() for r in part]
+
+    keys, cache, first, seen = set(), {}, {}, {}
+    for n, u, _, record in rows:
+        doc, own = json.loads(record), cache.setdefault(u, {})
+        if doc["k"] not in keys:
+            first[n] = {"k": doc["k"]}
+        keys.add(doc["k"])
+        seen[n] = {"before": own.get("all"), "last": own.get("odd")}
+        if doc["odd"]:
+            own["odd"] = n
+        own["all"] = doc["maybe"]
+    assert {i: json.loads(o) for rule, i, o in sent if rule == "first"} == first
+    assert {i: json.loads(o) for rule, i, o in sent if rule == "seen"} == seen
+    assert len(sent) == len(first) + len(seen)
+
+
+def test_seen_keys_are_forgotten_as_told(spark, tmp_path):
+    folder, got = str(tmp_path / "in"), []
+    register_sink("forgetful", lambda m, b, p: got.extend((b, r.outbound) for r in m.collect()))
+    for part in (range(0, 2), range(0, 1), range(3, 4), range(0, 2)):
+        add(spark, folder, part)
+    rules = RuleSet([Rule("r", "forgetful", when=lambda r: eq(r.unique(r.json("odd")), True), send=lambda r: {"o": r.json("odd")})])
+    run_router(stream(spark, folder), rules, str(tmp_path / "p"), order=["i"], remember=2).awaitTermination()
+    assert sorted(got) == [(0, '{"o":0}'), (0, '{"o":1}'), (3, '{"o":0}'), (3, '{"o":1}')]
+
+
 def test_unique_across_micro_batches(spark, tmp_path):
     folder = str(tmp_path / "in")
     for part in (range(0, 4), range(2, 8), range(0, 9)):

@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import Json, Views, as_text, as_variant, parse
-from ..plans.carry import carry_last, with_order
+from ..plans.carry import carry_last, last_written, with_order
 from ..plans.rules import Rule, RuleSet
 from .project import outbound
-from .unique import first_rows
+from .unique import first_rows, same_key
 
 
 class _State:
@@ -121,23 +121,24 @@ class _Bound:
             self.sends.append(body)
 
 
-def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope, order) -> DataFrame:
+def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope, order, memory) -> DataFrame:
     """Join first-seen flags and cached values to the records by row order."""
     state = bound.state
     if not state.uniques and not state.prior:
         return df
     if df.isStreaming:
-        raise ValueError("first-seen tests and caches of a stream need weir.streaming")
+        raise ValueError("first-seen tests and caches of a stream need weir.run_router")
     if not order:
         raise ValueError("rules that keep state need the order of the records")
 
-    def parsed(frame):
-        return views.project(frame.withColumn("__doc", parse(record)))
-
     df, names = with_order(df, order, "__row")
-    source = parsed(df)
+    source = views.project(df.withColumn("__doc", parse(record)))
     for name, keys, given in state.uniques:
-        firsts, found = first_rows(source, keys, names, given)
+        firsts, key_names, found = first_rows(source, keys, names, given)
+        if memory is not None:
+            seen = memory.seen(name, len(keys))
+            firsts = firsts.join(seen, same_key(firsts, seen, key_names), "left_anti")
+            memory.add_seen(name, firsts.select(*key_names))
         firsts = firsts.select(*[F.col(f).alias(n) for f, n in zip(found, names)], F.lit("true").alias(name))
         df = df.join(firsts, names, "left")
     if state.prior:
@@ -149,6 +150,11 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
         narrow = source.select(
             *names, *[F.col(s).alias(n) for s, n in zip(scope, scopes)],
             *[v.alias(f"__w{n}") for n, v in written.items()])
+        if memory is not None:
+            # What was cached before this micro-batch enters as rows without an order.
+            narrow = narrow.unionByName(memory.cached(narrow.drop(*names)), allowMissingColumns=True)
+            memory.put_cached(narrow.groupBy(*scopes).agg(
+                *[last_written(f"__w{n}", names).alias(f"__w{n}") for n in written]))
         carried = carry_last(narrow, {n: F.col(f"__w{n}") for n in written}, names, scope=scopes,
                              include_current=False)
         df = df.join(carried.select(*names, *written), names, "left")
@@ -156,13 +162,14 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
 
 
 def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequence[str] | None = None,
-          scope: Sequence[str] = (), order: Sequence[Column | str] = ()) -> DataFrame:
+          scope: Sequence[str] = (), order: Sequence[Column | str] = (), memory=None) -> DataFrame:
     """Every record through every rule; one output row per match.
 
     Returns ``keep`` (default: all columns but the record) and ``rule``,
     ``destination``, ``checkpoint``, ``outbound``. ``order`` and ``scope`` are
     needed only by rules that keep state: ``order`` must tell all records
-    apart, ``scope`` is what the cache is kept per.
+    apart, ``scope`` is what the cache is kept per. ``memory`` is the state
+    earlier micro-batches left (see :mod:`weir.streaming.memory`).
     """
     rules = list(ruleset)
     keep = [c for c in df.columns if c != record] if keep is None else list(keep)
@@ -171,7 +178,7 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
     views.share()
     bound = _Bound(rules, record, views)
 
-    df = _with_state(df, bound, views, record, scope, order)
+    df = _with_state(df, bound, views, record, scope, order, memory)
     df = views.project(df.withColumn("__doc", parse(record)))
     # One column per rule below the explode: each is computed only where its
     # predicate holds, and the record is parsed once for all of them.
@@ -189,6 +196,12 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
     return df.select(*keep, F.explode(found).alias("__hit")).select(*keep, "__hit.*")
 
 
+def keeps_state(ruleset: RuleSet, record: str = "record") -> bool:
+    """Whether a rule looks beyond the single record."""
+    state = _Bound(list(ruleset), record, Views()).state
+    return bool(state.uniques or state.prior)
+
+
 def apply_rule(df: DataFrame, rule: Rule, **options) -> DataFrame:
     return route(df, RuleSet([rule]), **options)
 

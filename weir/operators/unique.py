@@ -11,8 +11,8 @@ from ..plans.carry import as_column, with_order
 
 
 def first_rows(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str],
-               given: Column | None = None) -> tuple[DataFrame, list[str]]:
-    """The order columns of the first row of every key.
+               given: Column | None = None) -> tuple[DataFrame, list[str], list[str]]:
+    """Key and order columns of the first row of every key, and their names.
 
     Partial aggregation keeps a hot key from reaching one task row by row. The
     keys stay separate columns: ("a-b", "c") and ("a", "b-c") are two keys.
@@ -25,8 +25,9 @@ def first_rows(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colu
     key_names = [f"__key{i}" for i in range(len(keys))]
     grouped = df.select(*[as_column(k).alias(n) for k, n in zip(keys, key_names)], *names).groupBy(*key_names)
     if len(names) == 1:
-        return grouped.agg(F.min(names[0]).alias(names[0])).select(*names), names
-    return grouped.agg(F.min(F.struct(*names)).alias("__first")).select("__first.*"), names
+        return grouped.agg(F.min(names[0]).alias(names[0])), key_names, names
+    firsts = grouped.agg(F.min(F.struct(*names)).alias("__first"))
+    return firsts.select(*key_names, "__first.*"), key_names, names
 
 
 def unique_flag(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], *,
@@ -37,18 +38,18 @@ def unique_flag(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Col
     their order, not by key, so a hot key spreads over all partitions. With
     ``given``, only rows that satisfy it count as seen.
     """
-    firsts, names = first_rows(df, keys, order, given)
+    firsts, _, names = first_rows(df, keys, order, given)
     rows, _ = with_order(df, order)
-    marked = rows.join(firsts.withColumn("__hit", F.lit(True)), names, "left")
+    marked = rows.join(firsts.select(*names, F.lit(True).alias("__hit")), names, "left")
     flag = F.when(F.col("__hit"), "true").otherwise("false")
     return marked.select(*df.columns, flag.alias(into))
 
 
 def unique_filter(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str]) -> DataFrame:
     """Only the first row of every key."""
-    firsts, names = first_rows(df, keys, order)
+    firsts, _, names = first_rows(df, keys, order)
     rows, _ = with_order(df, order)
-    return rows.join(firsts, names, "left_semi").select(*df.columns)
+    return rows.join(firsts.select(*names), names, "left_semi").select(*df.columns)
 
 
 def seen_add(seen: DataFrame, new: DataFrame) -> DataFrame:
@@ -56,7 +57,7 @@ def seen_add(seen: DataFrame, new: DataFrame) -> DataFrame:
     return seen.select(*seen.columns).union(new.select(*seen.columns)).distinct()
 
 
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     conditions = [left[k].eqNullSafe(right[k]) for k in keys]
     out = conditions[0]
     for c in conditions[1:]:
@@ -67,14 +68,14 @@ def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
 def seen_lookup(df: DataFrame, seen: DataFrame) -> DataFrame:
     """The rows of ``df`` whose key is in the seen table."""
     seen = seen.distinct()
-    return df.join(seen, _same_key(df, seen, seen.columns), "left_semi")
+    return df.join(seen, same_key(df, seen, seen.columns), "left_semi")
 
 
 def seen_remove(seen: DataFrame, gone: DataFrame) -> DataFrame:
     """The seen table without the keys of ``gone``."""
     # Copies of a hot key are merged before they are shuffled.
     gone = gone.select(*seen.columns).distinct()
-    return seen.join(gone, _same_key(seen, gone, seen.columns), "left_anti")
+    return seen.join(gone, same_key(seen, gone, seen.columns), "left_anti")
 
 
 def seen_count(seen: DataFrame) -> DataFrame:

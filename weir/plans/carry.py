@@ -1,21 +1,24 @@
 """Ordered running state that splits hot scopes.
 
-``last``/``sum`` over everything before a row would, as one window, sort a
-whole scope in a single task. Here the order is cut into buckets first:
+``last``/``sum`` over everything before a row is a window per scope, and as
+such sorts a whole scope in a single task. Scopes too large for that, found by
+a bounded sample, are cut along the order into buckets:
 
 1. per (scope, bucket) the final state is aggregated (map-side combined);
-2. a window over that small table, at most one row per scope and bucket,
-   carries the state forward into each bucket;
-3. each carried state joins its bucket as a first row, and an ordinary window
-   runs inside (scope, bucket).
-
-Bucket borders are literals in the plan, so a recomputed task puts every row
-where it was before. Borders only balance the work; the result is the same for
-any borders.
+2. a window over that small table, one row per hot scope and bucket, carries
+   the state forward into each bucket;
+3. each carried state enters its bucket as a first row, and one ordinary window
+   runs inside (scope, bucket) for hot and other scopes alike.
+
+Hot scopes and borders are literals in the plan, so a recomputed task puts
+every row where it was before. They only balance the work: the result is the
+same for any choice of them.
 """
 
 from __future__ import annotations
 
+import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -45,19 +48,33 @@ def with_order(df: DataFrame, order: Sequence[Column | str], prefix: str = "__or
     return df, names
 
 
-def split_points(df: DataFrame, order: Sequence[str], buckets: int) -> list[tuple]:
-    """About ``buckets - 1`` borders that cut ``df`` into even parts.
+def find_split(df: DataFrame, scope: Sequence[str], order: Sequence[str],
+               buckets: int) -> tuple[list[int], list[tuple]]:
+    """Hashes of the hot scopes, and borders that cut their rows evenly.
 
-    Counts the rows and samples their order columns, reading no others. The
-    sample is of bounded size and only places the borders.
+    A scope is hot if it fills two of ``buckets`` even parts of all rows.
+    Counts the rows and samples scope and order, reading no other columns.
     """
     buckets = min(buckets, _MAX_BUCKETS)
     rows = df.count() if buckets > 1 else 0
     if rows == 0:
-        return []
+        return [], []
     share = min(1.0, _SAMPLES_PER_BUCKET * buckets / rows)
-    sample = sorted(tuple(r) for r in df.select(*order).sample(share, seed=7).collect())
-    return sorted({sample[len(sample) * i // buckets] for i in range(1, buckets)}) if sample else []
+    keys = df.select(scope_hash(scope).alias("__hash"), *order).sample(share, seed=7)
+    picked = keys.dropna(subset=list(order)).collect()
+    if not picked:
+        return [], []
+    part = len(picked) / buckets
+    sizes = Counter(r[0] for r in picked)
+    hot = [h for h, size in sizes.items() if size >= 2 * part]
+    sample = sorted(tuple(r[1:]) for r in picked if sizes[r[0]] >= 2 * part)
+    cuts = math.ceil(len(sample) / part) if sample else 0
+    return hot, sorted({sample[len(sample) * i // cuts] for i in range(1, cuts)})
+
+
+def scope_hash(scope: Sequence[str]) -> Column:
+    # Two scopes of one hash are both split, which changes no result.
+    return F.xxhash64(*scope) if scope else F.lit(0).cast("bigint")
 
 
 def bucket_of(df: DataFrame, order: Sequence[str], points: list[tuple]) -> Column:
@@ -95,17 +112,19 @@ def _run(df, values, order, scope, buckets, tail, carry, inside):
     df, names = with_order(df.withColumns({f"__of_{n}": v for n, v in values.items()}), order)
     scopes = [f"__scope{i}" for i in range(len(scope))]
     df = df.withColumns({n: as_column(s) for n, s in zip(scopes, scope)})
-    points = split_points(df, names, default_buckets(df) if buckets is None else buckets)
-    df = df.withColumn("__bucket", bucket_of(df, names, points))
-    group = [*scopes, "__bucket"]
-    state = [f"__of_{n}" for n in values]
-
-    ends = df.groupBy(*group).agg(*[tail(s, names).alias(s) for s in state])
-    before = Window.partitionBy(*scopes).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    heads = ends.select(*group, *[carry(s).over(before).alias(s) for s in state])
-    heads = heads.where(_any_not_null(state))
-    # The carried state enters as a row that sorts before every other one.
-    rows = df.withColumn("__real", F.lit(True)).unionByName(heads, allowMissingColumns=True)
+    hot, points = find_split(df, scopes, names, default_buckets(df) if buckets is None else buckets)
+    group, state = [*scopes, "__bucket"], [f"__of_{n}" for n in values]
+
+    bucket = bucket_of(df, names, points)
+    split = scope_hash(scopes).isin(hot) if scopes else F.lit(True)
+    rows = df.withColumn("__bucket", F.when(split, F.coalesce(bucket, F.lit(0))).otherwise(0) if points else F.lit(0))
+    rows = rows.withColumn("__real", F.lit(True))
+    if points:
+        ends = rows.where(split).groupBy(*group).agg(*[tail(s, names).alias(s) for s in state])
+        before = Window.partitionBy(*scopes).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+        heads = ends.select(*group, *[carry(s).over(before).alias(s) for s in state])
+        # The carried state enters as a row that sorts before every other one.
+        rows = rows.unionByName(heads.where(_any_not_null(state)), allowMissingColumns=True)
     upto = Window.partitionBy(*group).orderBy(F.col("__real").asc_nulls_first(), *names)
     out = rows.select(*columns, "__real", *[inside(f"__of_{n}", upto).alias(n) for n in values])
     return out.where("__real").drop("__real")
@@ -124,11 +143,11 @@ def carry_last(df: DataFrame, values: Mapping[str, Column], order: Sequence[Colu
     """Add, per name, the last non-NULL value up to each row, in ``order`` within ``scope``.
 
     Wrap a value that may itself be NULL in a struct: a NULL struct means
-    "nothing written here", a struct holding NULL means "NULL written".
+    "nothing written here", a struct holding NULL means "NULL written". A row
+    whose order is NULL lies before all others.
     """
     def tail(state, names):
-        at = F.struct(*names) if len(names) > 1 else F.col(names[0])
-        return F.max_by(state, F.when(F.col(state).isNotNull(), at))
+        return last_written(state, names)
 
     end = Window.currentRow if include_current else -1
     return _run(
@@ -138,6 +157,11 @@ def carry_last(df: DataFrame, values: Mapping[str, Column], order: Sequence[Colu
     )
 
 
+def last_written(state: str, order: Sequence[str]) -> Column:
+    """Aggregate: the last non-NULL value. Rows without an order come first."""
+    return F.max_by(state, F.when(F.col(state).isNotNull(), F.struct(*order)))
+
+
 def carry_sum(df: DataFrame, values: Mapping[str, Column], order: Sequence[Column | str], *,
               scope: Sequence[Column | str] = (), buckets: int | None = None) -> DataFrame:
     """Add, per name, the sum over the rows before each row (0 for the first)."""

@@ -4,26 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.route import route
+from ..operators.route import keeps_state, route
 from ..plans.rules import RuleSet
 from ..sinks.registry import publish
+from .memory import Memory
+
+_UNSET = object()
 
 
 def run_router(stream: DataFrame, ruleset: RuleSet, checkpoint: str, *, record: str = "record",
-               keep: Sequence[str] | None = None, every: str | None = None,
-               after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+               keep: Sequence[str] | None = None, scope: Sequence[str] = (),
+               order: Sequence[Column | str] = (), remember: int | None | object = _UNSET,
+               every: str | None = None, after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
     """Route each micro-batch and publish it; then let the stream move on.
 
     Offsets are committed only after every sink whose rule has the checkpoint
     flag has succeeded, so a failure there repeats the micro-batch. ``after``
     gets the source rows of each published micro-batch, e.g. to commit a
     progress table. Without ``every`` the stream takes what is there and ends.
+
+    Rules that keep state need ``order``, and ``remember``: for how many
+    micro-batches after its first sight a key is remembered (``None`` for
+    ever). It bounds the state and has no default on purpose.
     """
+    stateful = keeps_state(ruleset, record)
+    if stateful and (remember is _UNSET or not order):
+        raise ValueError("rules that keep state need order and remember")
+
     def handle(batch: DataFrame, batch_id: int) -> None:
-        publish(route(batch, ruleset, record=record, keep=keep), ruleset, batch_id)
+        if not stateful:
+            publish(route(batch, ruleset, record=record, keep=keep), ruleset, batch_id)
+        else:
+            batch = batch.persist()
+            try:
+                memory = Memory(batch.sparkSession, f"{checkpoint}/memory", batch_id, remember)
+                routed = route(batch, ruleset, record=record, keep=keep, scope=scope, order=order, memory=memory)
+                publish(routed, ruleset, batch_id)
+                memory.save()
+            finally:
+                batch.unpersist()
         if after is not None:
             after(batch, batch_id)
 
