@@ -116,6 +116,15 @@ def test_registry_of_rules():
     assert [(r.name, r.destination) for r in rules] == [("a", "y")]
 
 
+def test_empty_ruleset_and_nested_values(spark):
+    df = spark.createDataFrame([(0, NUMBERS)], "i int, record string")
+    with pytest.raises(ValueError):
+        route(df, RuleSet())
+    out = sent(spark, [NUMBERS], lambda r: {"x": sprintf("<%v>", first_non_null(r.json("no"), concat("a", r.json("test2"))))},
+               lambda r: eq(first_non_null(r.json("no"), r.json("test1")), 1234))
+    assert out == {0: '{"x":"<a55>"}'}
+
+
 def test_record_is_parsed_once(spark):
     df = spark.createDataFrame([(0, NUMBERS)], "i int, record string")
     rules = RuleSet([

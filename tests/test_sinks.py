@@ -35,6 +35,13 @@ def test_batch_files(spark, tmp_path):
         assert len(body) - len(body.splitlines()[-1]) - 1 < 64
 
 
+def test_records_without_a_time_are_kept(spark, tmp_path):
+    sent = spark.createDataFrame([(1, "s", None, "a"), (2, "s", dt.datetime(1969, 12, 31, 23, 59, 59), "b")],
+                                 "i int, shard_id string, arrival_ts timestamp, outbound string")
+    write_batches(sent, str(tmp_path / "o"), ["i"])
+    assert {(r.value, r.hm) for r in read_batches(spark, str(tmp_path / "o")).collect()} == {("a", None), ("b", "2359")}
+
+
 def test_emit_envelope(spark):
     out = emit_envelope(spark.createDataFrame([(1, "é"), (2, ""), (3, None)], "i int, outbound string")).collect()
     assert [None if r.data is None else gzip.decompress(bytes(r.data)).decode() for r in out] == ["é", "", None]
@@ -54,6 +61,8 @@ def test_publish_follows_the_checkpoint_flag(spark, tmp_path):
                      Rule("out", "emit", send=SEND_ALL, params={"format": "parquet", "path": str(tmp_path / "e")})])
     routed = route(frame(spark, 4), rules)
     assert publish(routed, rules, 7) == ["bad"]
+    assert publish(routed, RuleSet([Rule("good", "list"), Rule("log", "list")]), 8) == []
+    assert len(got[8]) == 8
     assert sorted(got[7]) == [f'{{"i":{i}}}' for i in range(4)]
     assert spark.read.parquet(f"{tmp_path}/e/b7").count() == 4
     with pytest.raises(OSError):

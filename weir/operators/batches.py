@@ -16,8 +16,9 @@ def line_bytes(record: Column | str = "record") -> Column:
 
 
 def time_slot(ts: Column | str, seconds: int) -> Column:
-    """Start of the flush interval a record falls in."""
-    return F.window(as_column(ts).cast("timestamp"), f"{int(seconds)} seconds")["start"]
+    """Start of the flush interval a record falls in; NULL without a time."""
+    at = F.unix_timestamp(as_column(ts).cast("timestamp"))
+    return F.timestamp_seconds(at - F.pmod(at, F.lit(int(seconds))))
 
 
 def batch_by_time(df: DataFrame, seconds: int, *, ts: str = "arrival_ts", shard: str = "shard_id",

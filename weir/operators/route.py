@@ -172,6 +172,8 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
     earlier micro-batches left (see :mod:`weir.streaming.memory`).
     """
     rules = list(ruleset)
+    if not rules:
+        raise ValueError("a ruleset needs at least one rule")
     keep = [c for c in df.columns if c != record] if keep is None else list(keep)
     views = Views()
     _Bound(rules, record, views)

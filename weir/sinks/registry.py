@@ -8,7 +8,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.rules import RuleSet
+from ..plans.rules import Rule, RuleSet
 from .batch_files import write_batches
 from .emit import emit_envelope
 
@@ -22,7 +22,7 @@ _functions: dict[str, Callable[..., Column]] = {}
 
 
 def register_sink(name: str, writer: Writer) -> None:
-    """``writer(matches, batch_id, params)`` publishes the matches of one rule."""
+    """``writer(matches, batch_id, params)`` publishes the matches of rules that share it."""
     _sinks[name] = writer
 
 
@@ -73,23 +73,32 @@ register_sink("debug", _debug)
 def publish(routed: DataFrame, ruleset: RuleSet, batch_id: int = 0) -> list[str]:
     """Send the matches of every rule to its destination.
 
-    A failing sink raises if the rule has its checkpoint flag set, so progress
-    stops there. Otherwise it is logged; the names of such rules are returned.
+    Rules with the same destination and parameters are written together. A
+    failing sink raises if such rules have the checkpoint flag set, so progress
+    stops there. Otherwise it is logged; the names of the rules are returned.
     """
     unknown = sorted({r.destination for r in ruleset} - _sinks.keys())
     if unknown:
         raise KeyError(f"no sink registered for {unknown}")
-    failed = []
-    routed = routed.persist()
+    groups: dict[tuple, list[Rule]] = {}
+    for rule in ruleset:
+        key = (rule.destination, rule.checkpoint, repr(sorted(rule.params.items())))
+        groups.setdefault(key, []).append(rule)
+    failed: list[str] = []
+    several = len(groups) > 1
+    if several:
+        routed = routed.persist()
     try:
-        for rule in ruleset:
+        for rules in groups.values():
+            names = [r.name for r in rules]
             try:
-                _sinks[rule.destination](routed.where(F.col("rule") == rule.name), batch_id, rule.params)
+                _sinks[rules[0].destination](routed.where(F.col("rule").isin(names)), batch_id, rules[0].params)
             except Exception:
-                if rule.checkpoint:
+                if rules[0].checkpoint:
                     raise
-                log.exception("sink of rule %s failed in batch %s", rule.name, batch_id)
-                failed.append(rule.name)
+                log.exception("sink of rules %s failed in batch %s", names, batch_id)
+                failed += names
     finally:
-        routed.unpersist()
+        if several:
+            routed.unpersist()
     return failed

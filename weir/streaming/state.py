@@ -53,8 +53,10 @@ class _LastValue(StatefulProcessor):
 def stream_cache(stream: DataFrame, value: str, scope: Sequence[str], order: str, *, into: str) -> DataFrame:
     """Add the value the previous record of the scope cached, across micro-batches.
 
-    Needs the RocksDB state store. Within a micro-batch records are taken in
-    ``order``; a record that arrives in a later one counts as later.
+    Needs the RocksDB state store. The rows of a scope are taken in ``order``
+    within an Arrow batch; what comes in a later one counts as later. Where the
+    exact order within large micro-batches matters, let rules cache and fetch
+    under :func:`weir.run_router`, which also splits hot scopes.
     """
     kind = stream.schema[value].dataType
     out = T.StructType([*stream.schema.fields, T.StructField(into, kind)])
