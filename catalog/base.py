@@ -33,6 +33,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream. The pattern lets the table be a file or a folder of files."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events with their nested number ``k`` and a real timestamp."""
     return _with_k(table(spark, sf_dir, "events"))

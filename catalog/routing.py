@@ -9,7 +9,7 @@ from weir import (
     ruleset_table, split_by_destination, sprintf, work_folder, write_batches, read_batches, run_router,
 )
 
-from .base import REC, events, query, records, table
+from .base import REC, event_stream, events, query, records, table
 
 PURCHASES = Rule(
     "purchases", "emit",
@@ -61,7 +61,7 @@ def _(spark, d):
     routed = route(records(spark, d), RULES)
     parts = [
         part.groupBy("destination").agg(F.count("*").alias("sent"), F.sum(F.length("outbound")).alias("chars"))
-        for part in split_by_destination(routed, RULES).values()
+        for part in split_by_destination(routed, RULES, work_folder(spark, "split")).values()
     ]
     out = parts[0]
     for part in parts[1:]:
@@ -146,11 +146,7 @@ def _(spark, d):
                 "params": {"path": f"{out}/{name}", "order": ["event_id"], "shard": "shard_id", "ts": "ts", "seconds": 7 * 86400}})
         for name in ("high", "errors")
     ])
-    stream_events = (
-        spark.readStream.schema(table(spark, d, "events").schema)
-        .option("pathGlobFilter", "events.parquet").parquet(d)
-    )
-    stream = stream_events.withColumn("ts", F.col("ts").cast("timestamp")).select(
+    stream = event_stream(spark, d).select(
         "event_id", F.pmod("user_id", F.lit(4)).alias("shard_id"), "ts",
         F.to_json(F.struct("event_type", "value", F.from_json("props", "k int").alias("props"))).alias("record"))
     run_router(stream, rules, f"{out}/progress").awaitTermination()

@@ -11,7 +11,7 @@ from weir import (
 )
 from weir.streaming.state import ROCKSDB
 
-from .base import REC, events, query, records, table
+from .base import REC, event_stream, query, records, table
 
 
 @query("unique_flag", """
@@ -95,7 +95,7 @@ def _(spark, d):
     first = Rule("first", "rows", when=lambda r: eq(r.unique(r.json("user_id"), r.json("event_type")), True))
     rules = RuleSet(
         Rule(**{**rule.__dict__, "destination": "rows", "params": {"rule": rule.name}}) for rule in [*CACHING, first])
-    stream = _event_stream(spark, d).select(
+    stream = event_stream(spark, d).select(
         "event_id", "user_id", F.to_json(F.struct("user_id", "event_type", "value")).alias("record"))
     run_router(stream, rules, f"{out}/progress", keep=["event_id"], scope=["user_id"], order=["event_id"],
                remember=None).awaitTermination()
@@ -210,12 +210,6 @@ def _(spark, d):
     return cache_clear(_cached_big(spark, d))
 
 
-def _event_stream(spark, d):
-    stream = (spark.readStream.schema(table(spark, d, "events").schema)
-              .option("pathGlobFilter", "events.parquet").parquet(d))
-    return stream.withColumn("ts", F.col("ts").cast("timestamp"))
-
-
 def _drained(spark, stream, name):
     out = work_folder(spark, name)
     (stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/progress")
@@ -226,7 +220,7 @@ def _drained(spark, stream, name):
 @query("stream_unique", "SELECT DISTINCT user_id, event_type FROM events")
 def _(spark, d):
     own = spark.newSession()
-    stream = stream_unique(_event_stream(own, d), ["user_id", "event_type"], "ts", "400 days")
+    stream = stream_unique(event_stream(own, d), ["user_id", "event_type"], "ts", "400 days")
     return _drained(spark, stream.select("user_id", "event_type"), "unique")
 
 
@@ -237,6 +231,6 @@ def _(spark, d):
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     own.conf.set("spark.sql.session.timeZone", "UTC")
-    rows = _event_stream(own, d).select("event_id", "user_id", "value")
+    rows = event_stream(own, d).select("event_id", "user_id", "value")
     stream = stream_cache(rows, "value", ["user_id"], "event_id", into="cached")
     return _drained(spark, stream.select("event_id", "user_id", "cached"), "cache")

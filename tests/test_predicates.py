@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from weir import Rule, RuleSet, all_of, any_of, eq, ge, gt, le, lt, ne, route
+from weir import Rule, RuleSet, all_of, any_of, basename, eq, ge, getdir, gt, le, lt, ne, route
 
 EDGE = [
     '{"a": 42}', '{"a": 42.0}', '{"a": "42"}', '{"a": "42d"}', '{"a": true}', '{"a": "true"}', '{"a": null}', "{}",
@@ -82,3 +82,15 @@ def test_lines_are_anded_and_alternatives_ored(spark, rows):
 
     out = route(df, RuleSet([Rule("r", "debug", when=when)]), keep=["i"])
     assert {r.i for r in out.collect()} == {i for i, (a, b, c) in enumerate(rows) if (a or b) and c}
+
+
+@given(st.lists(st.text(alphabet="ab/\\\\.é\"", max_size=8), min_size=1, max_size=10))
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_path_functions(spark, paths):
+    df = spark.createDataFrame([(i, p) for i, p in enumerate(paths)], "i int, p string")
+    out = df.select("i", *[f(F.col("p"), s).alias(f.__name__ + s) for f in (basename, getdir) for s in ("", "WINDOWS")])
+    for row in out.collect():
+        for style, sep in (("", "/"), ("WINDOWS", "\\")):
+            head, found, tail = paths[row.i].rpartition(sep)
+            assert row["basename" + style] == tail
+            assert row["getdir" + style] == (head if found else "")

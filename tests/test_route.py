@@ -94,7 +94,7 @@ def test_exact_integers_and_odd_keys(spark):
     assert out == {0: '{"big":9007199254740993,"x":1,"z":10}'}
 
 
-def test_each_match_is_sent_and_order_of_rules_is_kept(spark):
+def test_each_match_is_sent_and_order_of_rules_is_kept(spark, tmp_path):
     rules = RuleSet([
         Rule("a", "one", when=lambda r: gt(r.json("test1"), 0), send=lambda r: {"v": r.json("test1")}),
         Rule("b", "two", send=SEND_ALL, checkpoint=False),
@@ -108,6 +108,8 @@ def test_each_match_is_sent_and_order_of_rules_is_kept(spark):
         (2, "b", "two", False), (2, "c", "one", True)]
     parts = split_by_destination(out, rules)
     assert {k: v.count() for k, v in parts.items()} == {"one": 3, "two": 3}
+    kept = split_by_destination(out, rules, str(tmp_path / "split"))
+    assert {k: v.columns == out.columns and v.count() for k, v in kept.items()} == {"one": 3, "two": 3}
 
 
 def test_registry_of_rules():
@@ -136,6 +138,15 @@ def test_record_is_parsed_once(spark):
     assert plan.count("parseJson(") == 1
 
 
+def test_routing_without_state_has_no_shuffle_and_reads_what_it_needs(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("props", "record")
+    rules = RuleSet([Rule("a", "x", when=lambda r: gt(r.json("k"), 50), send=lambda r: {"k": r.json("k")})])
+    plan = route(df, rules, keep=["event_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "ReadSchema: struct<event_id:bigint,props:string>" in plan
+    with pytest.raises(ValueError):
+        route(df.withColumnRenamed("event_type", "rule"), rules)
+
+
 def test_unique_and_cache_within_rules(spark):
     rows = [(i, json.dumps({"u": u, "t": t, "v": v})) for i, (u, t, v) in enumerate(
         [("a", "x", 1), ("a", "buy", 2), ("b", "buy", None), ("a", "buy", 4), ("b", "x", 5), ("b", "buy", 6)])]

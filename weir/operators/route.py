@@ -175,6 +175,9 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
     if not rules:
         raise ValueError("a ruleset needs at least one rule")
     keep = [c for c in df.columns if c != record] if keep is None else list(keep)
+    taken = sorted({"rule", "destination", "checkpoint", "outbound"} & set(keep))
+    if taken:
+        raise ValueError(f"choose other columns to keep: {taken} are made by the routing")
     views = Views()
     _Bound(rules, record, views)
     views.share()
@@ -208,8 +211,17 @@ def apply_rule(df: DataFrame, rule: Rule, **options) -> DataFrame:
     return route(df, RuleSet([rule]), **options)
 
 
-def split_by_destination(routed: DataFrame, ruleset: RuleSet) -> dict[str, DataFrame]:
-    """One frame per destination; persist ``routed`` before using several."""
+def split_by_destination(routed: DataFrame, ruleset: RuleSet, folder: str | None = None) -> dict[str, DataFrame]:
+    """One frame per destination.
+
+    With a ``folder`` on shared storage the routing runs once and is kept there
+    by destination, and each frame reads its own part only. Without one, each
+    frame runs the routing again unless ``routed`` is persisted.
+    """
+    if folder is not None:
+        routed.write.partitionBy("destination").parquet(folder)
+        columns = routed.columns
+        routed = routed.sparkSession.read.schema(routed.schema).parquet(folder).select(*columns)
     names = dict.fromkeys(rule.destination for rule in ruleset)
     return {name: routed.where(F.col("destination") == name) for name in names}
 

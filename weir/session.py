@@ -52,7 +52,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     Only a local session may go without that setting; it gets a folder of its
     own. On a cluster a machine-local folder would be lost with its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
