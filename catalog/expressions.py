@@ -128,6 +128,18 @@ _projection("fn_concat", lambda r: {"c": concat(r.json("event_type"), "-", r.jso
             """'{"c":"' || event_type || '-' || k || '-null"}'""")
 _projection("fn_sprintf", lambda r: {"s": sprintf("%v is 100%% %v (%v)", r.json("user_id"), r.json("value"), r.json("no"))},
             """'{"s":"' || user_id || ' is 100% ' || vtxt || ' (null)"}'""")
+@query("fn_sprintf_template", f"""
+WITH {REC} SELECT event_id, '{{"s":"' || CASE event_type WHEN 'click' THEN event_type || ' 100% ' || k WHEN 'view' THEN 'fixed'
+                                            ELSE k || ':' || event_type END || '"}}' AS outbound
+FROM rec WHERE event_type <> 'error'""")
+def _(spark, d):
+    # Click and view bring templates of their own, errors one that wants too much.
+    template = (F.when(F.col("event_type") == "click", "%v 100%% %v").when(F.col("event_type") == "view", "fixed")
+                .when(F.col("event_type") == "error", "%v%v%v").otherwise(F.concat("k", F.lit(":%v"))))
+    df = events(spark, d).select("event_id", F.to_json(F.struct(template.alias("t"), "event_type", "k")).alias("record"))
+    return _sent(df, lambda r: {"s": sprintf(r.json("t"), r.json("event_type"), r.json("k"))})
+
+
 _projection("fn_first_non_null",
             lambda r: {"a": first_non_null(r.json("maybe"), r.json("props.k")), "b": first_non_null(r.json("no"), r.json("way"))},
             """'{"a":' || CASE WHEN event_id % 5 = 0 THEN CAST(k AS VARCHAR) ELSE '"' || event_type || '"' END || ',"b":""}'""")

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import (
-    batch_by_size, batch_by_time, batch_key, deaggregate, decode_snappy, drop_empty, emit_envelope, from_position,
-    invalid_records, register_source, source, tail_positions,
+    SEND_ALL, Rule, RuleSet, as_envelope, batch_by_size, batch_by_time, batch_key, commit_progress, deaggregate,
+    decode_snappy, drop_empty, emit_envelope, from_position, gt, invalid_records, read_progress, read_records,
+    register_source, route, run_router, source, tail_positions, work_folder,
 )
 from weir.operators import metrics, progress
 from weir.sources.envelope import AGGREGATED_MAGIC, DIGEST_BYTES
 
-from .base import ENV, REC, envelopes, events, query, records
+from .base import ENV, REC, envelopes, event_stream, events, query
 
 MIDDLE = "2024-01-15"
 
@@ -240,6 +241,44 @@ def _(spark, d):
     return once.select("shard_id", "sequence_number", F.decode("data", "UTF-8").alias("payload"))
 
 
+@query("stream_progress", f"WITH {ENV} SELECT shard_id, arg_max(sequence_number, event_id) AS sequence_number FROM env GROUP BY shard_id")
+def _(spark, d):
+    out = work_folder(spark, "progress")
+    stream = as_envelope(
+        event_stream(spark, d),
+        shard=F.concat(F.lit("shard-"), F.pmod("user_id", F.lit(8)).cast("string")),
+        sequence=F.col("event_id") * 37, key="user_id", ts="ts", data=F.encode("props", "UTF-8"),
+    ).withColumn("record", F.decode("data", "UTF-8"))
+    rules = RuleSet([Rule("log", "debug", send=SEND_ALL, params={"rows": 3})])
+    run_router(stream, rules, f"{out}/stream", after=commit_progress(f"{out}/table")).awaitTermination()
+    return read_progress(spark, f"{out}/table").select("shard_id", "sequence_number")
+
+
+# Everything ---------------------------------------------------------------
+
+@query("route_envelopes", f"""
+WITH {REC} SELECT event_id // 16 AS parent, CAST(event_id % 16 AS INTEGER) AS sub_seq, 'high' AS rule, '{{"k":' || k || '}}' AS outbound
+FROM rec WHERE k > 50
+UNION ALL
+SELECT event_id // 16, CAST(event_id % 16 AS INTEGER), 'even', props FROM events WHERE CAST(json_extract_string(props, '$.k') AS INTEGER) % 2 = 0 AND event_type <> 'view'""")
+def _(spark, d):
+    # Aggregated envelopes of compressed payloads, some of them empty: split, unpack, drop, route, wrap.
+    text = F.when(F.col("event_type") == "view", F.concat(F.lit(" "), "props")).otherwise(F.col("props"))
+    rows = read_records(spark, f"{d}/events.parquet").select(
+        "event_id", F.floor(F.col("event_id") / 16).alias("parent"), _snappy(F.encode(text, "UTF-8")).alias("data"))
+    grouped = rows.groupBy("parent").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("event_id", "data"))), lambda x: x["data"]).alias("all"))
+    env = grouped.select("parent", _aggregated("all").alias("data"))
+    taken = drop_empty(decode_snappy(deaggregate(env)))
+    odd = F.pmod(F.get_json_object("record", "$.k").cast("int"), F.lit(2))
+    rules = RuleSet([
+        Rule("high", "emit", when=lambda r: gt(r.json("k"), 50), send=lambda r: {"k": r.json("k")}),
+        Rule("even", "emit", when=lambda r: (odd == 0) & ~r.text.startswith(" "), send=SEND_ALL),
+    ])
+    sent = emit_envelope(route(taken, rules, keep=["parent", "sub_seq"]))
+    return sent.select("parent", "sub_seq", "rule", F.decode(_gunzip("data"), "UTF-8").alias("outbound"))
+
+
 # Metrics ------------------------------------------------------------------
 
 @query("metric_record_count", f"WITH {ENV} SELECT shard_id, count(*) AS record_count FROM env GROUP BY shard_id")

@@ -88,6 +88,13 @@ def test_concat_sprintf_and_str(spark):
         sprintf("%v %v", "one")
 
 
+def test_templates_from_the_record(spark):
+    rows = [json.dumps({"t": t}) for t in ("%v", "%v-%v%%", "100%%v", "", "%v%v%v", "plain %d", None)]
+    out = sent(spark, rows, lambda r: {"s": sprintf(r.json("t"), "a", r.json("no"))})
+    assert {i: json.loads(o)["s"] for i, o in out.items()} == {0: "a", 1: "a-null%", 2: "100%v", 3: "", 5: "plain %d"}
+    assert sent(spark, rows[:4], lambda r: {"s": sprintf(r.json("t"))}) == {2: '{"s":"100%v"}', 3: '{"s":""}'}
+
+
 def test_exact_integers_and_odd_keys(spark):
     row = '{"big": 9007199254740993, "a b": {"it\'s": [10, {"x": 1}]}}'
     out = sent(spark, [row], lambda r: {"big": r.json("big"), "x": r.json("a b.it's.1.x"), "z": r.json("a b.it's.0")})

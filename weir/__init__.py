@@ -23,15 +23,16 @@ from .sources.envelope import (
     tail_positions,
 )
 from .sources.scan import read_records
+from .streaming.memory import commit_progress, read_progress
 from .streaming.runner import run_router
 from .streaming.state import stream_cache, stream_unique
 
 __all__ = [
     *_functions, "ENVELOPE", "Record", "Rule", "RuleSet", "SEND_ALL", "apply_rule", "as_envelope", "batch_by_size",
     "batch_by_time", "batch_key", "cache_asof", "cache_check", "cache_clear", "cache_fetch", "cache_put",
-    "cache_remove", "call", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
+    "cache_remove", "call", "commit_progress", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
     "from_position", "invalid_records", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",
-    "read_batches", "read_records", "read_rulesets", "register_function", "register_sink", "register_source", "route",
+    "read_batches", "read_progress", "read_records", "read_rulesets", "register_function", "register_sink", "register_source", "route",
     "ruleset_table", "run_router", "seen_add", "seen_clear", "seen_count", "seen_lookup", "seen_remove",
     "sequence_key", "source", "split_by_destination", "stream_cache", "stream_unique", "tail_positions",
     "tune", "unique_filter", "unique_flag", "work_folder", "write_batches",

@@ -37,12 +37,16 @@ def concat(*xs) -> Column:
     return F.concat(*[_shown(x) for x in xs])
 
 
-def sprintf(template: str, *xs) -> Column:
+def sprintf(template, *xs) -> Column:
     """``template`` with each ``%v`` replaced by the next argument.
 
-    Built as a concatenation, so it stays in generated code. ``%%`` is a
-    literal percent sign, other text is kept, surplus arguments are ignored.
+    ``%%`` is a literal percent sign, other text is kept, surplus arguments are
+    ignored. A fixed template becomes a plain concatenation. A template read
+    from the record is NULL, and no match in a rule, if it wants more arguments
+    than there are.
     """
+    if not isinstance(template, str):
+        return _sprintf_by_row(template, xs)
     parts, used, start = [], 0, 0
     for mark in re.finditer(r"%%|%v", template):
         parts.append(F.lit(template[start:mark.start()]))
@@ -58,6 +62,20 @@ def sprintf(template: str, *xs) -> Column:
     return F.concat(*parts)
 
 
+def _sprintf_by_row(template, xs) -> Column:
+    # Escaped percent signs step aside while the text is cut at its placeholders.
+    aside = "\ue000"
+    pieces = F.split(F.replace(as_text(template), F.lit("%%"), F.lit(aside)), "%v")
+    wanted = F.size(pieces) - 1
+    enough = wanted.between(0, len(xs))
+    if isinstance(template, Json):
+        template.require(enough)
+    shown = F.array(*[_shown(x) for x in xs]) if xs else F.array().cast("array<string>")
+    filled = F.zip_with(pieces, F.slice(shown, F.lit(1), F.when(enough, wanted).otherwise(0)),
+                        lambda piece, x: F.concat(F.replace(piece, F.lit(aside), F.lit("%")), F.coalesce(x, F.lit(""))))
+    return F.when(enough, F.array_join(filled, ""))
+
+
 def _separator(style: str) -> str:
     return "\\" if style.strip().upper() == "WINDOWS" else "/"
 

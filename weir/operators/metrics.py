@@ -23,8 +23,10 @@ def millis_behind(df: DataFrame, shard: str = "shard_id", ts: str = "arrival_ts"
     return newest.select(shard, lag.alias("__lag")).select(shard, F.expr("__lag div 1000").alias("millis_behind"))
 
 
-def with_dims(points: DataFrame, base: Mapping[str, str], dims: str = "dims") -> DataFrame:
-    """Add base dimensions; a point's own dimensions win."""
+def with_dims(points: DataFrame, base: Mapping[str, str], dims: str = "dims", prefix: str = "") -> DataFrame:
+    """Add base dimensions, a point's own dimensions win, and a prefix to the names."""
+    if prefix:
+        points = points.withColumn("name", F.concat(F.lit(prefix), "name"))
     if not base:
         return points
     own = F.coalesce(F.col(dims), F.create_map().cast("map<string,string>"))

@@ -7,10 +7,43 @@ the stream's checkpoint in a folder all executors share.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.progress import PROGRESS_SCHEMA, commit, last_sequences
+
+
+def _versions(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
+    """All parts of a table, with their micro-batch in the column ``batch``."""
+    if batch_id == 0:
+        # Nothing is older than the first micro-batch; start the table.
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch=-1")
+    whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    return spark.read.schema(whole).parquet(path)
+
+
+def commit_progress(folder: str, shard: str = "shard_id",
+                    sequence: str = "sequence_number") -> Callable[[DataFrame, int], None]:
+    """For ``run_router(after=...)``: keep a progress table, one version per micro-batch."""
+    def after(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        schema = T.StructType.fromDDL(PROGRESS_SCHEMA)
+        old = _versions(spark, folder, schema, batch_id).where(F.col("batch") == batch_id - 1).drop("batch")
+        read = batch.select(F.col(shard).alias("shard_id"), F.col(sequence).alias("sequence_number"))
+        commit(old, last_sequences(read)).write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+
+    return after
+
+
+def read_progress(spark: SparkSession, folder: str) -> DataFrame:
+    """The newest version of a progress table."""
+    whole = spark.read.schema(f"{PROGRESS_SCHEMA}, batch long").parquet(folder)
+    newest = whole.agg(F.max("batch")).first()[0]
+    return whole.where(F.col("batch") == newest).drop("batch")
+
 
 class Memory:
     """Seen keys and cached values as of one micro-batch.
@@ -27,13 +60,7 @@ class Memory:
         self._writes: list[tuple[str, DataFrame]] = []
 
     def _table(self, name: str, schema: T.StructType) -> DataFrame:
-        path = f"{self._folder}/{name}"
-        if self._batch == 0:
-            # Nothing is older than the first micro-batch; start the table.
-            empty = self._spark.createDataFrame([], schema)
-            empty.write.mode("overwrite").parquet(f"{path}/batch=-1")
-        whole = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
-        return self._spark.read.schema(whole).parquet(path)
+        return _versions(self._spark, f"{self._folder}/{name}", schema, self._batch)
 
     def seen(self, name: str, keys: int) -> DataFrame:
         """The keys earlier micro-batches have seen."""
