@@ -9,7 +9,7 @@ from weir import (
     ruleset_table, split_by_destination, sprintf, work_folder, write_batches, read_batches, run_router,
 )
 
-from .base import REC, event_stream, events, query, records, table
+from .base import REC, event_stream, query, records, table
 
 PURCHASES = Rule(
     "purchases", "emit",
@@ -80,6 +80,22 @@ def _(spark, d):
     return match_counts(route(records(spark, d), RuleSet(over(c) for c in range(60)), keep=[]))
 
 
+@query("route_where", f"""
+WITH {ROUTED} SELECT event_id, rule, outbound FROM routed WHERE rule = 'purchases'
+UNION ALL SELECT event_id, 'late', '{{"id":' || event_id || '}}' FROM rec
+WHERE ts >= TIMESTAMP '2024-01-25 00:00:00' AND k > 50""")
+def _(spark, d):
+    df = read_records(spark, f"{d}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    body = F.to_json(F.struct("event_id", "user_id", "event_type", "value", F.from_json("props", "k int").alias("props")))
+    rules = RuleSet([
+        Rule("purchases", "emit", where=(F.col("event_type") == "purchase") & (F.col("value") >= 20),
+             send=PURCHASES.send),
+        Rule("late", "batch", where=F.col("ts") >= F.lit("2024-01-25").cast("timestamp"),
+             when=lambda r: gt(r.json("props.k"), 50), send=lambda r: {"id": r.json("event_id")}),
+    ])
+    return route(df.withColumn("record", body), rules, keep=["event_id"]).select("event_id", "rule", "outbound")
+
+
 @query("route_wide", """
 SELECT 'returned' AS rule, count(*) AS matches FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 25
 UNION ALL SELECT 'open', count(*) FROM lineitem WHERE l_linestatus = 'O' OR l_discount > 0.05""")

@@ -154,6 +154,29 @@ def test_routing_without_state_has_no_shuffle_and_reads_what_it_needs(spark, sf_
         route(df.withColumnRenamed("event_type", "rule"), rules)
 
 
+def test_conditions_on_columns_reach_the_scan(spark, sf_dir):
+    df = spark.read.parquet(f"{sf_dir}/events.parquet").withColumnRenamed("props", "record")
+    big, error = F.col("value") > 100, F.col("event_type") == "error"
+    rules = [Rule("big", "x", where=big, when=lambda r: gt(r.json("k"), 50)),
+             Rule("error", "x", where=error, when=lambda r: eq(r.unique(r.json("k")), True), send=lambda r: {"p": r.fetch("k")}),
+             Rule("keep", "x", where=error, cache=lambda r: {"k": r.json("k")})]
+    plan = route(df, RuleSet(rules[:1]), keep=["event_id"])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(value,100.0)" in plan
+    out = route(df, RuleSet(rules), keep=["event_id"], order=["event_id"]).collect()
+    rows = [(r.event_id, r.value, r.event_type, json.loads(r.record)["k"]) for r in df.orderBy("event_id").collect()]
+    seen, last, expected = set(), None, set()
+    for i, value, kind, k in rows:
+        if value > 100 and k > 50:
+            expected.add((i, "big", "{}"))
+        if kind == "error":
+            if k not in seen:
+                expected.add((i, "error", '{"p":%s}' % ("null" if last is None else last)))
+            seen.add(k)
+            expected.add((i, "keep", "{}"))
+        last = k
+    assert {(r.event_id, r.rule, r.outbound) for r in out} == expected
+
+
 def test_unique_and_cache_within_rules(spark):
     rows = [(i, json.dumps({"u": u, "t": t, "v": v})) for i, (u, t, v) in enumerate(
         [("a", "x", 1), ("a", "buy", 2), ("b", "buy", None), ("a", "buy", 4), ("b", "x", 5), ("b", "buy", 6)])]

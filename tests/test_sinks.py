@@ -6,7 +6,7 @@ import os
 import pytest
 
 from weir import (
-    Rule, RuleSet, SEND_ALL, apply_rule, call, concat, emit_envelope, eq, publish, read_batches, register_function,
+    Rule, RuleSet, SEND_ALL, apply_rule, call, concat, emit_envelope, publish, read_batches, register_function,
     register_sink, register_source, route, source, write_batches,
 )
 from weir.operators import metrics

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,6 +63,7 @@ class Record:
         """
         if self._phase == "cache":
             raise ValueError("a cached value cannot depend on a first-seen test")
+        given = _both(self._state.rules[self._position].where, given)
         return self._state.ask_unique([as_text(k) for k in keys], given)
 
     def fetch(self, alias: str) -> Json:
@@ -85,6 +88,12 @@ class Record:
         return Json(F.coalesce(*found)["v"], key=f"cache.{alias}", require=self.guards.append)
 
 
+def _both(one: Column | None, other: Column | None) -> Column | None:
+    if one is None or other is None:
+        return other if one is None else one
+    return one & other
+
+
 def _call(part, record: Record):
     return part(record) if callable(part) and not isinstance(part, Column) else part
 
@@ -105,14 +114,15 @@ class _Bound:
                 if not alias.strip():
                     continue
                 write = F.struct(as_variant(value).alias("v"))
+                condition = None
                 if rule.cache_matching_only:
-                    condition = _call(rule.when, seen(i, "cache"))
+                    condition = _both(rule.where, _call(rule.when, seen(i, "cache")))
                     write = write if condition is None else F.when(condition, write)
-                always = not rule.cache_matching_only or rule.when is None
+                always = condition is None
                 self.state.writes.setdefault(alias, []).append((i, write, always))
         for i, rule in enumerate(rules):
             tested, sent = seen(i, "when"), seen(i, "send")
-            condition = _call(rule.when, tested)
+            condition = _both(rule.where, _call(rule.when, tested))
             body = outbound(_call(rule.send, sent), record)
             match = F.lit(True) if condition is None else condition
             for guard in [*tested.guards, *sent.guards]:
@@ -121,11 +131,18 @@ class _Bound:
             self.sends.append(body)
 
 
+def _wanted(rules: list[Rule]) -> Column:
+    """What plain columns must hold for any rule to match."""
+    conditions = [rule.where for rule in rules]
+    return F.lit(True) if any(c is None for c in conditions) else reduce(operator.or_, conditions)
+
+
 def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope, order, memory) -> DataFrame:
     """Join first-seen flags and cached values to the records by row order."""
     state = bound.state
+    wanted = _wanted(state.rules)
     if not state.uniques and not state.prior:
-        return df
+        return df.where(wanted)
     if df.isStreaming:
         raise ValueError("first-seen tests and caches of a stream need weir.run_router")
     if not order:
@@ -133,6 +150,8 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
 
     df, names = with_order(df, order, "__row")
     source = views.project(df.withColumn("__doc", parse(record)))
+    # State comes from all records, matches only from those some rule wants.
+    df = df.where(wanted)
     for name, keys, given in state.uniques:
         firsts, key_names, found = first_rows(source, keys, names, given)
         if memory is not None:

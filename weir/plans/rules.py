@@ -16,6 +16,9 @@ class Rule:
     ``when``, ``send`` and ``cache`` are expressions, or functions of the
     record (see :class:`weir.operators.route.Record`) that return them.
 
+    * ``where``: a condition on plain columns that must hold as well. If every
+      rule has one, records that no rule wants are not even parsed, and what
+      the table format can test is tested by the scan.
     * ``when``: a condition; ``None`` matches everything.
     * ``send``: name → expression, a list, ``SEND_ALL``, or ``None`` for ``{}``.
     * ``cache``: alias → expression, written for every record, or only for
@@ -30,6 +33,7 @@ class Rule:
     cache: Mapping | Callable | None = None
     cache_matching_only: bool = False
     checkpoint: bool = True
+    where: Column | None = None
     params: Mapping[str, object] = field(default_factory=dict)
 
 
