@@ -4,7 +4,10 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from weir import cache_asof, cache_fetch, unique_filter, unique_flag
+from weir import (
+    cache_asof, cache_check, cache_fetch, cache_put, cache_remove, seen_add, seen_count, seen_lookup, seen_remove,
+    unique_filter, unique_flag,
+)
 from weir.operators.batches import batch_by_size
 from weir.plans.carry import bucket_of, carry_last, carry_sum, find_split
 
@@ -122,3 +125,35 @@ def test_text_order_of_any_length(spark):
     order = [F.length("seq"), F.col("seq")]
     out = carry_last(df, {"got": F.struct(F.col("id").alias("v"))}, order, include_current=False, buckets=8)
     assert out.where("id > 0 and (got.v is null or got.v != id - 1)").count() == 0
+
+
+def test_time_orders_and_null_scopes(spark):
+    df = spark.range(300).select(
+        "id", F.timestamp_seconds(F.col("id") * 60).alias("ts"), F.when(F.col("id") % 3 > 0, "s").alias("s"))
+    df = df.withColumn("day", F.to_date(F.date_add(F.lit("2024-01-01"), F.col("id").cast("int"))))
+    for order in ("ts", "day"):
+        out = cache_fetch(df, "id", [order], into="got", scope=["s"], include_current=False, buckets=8).collect()
+        last = {}
+        for row in sorted(out, key=lambda r: r.id):
+            assert row.got == last.get(row.s)
+            last[row.s] = row.id
+
+
+def test_snapshot_keeps_nulls_and_skips_blank_aliases(spark):
+    df = spark.createDataFrame([(1, "a", 5), (2, "a", None), (3, "b", 7)], "i int, s string, v int")
+    whole = cache_put(df, {"v": "v", " ": "i"}, ["i"])
+    assert [tuple(r) for r in whole.collect()] == [(7,)]
+    per = cache_put(df, {"v": "v"}, ["i"], scope=["s"]).collect()
+    assert {(r.s, r.v) for r in per} == {("a", None), ("b", 7)}
+    some = cache_put(df, {"v": "v"}, ["i"], scope=["s"], when=F.col("v").isNotNull()).collect()
+    assert {(r.s, r.v) for r in some} == {("a", 5), ("b", 7)}
+    assert {r.s for r in cache_check(df, whole.withColumn("s", F.lit("a")), ["s"]).collect()} == {"a"}
+    assert {r.s for r in cache_remove(df.select("s").distinct(), df.where("i = 3"), ["s"]).collect()} == {"a"}
+
+
+def test_seen_keys_with_nulls_and_copies(spark):
+    seen = spark.createDataFrame([("a", None), ("b", "x")], "k string, j string")
+    rows = spark.createDataFrame([("a", None), ("a", "x"), ("b", "x"), ("b", "x")], "k string, j string")
+    assert sorted((r.k, r.j or "") for r in seen_lookup(rows, seen.union(seen)).collect()) == [("a", ""), ("b", "x"), ("b", "x")]
+    assert seen_count(seen_add(seen, rows)).first()["keys"] == 3
+    assert [(r.k, r.j) for r in seen_remove(seen, rows.where("k = 'a'")).collect()] == [("b", "x")]

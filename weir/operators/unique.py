@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.carry import as_column, with_order
+from ..plans.sizes import broadcast_if_small
 
 
 def first_rows(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str],
@@ -40,7 +41,9 @@ def unique_flag(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Col
     """
     firsts, _, names = first_rows(df, keys, order, given)
     rows, _ = with_order(df, order)
-    marked = rows.join(firsts.select(*names, F.lit(True).alias("__hit")), names, "left")
+    # Few keys: counting them reads narrow columns and saves the shuffle of all rows.
+    firsts = broadcast_if_small(firsts.select(*names))
+    marked = rows.join(firsts.withColumn("__hit", F.lit(True)), names, "left")
     flag = F.when(F.col("__hit"), "true").otherwise("false")
     return marked.select(*df.columns, flag.alias(into))
 
@@ -49,7 +52,7 @@ def unique_filter(df: DataFrame, keys: Sequence[Column | str], order: Sequence[C
     """Only the first row of every key."""
     firsts, _, names = first_rows(df, keys, order)
     rows, _ = with_order(df, order)
-    return rows.join(firsts.select(*names), names, "left_semi").select(*df.columns)
+    return rows.join(broadcast_if_small(firsts.select(*names)), names, "left_semi").select(*df.columns)
 
 
 def seen_add(seen: DataFrame, new: DataFrame) -> DataFrame:
