@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -49,12 +48,8 @@ def local_session(cores: int = 8, name: str = "weir") -> SparkSession:
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new, unused folder name under the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; it gets a folder of its
-    own. On a cluster a machine-local folder would be lost with its machine.
+    Without that setting it is under the warehouse, which all executors share too.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="weir-")
+    root = root or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/weir-work"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
