@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weir import tune
 
-from . import mixing, packing, sharding
+from . import mixing, neighbours, packing, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,30 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
+
+
+@query
+def op3_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+
+
+ORACLES["op3_norm_buckets"] = """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
+  FROM (SELECT DISTINCT * FROM whole WHERE vec_id % 20 = 0) q
+  JOIN (SELECT DISTINCT * FROM whole) v ON q.vec_id <> v.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20"""
+
+
 @query
 def op7_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.lpt_shards(table(spark, sf_dir, "documents"), 16)
