@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from weir import tune
 
-from . import mixing, neighbours, packing, sharding, topk
+from . import mixing, neighbours, packing, sharding, topk, toxicity
+
+TOXIC_FROM = 0.7
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +35,15 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model)
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 @query
 def op2_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, 5)
