@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weir import tune
 
-from . import mixing, neighbours, packing, sharding, topk, toxicity
+from . import mixing, neighbours, packing, pii, secret_scan, sharding, spans, topk, toxicity
 
 TOXIC_FROM = 0.7
 
@@ -68,6 +68,25 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 20"""
 
 
+def _digest(found: DataFrame, kinds: list[str]) -> DataFrame:
+    """The counts of the base kinds, their digest and the list of all spans."""
+    base, both = F.col("base"), F.concat("base", "added")
+    return found.select(
+        "doc_id", *[spans.count_of(base, k).alias(f"n_{kind}") for k, kind in enumerate(kinds[:-1])],
+        F.sha2(F.encode(spans.listed(base, kinds), "UTF-8"), 256).alias("base_sha256"),
+        spans.listed(both, kinds).alias("spans"))
+
+
+@query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(secret_scan.scan(table(spark, sf_dir, "documents")), secret_scan.KINDS)
+
+
+@query
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _digest(pii.find_personal(table(spark, sf_dir, "documents")), pii.KINDS)
+
+
 @query
 def op7_lpt_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.lpt_shards(table(spark, sf_dir, "documents"), 16)
