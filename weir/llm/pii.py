@@ -33,7 +33,7 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 
 # Generators: tokens with a digit, groups of digits, names at hosts however spelt, account and network numbers.
 GENERATORS = {
-    "token": r"(?<!\S)(?=[^\s0-9]*+[0-9])\S++",
+    "token": r"(?<!\S)(?=[^\s0-9]*+[0-9])\S{6,}+",
     "digits": rf"{spans.run_start('0-9')}[(+]?[0-9][0-9 ().+/-]{{5,}}[0-9]",
     "name": (rf"{spans.run_start('A-Za-z0-9._%+-')}[A-Za-z0-9._%+-]++ ?(?:@|\(at\)|\[at\]) ?"
              r"[A-Za-z0-9-]++ ?(?:\.|\(dot\)|\[dot\]) ?[A-Za-z]{2,}+"),

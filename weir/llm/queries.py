@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weir import tune
 
-from . import mixing, neighbours, packing, pii, secret_scan, sharding, spans, topk, toxicity
+from . import dart_minhash, mixing, neighbours, packing, pii, secret_scan, sharding, spans, topk, toxicity
 
 TOXIC_FROM = 0.7
 
@@ -68,6 +68,11 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
 WHERE rank <= 20"""
 
 
+@query
+def op4_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def _digest(found: DataFrame, kinds: list[str]) -> DataFrame:
     """The counts of the base kinds, their digest and the list of all spans."""
     base, both = F.col("base"), F.concat("base", "added")
