@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weir import tune
 
-from . import dart_minhash, mixing, neighbours, packing, pii, secret_scan, sharding, spans, topk, toxicity
+from . import dart_minhash, mixing, neighbours, packing, pii, secret_scan, sharding, spans, suffixes, topk, toxicity
 
 TOXIC_FROM = 0.7
 
@@ -106,6 +106,11 @@ def op8_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, size=F.col("size")).select("doc_id", "source", "size", "mix.*")
 
 
+@query
+def op9_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
