@@ -15,6 +15,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Long texts reach Python in batches bounded by bytes, not only by rows.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
 }
 
 
