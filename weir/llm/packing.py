@@ -20,35 +20,74 @@ from .common import buckets_for, small_table, stored, text_of
 
 CAPACITY = 4096
 END_ID = 1
-WORDS_KEPT = 200_000  # of a worker's memory of words; it starts anew beyond, with the same results
+WORDS_KEPT = 400_000  # of a worker's memory of words; it starts anew beyond, with the same results
+AT_ONCE = 2000  # words for the tokenizer
 
 
 class WordEncoder:
     """Ids of texts as little-endian bytes, word by word, each word by the tokenizer once.
 
-    The tokenizer drops white space and no token spans it, so the ids of a text are those of its words in turn.
+    The tokenizer drops white space and no token spans it, so the ids of a text are those of its words in turn. It lowers
+    letters, and a comma or full stop after letters is a token of its own; so such spellings of a word share one entry,
+    unless the text may hold a special token, which is looked for before that, or letters beyond Latin-1. A word of small
+    Latin-1 letters is left as it is by all that comes before the tokenizer's model, so the model alone takes it.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {"": b""}
+        spell = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.spelling = {i: spell(chr(i))[0][0] for i in range(33, 256) if chr(i).isalpha()}
+
+    def _words(self, text: str) -> list[str]:
+        words = text.replace("\n", " ")
+        if "<|" in text or not _is_latin(text):
+            return words.split(" ")
+        out: list[str] = []
+        for word in words.lower().split(" "):
+            if word[-1:] in (",", ".") and word[:-1].isalpha():
+                out += word[:-1], word[-1]
+            else:
+                out.append(word)
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _learn(self, words: list[str]) -> None:
         import numpy as np
 
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in self.known})
-        for i in range(0, len(new), 10_000):
-            part = new[i : i + 10_000]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        rest, tokenize, spelling = [], self.tokenizer.model.tokenize, self.spelling
+        for word in words:
+            if word.isalpha() and word.islower() and _is_latin(word):
+                self.known[word] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(word.translate(spelling))])
+            else:
+                rest.append(word)
+        for i in range(0, len(rest), AT_ONCE):
+            part = rest[i : i + AT_ONCE]
+            found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            data = np.array(found.ids, "<u4").tobytes()
+            cuts = (4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
+            for word, start, end in zip(part, cuts, cuts[1:], strict=False):
+                self.known[word] = data[start:end]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        split = [self._words(t) for t in texts]
+        self._learn(list(set().union(*split).difference(self.known)))
         done = [b"".join(map(self.known.__getitem__, words)) for words in split]
         if len(self.known) > WORDS_KEPT:
             self.known = {"": b""}
         return done
 
 
+def _is_latin(text: str) -> bool:
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _pieces_of(path: str, capacity: int, end_id: int):
     def pieces(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -59,7 +98,7 @@ def _pieces_of(path: str, capacity: int, end_id: int):
             first = 0
             while first < len(lengths):
                 last, size = first, 0
-                while last < len(lengths) and (last == first or size + lengths[last] <= 1 << 21):
+                while last < len(lengths) and (last == first or size + lengths[last] <= 1 << 20):
                     size, last = size + lengths[last], last + 1
                 texts = batch.column(2).slice(first, last - first).to_pylist()
                 rows: list[list[int]] = [[], [], [], [], []]
