@@ -7,7 +7,8 @@ one member leaves the sort. Digits are fingerprints of byte ranges, so a pass is
    All suffixes next to each other with the same such gram travel as one run. Suffixes equal through the depth hold the
    same gram at the same place.
 2. Digit two is the whole run. Equal runs hold equal suffixes one by one; all but the first run are repeats.
-3. Where a gram has several different runs, the first of each is opened and its suffixes are sorted by all ``depth`` bytes.
+3. Where a gram has several different runs, the first of each is opened and its suffixes are sorted by all ``depth`` bytes:
+   within the gram's group where it is small, else spread by a fingerprint of those bytes.
 
 Equal groups are then exactly the repeated windows. Each task first merges what repeats within a piece of its input, so a
 window shared by very many documents sends at most one row per piece, and a gram with many runs in one piece is opened at
@@ -30,15 +31,19 @@ DEPTH = 100
 GRAM = 32
 PIECE = 1 << 20  # bytes sorted at a time; two pieces together stay below 2^21
 MANY_RUNS = 8  # of one gram in one piece
+GATHERED = 64  # different runs of one gram that are sorted in one place, as texts
 OPENED = 4096  # runs opened at a time
 PLACE = np.uint64((1 << 21) - 1)
 
 # Kinds of rows between the passes.
-RUN, CROWDED, REPEAT, OPEN, WINDOW = range(5)
+RUN, CROWDED, REPEAT, OPEN, SPREAD, WINDOW = range(6)
 ROW = "kind int, key long, sub long, doc long, at long, span int"
 NAMES = ["kind", "key", "sub", "doc", "at", "span"]
 
 
+TEXT_ROW = f"{ROW}, text binary"
+
+
 def _batch(*parts: tuple):
     """A batch of rows from tuples of arrays in the order of ``NAMES``."""
     import pyarrow as pa
@@ -124,7 +129,7 @@ def _first_pass(depth: int):
             yield _batch(
                 (REPEAT, mix(doc[later].astype(np.uint64)).view(np.int64), 0, doc[later], at[later], span[later] + depth),
                 (CROWDED, grams[crowded], 0, np.zeros(int(crowded.sum()), np.int64), 0, 0),
-                (np.where(crowded[turn], OPEN, RUN), key, sub, doc[~again], at[~again], span[~again]))
+                (np.where(crowded[turn], SPREAD, RUN), key, sub, doc[~again], at[~again], span[~again]))
 
     return sort
 
@@ -160,58 +165,97 @@ def _group_pass(depth: int):
 
 def _settled(table, depth: int):
     kind, key, sub, doc, at, span = (table.column(n).to_numpy() for n in NAMES)
-    out = []
-    passed = (kind == REPEAT) | (kind == OPEN)
-    out.append((kind[passed], key[passed], sub[passed], doc[passed], at[passed], span[passed]))
-    for sort, most in ((RUN, depth), (WINDOW, depth)):
-        use = kind == sort
-        k, s, d, a, n = (x[use] for x in (key, sub, doc, at, span))
+    passed = (kind == REPEAT) | (kind == SPREAD)
+    out = [tuple(x[passed] for x in (kind, key, sub, doc, at, span))]
+    if "text" in table.column_names:
+        use = np.nonzero(kind == OPEN)[0]
+        for first in range(0, len(use), OPENED):
+            # A gram's runs stay together: a part ends where the gram does.
+            low, high = (int(np.searchsorted(key[use], key[use[i]], "left")) if i < len(use) else i
+                         for i in (first, first + OPENED))
+            rows = use[low:high]
+            if len(rows):
+                out.append(_sorted_runs(*(x[rows] for x in (key, doc, at, span)), table.column("text").take(rows), depth))
+    else:
+        k, s, d, a, n = (x[kind == RUN] for x in (key, sub, doc, at, span))
         again, later = _repeats(k, s, d, a)
-        out.append((REPEAT, k[later], 0, d[later], a[later], n[later] + most))
-        if sort == RUN:
-            k, s, d, a, n = (x[~again] for x in (k, s, d, a, n))
-            grams, turn, count = np.unique(k, return_inverse=True, return_counts=True)
-            several = (count > 1) | np.isin(grams, key[kind == CROWDED])
-            opened = several[turn]
-            out.append((OPEN, k[opened], s[opened], d[opened], a[opened], n[opened]))
+        out.append((REPEAT, k[later], 0, d[later], a[later], n[later] + depth))
+        k, s, d, a, n = (x[~again] for x in (k, s, d, a, n))
+        grams, turn, count = np.unique(k, return_inverse=True, return_counts=True)
+        spread = np.isin(grams, key[kind == CROWDED]) | (count > GATHERED)
+        opened = (spread | (count > 1))[turn]
+        out.append((np.where(spread[turn[opened]], SPREAD, OPEN), *(x[opened] for x in (k, s, d, a, n))))
+    k, s, d, a = (x[kind == WINDOW] for x in (key, sub, doc, at))
+    _, later = _repeats(k, s, d, a)
+    out.append((REPEAT, k[later], 0, d[later], a[later], depth))
     return _batch(*out)
 
 
+def _suffixes(span: np.ndarray, depth: int):
+    """Run, place in the run and place in the runs' joined texts of every suffix."""
+    own = np.repeat(np.arange(len(span)), span + 1)
+    shift = np.arange(len(own)) - np.repeat(np.cumsum(span + 1) - span - 1, span + 1)
+    return own, shift, (np.cumsum(span + depth) - span - depth)[own] + shift
+
+
+def _sorted_runs(gram, doc, at, span, texts, depth: int) -> tuple:
+    """Repeats among the suffixes of runs, given as texts, of several grams; next to each other they are one range."""
+    data = np.frombuffer(b"".join(texts.to_pylist()), np.uint8)
+    span = span.astype(np.int64)
+    own, shift, start = _suffixes(span, depth)
+    prefixes = Prefixes(len(data))
+    full = mix(prefixes.slices(prefixes.sums(data), start, start + depth))
+    order = np.lexsort((at[own] + shift, doc[own], full, gram[own]))
+    _, later = _repeats(gram[own[order]], full[order], doc[own[order]], (at[own] + shift)[order])
+    hit = np.zeros(len(own), bool)
+    hit[order] = later
+    new = hit & ~np.concatenate([[False], hit[:-1] & (own[1:] == own[:-1])])
+    end = hit & ~np.concatenate([hit[1:] & (own[1:] == own[:-1]), [False]])
+    low, high = np.nonzero(new)[0], np.nonzero(end)[0]
+    run = own[low]
+    return REPEAT, gram[run], 0, doc[run], at[run] + shift[low], high - low + depth
+
+
 def _opener(depth: int):
-    """The suffixes of opened runs by their whole depth, from documents with their lists of runs."""
+    """Opened runs as texts, and the suffixes of those to be spread, from documents with their lists of runs."""
     def open_runs(batches: Iterator) -> Iterator:
         prefixes = Prefixes(OPENED * 3 * depth)
         for batch in batches:
-            todo: list[tuple[int, int, int, int, bytes]] = []
+            todo: list[tuple[int, int, int, int, int, bytes]] = []
             for doc, value, found in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(),
                                          strict=True):
                 text = value.as_buffer()
-                for run in found:
-                    todo.append((doc, run["at"], run["key"], run["span"],
+                for run in found or ():
+                    todo.append((run["kind"], doc, run["at"], run["key"], run["span"],
                                  text.slice(run["at"], run["span"] + depth).to_pybytes()))
                     if len(todo) == OPENED:
-                        yield _opened(todo, depth, prefixes)
+                        yield from _opened(todo, depth, prefixes)
                         todo = []
-            if todo:
-                yield _opened(todo, depth, prefixes)
+            yield from _opened(todo, depth, prefixes)
 
     return open_runs
 
 
 def _opened(todo: list, depth: int, prefixes: Prefixes):
-    data = np.frombuffer(b"".join(t[4] for t in todo), np.uint8)
-    doc, at, gram, span = (np.array([t[i] for t in todo], np.int64) for i in range(4))
-    ends = np.cumsum(span + depth)
-    own = np.repeat(np.arange(len(todo)), span + 1)
-    shift = np.arange(len(own)) - np.repeat(np.cumsum(span + 1) - span - 1, span + 1)
-    start = (ends - span - depth)[own] + shift
-    key = _signed(mix(prefixes.slices(prefixes.sums(data), start, start + depth)))
-    sub, doc, at = gram[own], doc[own], at[own] + shift
-    order = np.lexsort((at, doc, sub, key))
-    key, sub, doc, at = (x[order] for x in (key, sub, doc, at))
-    again, later = _repeats(key, sub, doc, at)
-    return _batch((REPEAT, key[later], 0, doc[later], at[later], depth),
-                  (WINDOW, key[~again], sub[~again], doc[~again], at[~again], 0))
+    import pyarrow as pa
+
+    columns = lambda rows: (np.array([t[i] for t in rows], np.int64) for i in range(1, 5))
+    if whole := [t for t in todo if t[0] == OPEN]:
+        doc, at, gram, span = columns(whole)
+        rows = _batch((OPEN, gram, 0, doc, at, span))
+        yield rows.append_column("text", pa.array([t[5] for t in whole], pa.binary()))
+    if rest := [t for t in todo if t[0] == SPREAD]:
+        data = np.frombuffer(b"".join(t[5] for t in rest), np.uint8)
+        doc, at, gram, span = columns(rest)
+        own, shift, start = _suffixes(span, depth)
+        key = _signed(mix(prefixes.slices(prefixes.sums(data), start, start + depth)))
+        sub, doc, at = gram[own], doc[own], at[own] + shift
+        order = np.lexsort((at, doc, sub, key))
+        key, sub, doc, at = (x[order] for x in (key, sub, doc, at))
+        again, later = _repeats(key, sub, doc, at)
+        rows = _batch((REPEAT, key[later], 0, doc[later], at[later], depth),
+                      (WINDOW, key[~again], sub[~again], doc[~again], at[~again], 0))
+        yield rows.append_column("text", pa.nulls(rows.num_rows, pa.binary()))
 
 
 def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -273,11 +317,12 @@ def remove_repeats(docs: DataFrame, *, depth: int = DEPTH, id_col: str = "doc_id
 
     ranges = lambda df, *more: df.groupBy("doc").agg(  # noqa: E731  a document's own ranges, as long as it is at most
         F.collect_list(F.struct("at", "span", *more)).alias("found"))
-    opened = ranges(marks.where(F.col("kind") == OPEN), "key")
-    windows = texts.join(opened, F.col("id") == F.col("doc")).select("id", "text", "found").mapInArrow(_opener(depth), ROW)
-    windows = _sorted_by_group(windows).mapInArrow(_group_pass(depth), ROW)
-    repeats = stored(windows.where(F.col("kind") == REPEAT).select("doc", "at", "span"), "suffix-windows").unionByName(
-        marks.where(F.col("kind") == REPEAT).select("doc", "at", "span"))
+    opened = ranges(marks.where(F.col("kind").isin(OPEN, SPREAD)), "kind", "key")
+    # Both joins read the texts from one shuffle.
+    whole = (texts.join(opened, F.col("id") == F.col("doc"), "left").select("id", "text", "found")
+             .mapInArrow(_opener(depth), TEXT_ROW))
+    windows = _sorted_by_group(whole).mapInArrow(_group_pass(depth), ROW)
+    repeats = (windows.unionByName(marks).where(F.col("kind") == REPEAT).select("doc", "at", "span"))
     done = (texts.join(ranges(repeats), F.col("id") == F.col("doc"), "left").select("id", "text", "found")
             .mapInArrow(_cutter(depth), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
     numbers = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]
