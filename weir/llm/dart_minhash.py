@@ -23,7 +23,7 @@ WORDS = 5
 LEAST = 0.8
 COORDINATES, ROWS = 128, 4  # 32 bands of 4: a pair at 0.8 shares none with a chance of 5e-8
 CHUNK = 1 << 20  # bytes of text at a time
-LEADERS = 8  # of an unsettled bucket and round, after the first round
+GROWTH = 8  # times as many leaders in an unsettled bucket as in the round before
 
 # Chances of up to so many darts in a cell, one expected.
 _DARTS = np.cumsum([np.exp(-1) / np.prod(np.arange(1, k + 1), initial=1.0) for k in range(12)])
@@ -200,7 +200,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     id are left out. An empty table gives no rows. Other columns are not read.
 
     A bucket of equal bands is searched from leaders: first the member that meets most others, then, where a bucket still
-    holds several classes, further members in turn against those of other classes, until one class or no untried member is
+    holds several classes, more and more further members against those of other classes, until one class or no untried member is
     left. So no link between texts of one bucket is lost, and no bucket is expanded into its pairs.
     """
     spark = docs.sparkSession
@@ -235,7 +235,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Copies of one text and rows of one id are linked through copies' smallest ids.
     copy_links = (sketches.join(copies.select("copy", "copy2", F.col("id").alias("a"), "last").where("a <> last"),
                                 ["copy", "copy2"]).where("id <> a").select("a", F.col("id").alias("b")))
-    links, state, leaders = None, members.withColumn("root", F.col("id")).withColumn("tried", F.lit(False)), 1
+    links, tested, leaders, state = None, None, 1, members.withColumn("root", F.col("id")).withColumn("tried", F.lit(False))
     while True:
         turn = F.pmod(F.xxhash64("id"), F.lit(leaders)).cast("int")
         chosen = (state.where("not tried").groupBy("bucket", turn.alias("turn"))
@@ -243,6 +243,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                   .select("bucket", F.col("top.id").alias("a"), F.col("top.root").alias("a_root")))
         pairs = (state.join(chosen, "bucket").where("root <> a_root")
                  .select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "dart-pairs")
+        tested = pairs if tested is None else tested.unionByName(pairs)
         found = stored(alike(pairs), "dart-links")
         links = found if links is None else links.unionByName(found)
         roots = components(links)
@@ -257,7 +261,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         state = stored(state.join(open_, "bucket", "left_semi"), "dart-state")
         if not state.limit(1).count():
             break
-        leaders = LEADERS
+        leaders *= GROWTH
 
     roots = components(links.unionByName(copy_links))
     labelled = (sketches.select("id").distinct().join(roots, "id", "left")
