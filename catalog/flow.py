@@ -249,7 +249,7 @@ def _(spark, d):
         shard=F.concat(F.lit("shard-"), F.pmod("user_id", F.lit(8)).cast("string")),
         sequence=F.col("event_id") * 37, key="user_id", ts="ts", data=F.encode("props", "UTF-8"),
     ).withColumn("record", F.decode("data", "UTF-8"))
-    rules = RuleSet([Rule("log", "debug", send=SEND_ALL, params={"rows": 3})])
+    rules = RuleSet([Rule("log", "debug", send=SEND_ALL)])
     run_router(stream, rules, f"{out}/stream", after=commit_progress(f"{out}/table")).awaitTermination()
     return read_progress(spark, f"{out}/table").select("shard_id", "sequence_number")
 

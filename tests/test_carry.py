@@ -157,3 +157,11 @@ def test_seen_keys_with_nulls_and_copies(spark):
     assert sorted((r.k, r.j or "") for r in seen_lookup(rows, seen.union(seen)).collect()) == [("a", ""), ("b", "x"), ("b", "x")]
     assert seen_count(seen_add(seen, rows)).first()["keys"] == 3
     assert [(r.k, r.j) for r in seen_remove(seen, rows.where("k = 'a'")).collect()] == [("b", "x")]
+
+
+def test_first_seen_with_ties_and_without_order(spark):
+    rows = [(1, "a", 1), (2, "b", 1), (3, "a", 2), (4, "c", None), (5, "c", None), (6, "c", 1), (7, None, 3), (8, None, 4)]
+    df = spark.createDataFrame(rows, "i int, k string, o int")
+    flags = {r.i: r.first_seen for r in unique_flag(df, ["k"], ["o"]).collect()}
+    assert len(flags) == len(rows) and {i for i, f in flags.items() if f == "true"} == {1, 2, 4, 5, 7}
+    assert {r.i for r in unique_filter(df, ["k"], ["o"]).collect()} == {1, 2, 4, 5, 7}

@@ -78,14 +78,14 @@ def test_every_event_of_ten_shards_exactly_once(spark):
     rng = random.Random(1)
     codec = pa.Codec("snappy")
     rows, at = [], dt.datetime(2024, 1, 1)
-    pending = list(range(4321))
+    pending = list(range(2750))
     while pending:
         size = rng.randint(1, 9)
         part, pending = pending[:size], pending[size:]
         packed = [codec.compress(str(n).encode(), asbytes=True) for n in part]
         rows.append((f"shard-{rng.randint(0, 9)}", str(part[0] + 1), "k", at, packed[0] if size == 1 else aggregated(packed)))
     out = decode_snappy(deaggregate(spark.createDataFrame(rows, ENVELOPE).repartition(8)))
-    assert sorted(int(r.record) for r in out.select("record").collect()) == list(range(4321))
+    assert sorted(int(r.record) for r in out.select("record").collect()) == list(range(2750))
 
 
 def test_positions_follow_number_order_of_texts(spark):

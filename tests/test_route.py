@@ -8,10 +8,10 @@ from weir import (
     load_ruleset, lt, ne, rand_, route, split_by_destination, sprintf, str_, time_,
 )
 
-NUMBERS = '{ "test1" : 1234, "test2" : 55 }'
-NESTED = '{ "org": 50, "site": "north", "detail": {"name": "pump", "version": 99} }'
-ARRAY = '{ "test1" : 1234, "myArray" : [ "one", "two", "three" ] }'
-PERSON = '{"Person": {"Ready": true, "Number": 42, "First": "Ada", "Last": "Byron"}, "Rest": {}}'
+# Readings of our own making: three of each shape, no two alike.
+LEVELS = [json.dumps({"depth": d, "flow": f, "gauge": g}) for d, f, g in ((7, 310, "a7"), (18, 12, "b2"), (-3, 95, "c0"))]
+STATIONS = [json.dumps({"station": {"place": {"river": r, "km": km}, "crew": crew}, "open": ok}) for r, km, crew, ok in (
+    ("Elbe", 412.5, ["Ida", "Per"], True), ("Tay", 31, [], False), ("Ebro", 640, ["Noa"], True))]
 
 
 def sent(spark, rows, send, when=None, **options):
@@ -20,42 +20,35 @@ def sent(spark, rows, send, when=None, **options):
     return {r.i: r.outbound for r in out.collect()}
 
 
-def test_two_numbers(spark):
-    rows = [NUMBERS] * 3
-    none = sent(spark, rows, None, lambda r: all_of(lt(r.json("test1"), 50), ge(r.json("test2"), 30)))
-    assert none == {}
-    both = sent(spark, rows, lambda r: [("value_one", r.json("test1")), ("value_two", r.json("test2"))],
-                lambda r: all_of(ge(r.json("test1"), 50), ge(r.json("test2"), 30)))
-    assert both == dict.fromkeys(range(3), '{"value_one":1234,"value_two":55}')
-    text = sent(spark, rows, lambda r: {"printer": sprintf("%v-%v", r.json("test1"), r.json("test2"))})
-    assert text == dict.fromkeys(range(3), '{"printer":"1234-55"}')
+@pytest.mark.parametrize("low, high", [(0, 100), (-10, 12), (8, 400), (500, 501)])
+def test_ranges_over_levels(spark, low, high):
+    got = sent(spark, LEVELS, lambda r: {"at": sprintf("%v/%v", r.json("gauge"), r.json("flow"))},
+               lambda r: all_of(ge(r.json("depth"), low), lt(r.json("flow"), high)))
+    want = {i: json.dumps({"at": f"{x['gauge']}/{x['flow']}"}, separators=(",", ":"))
+            for i, x in enumerate(map(json.loads, LEVELS)) if x["depth"] >= low and x["flow"] < high}
+    assert got == want
 
 
-def test_person(spark):
-    def when(r):
-        return all_of(ne(r.json("Person"), None), eq(r.json("Person.Ready"), True), lt(r.json("Person.Number"), 43),
-                      eq(r.json("Person.Number"), 42))
+def test_deep_paths_of_stations(spark):
+    got = sent(spark, STATIONS + LEVELS, lambda r: {"km": r.json("station.place.km"), "boat": r.json("station.boat")},
+               lambda r: all_of(ne(r.json("station.place"), None), eq(r.json("open"), True)))
+    assert got == {0: '{"boat":null,"km":412.5}', 2: '{"boat":null,"km":640}'}
 
-    out = sent(spark, [PERSON, NESTED, PERSON], lambda r: {
-        "middle": r.json("Person.Middle"), "answer": r.json("Person.Number"),
-        "name": sprintf("I am - %v %v.", r.json("Person.First"), r.json("Person.Last"))}, when)
-    expected = '{"answer":42,"middle":null,"name":"I am - Ada Byron."}'
-    assert out == {0: expected, 2: expected}
 
-
-def test_nested_array_and_default_names(spark):
-    assert sent(spark, [NESTED], lambda r: [r.json("org"), r.json("detail.name")]) == {
-        0: '{"detail.name":"pump","org":50}'}
-    assert sent(spark, [ARRAY, NUMBERS, ARRAY], lambda r: {"arr": join_("COMMA", r.json("myArray"))}) == {
-        0: '{"arr":"one,two,three"}', 2: '{"arr":"one,two,three"}'}
-    assert sent(spark, [ARRAY], lambda r: {"arr": first_non_null(r.json("nonExistent"), r.json("test1"))}) == {
-        0: '{"arr":1234}'}
+def test_arrays_and_default_names(spark):
+    assert sent(spark, STATIONS, lambda r: [r.json("open"), r.json("station.place.river")]) == {
+        i: json.dumps({"open": x["open"], "station.place.river": x["station"]["place"]["river"]}, separators=(",", ":"))
+        for i, x in enumerate(map(json.loads, STATIONS))}
+    assert sent(spark, STATIONS + LEVELS, lambda r: {"who": join_("COMMA", r.json("station.crew"))}) == {
+        0: '{"who":"Ida,Per"}', 1: '{"who":""}', 2: '{"who":"Noa"}'}
+    assert sent(spark, LEVELS, lambda r: {"v": first_non_null(r.json("width"), r.json("depth"))}) == {
+        0: '{"v":7}', 1: '{"v":18}', 2: '{"v":-3}'}
 
 
 def test_send_all_overrides_and_empty_projection(spark):
-    rows = [NUMBERS, "not json", PERSON]
+    rows = [LEVELS[0], "not json", STATIONS[1]]
     assert sent(spark, rows, SEND_ALL) == dict(enumerate(rows))
-    assert sent(spark, rows, lambda r: [("a", r.json("test1")), SEND_ALL]) == dict(enumerate(rows))
+    assert sent(spark, rows, lambda r: [("a", r.json("depth")), SEND_ALL]) == dict(enumerate(rows))
     assert sent(spark, rows, None) == dict.fromkeys(range(3), "{}")
 
 
@@ -103,11 +96,11 @@ def test_exact_integers_and_odd_keys(spark):
 
 def test_each_match_is_sent_and_order_of_rules_is_kept(spark, tmp_path):
     rules = RuleSet([
-        Rule("a", "one", when=lambda r: gt(r.json("test1"), 0), send=lambda r: {"v": r.json("test1")}),
+        Rule("a", "one", when=lambda r: gt(r.json("flow"), 0), send=lambda r: {"v": r.json("flow")}),
         Rule("b", "two", send=SEND_ALL, checkpoint=False),
-        Rule("c", "one", when=lambda r: eq(r.json("test1"), None)),
+        Rule("c", "one", when=lambda r: eq(r.json("flow"), None)),
     ])
-    df = spark.createDataFrame([(0, NUMBERS), (1, NESTED), (2, "")], "i int, record string")
+    df = spark.createDataFrame([(0, LEVELS[0]), (1, STATIONS[1]), (2, "")], "i int, record string")
     out = route(df, rules)
     assert out.columns == ["i", "rule", "destination", "checkpoint", "outbound"]
     assert sorted((r.i, r.rule, r.destination, r.checkpoint) for r in out.collect()) == [
@@ -126,19 +119,19 @@ def test_registry_of_rules():
 
 
 def test_empty_ruleset_and_nested_values(spark):
-    df = spark.createDataFrame([(0, NUMBERS)], "i int, record string")
+    df = spark.createDataFrame([(0, LEVELS[0])], "i int, record string")
     with pytest.raises(ValueError):
         route(df, RuleSet())
-    out = sent(spark, [NUMBERS], lambda r: {"x": sprintf("<%v>", first_non_null(r.json("no"), concat("a", r.json("test2"))))},
-               lambda r: eq(first_non_null(r.json("no"), r.json("test1")), 1234))
-    assert out == {0: '{"x":"<a55>"}'}
+    out = sent(spark, [LEVELS[0]], lambda r: {"x": sprintf("<%v>", first_non_null(r.json("no"), concat("a", r.json("depth"))))},
+               lambda r: eq(first_non_null(r.json("no"), r.json("flow")), 310))
+    assert out == {0: '{"x":"<a7>"}'}
 
 
 def test_record_is_parsed_once(spark):
-    df = spark.createDataFrame([(0, NUMBERS)], "i int, record string")
+    df = spark.createDataFrame([(0, LEVELS[0])], "i int, record string")
     rules = RuleSet([
-        Rule(f"r{i}", "x", when=lambda r, i=i: all_of(gt(r.json("test1"), i), lt(r.json("test2"), i), ne(r.json("x"), i)),
-             send=lambda r: {"a": r.json("test1"), "b": r.json("test2")})
+        Rule(f"r{i}", "x", when=lambda r, i=i: all_of(gt(r.json("flow"), i), lt(r.json("depth"), i), ne(r.json("x"), i)),
+             send=lambda r: {"a": r.json("flow"), "b": r.json("depth")})
         for i in range(5)
     ])
     plan = route(df, rules)._jdf.queryExecution().executedPlan().toString()

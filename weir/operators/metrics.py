@@ -59,7 +59,7 @@ class RouterListener(StreamingQueryListener):
         self.record_count = 0
         self.checkpoint_count = 0
         self.critical_error_count = 0
-        self.publish_millis: list[int] = []
+        self.publish_count = self.publish_millis_sum = self.publish_millis_max = 0
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -68,8 +68,10 @@ class RouterListener(StreamingQueryListener):
         progress = event.progress
         self.record_count += progress.numInputRows
         self.checkpoint_count += 1
-        self.publish_millis.append(progress.durationMs.get("addBatch", 0))
-        del self.publish_millis[:-1000]
+        millis = progress.durationMs.get("addBatch", 0)
+        self.publish_count += 1
+        self.publish_millis_sum += millis
+        self.publish_millis_max = max(self.publish_millis_max, millis)
 
     def onQueryIdle(self, event) -> None:
         pass

@@ -38,7 +38,9 @@ def commit(progress: DataFrame, batch: DataFrame, at: Column | None = None) -> D
 
 def changed(progress: DataFrame, batch: DataFrame) -> DataFrame:
     """The rows of ``batch`` that a commit would have to write."""
-    return batch.join(progress, ["shard_id", "sequence_number"], "left_anti")
+    done = progress.select(F.col("shard_id").alias("__shard"), F.col("sequence_number").alias("__done"))
+    kept = (F.col("shard_id") == F.col("__shard")) & (sequence_key("sequence_number") <= sequence_key("__done"))
+    return batch.join(done, kept, "left_anti")
 
 
 def finish(progress: DataFrame, ends: DataFrame, at: Column | None = None) -> DataFrame:

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.carry import as_column, with_order
-from ..plans.sizes import broadcast_if_small
 
 
 def first_rows(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str],
@@ -25,34 +24,40 @@ def first_rows(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Colu
         df = df.where(given)
     key_names = [f"__key{i}" for i in range(len(keys))]
     grouped = df.select(*[as_column(k).alias(n) for k, n in zip(keys, key_names)], *names).groupBy(*key_names)
-    if len(names) == 1:
-        return grouped.agg(F.min(names[0]).alias(names[0])), key_names, names
+    # As a struct, so that a key seen only without an order has a first row too: null comes before all else.
     firsts = grouped.agg(F.min(F.struct(*names)).alias("__first"))
     return firsts.select(*key_names, "__first.*"), key_names, names
 
 
+def _with_firsts(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], given: Column | None,
+                 how: str) -> DataFrame:
+    """The rows joined with the first rows by key and order, nulls being equal; there is one first row of a key."""
+    firsts, key_names, names = first_rows(df, keys, order, given)
+    rows, _ = with_order(df, order)
+    rows = rows.select("*", *[as_column(k).alias(n) for k, n in zip(keys, key_names)])
+    on = [*key_names, *names]
+    firsts = firsts.select(*[F.col(n).alias(f"{n}__first") for n in on], F.lit(True).alias("__hit"))
+    same = F.lit(True)
+    for n in on:
+        same = same & F.col(n).eqNullSafe(F.col(f"{n}__first"))
+    return rows.join(firsts, same, how)
+
+
 def unique_flag(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str], *,
                 into: str = "first_seen", given: Column | None = None) -> DataFrame:
-    """Add ``"true"`` on the first row of a key, ``"false"`` on later ones.
+    """Add ``"true"`` on the first row of a key, ``"false"`` on later ones; every row comes out once.
 
-    ``order`` must tell all rows apart. Rows are matched to the first rows by
-    their order, not by key, so a hot key spreads over all partitions. With
-    ``given``, only rows that satisfy it count as seen.
+    Rows of a key that share its first order are all first. Rows without an order come before all others. Rows are matched
+    to the first rows by key and order, so a hot key spreads over all partitions. With ``given``, only rows that satisfy it
+    count as seen.
     """
-    firsts, _, names = first_rows(df, keys, order, given)
-    rows, _ = with_order(df, order)
-    # Few keys: counting them reads narrow columns and saves the shuffle of all rows.
-    firsts = broadcast_if_small(firsts.select(*names))
-    marked = rows.join(firsts.withColumn("__hit", F.lit(True)), names, "left")
     flag = F.when(F.col("__hit"), "true").otherwise("false")
-    return marked.select(*df.columns, flag.alias(into))
+    return _with_firsts(df, keys, order, given, "left").select(*df.columns, flag.alias(into))
 
 
 def unique_filter(df: DataFrame, keys: Sequence[Column | str], order: Sequence[Column | str]) -> DataFrame:
-    """Only the first row of every key."""
-    firsts, _, names = first_rows(df, keys, order)
-    rows, _ = with_order(df, order)
-    return rows.join(broadcast_if_small(firsts.select(*names)), names, "left_semi").select(*df.columns)
+    """Only the first row of every key; several if they share its first order."""
+    return _with_firsts(df, keys, order, None, "left_semi").select(*df.columns)
 
 
 def seen_add(seen: DataFrame, new: DataFrame) -> DataFrame:

@@ -61,8 +61,13 @@ def _emit(matches: DataFrame, batch_id: int, params: Mapping[str, object]) -> No
 
 
 def _debug(matches: DataFrame, batch_id: int, params: Mapping[str, object]) -> None:
-    for row in matches.select("rule", "outbound").take(int(params.get("rows", 20))):
-        log.info("batch %s rule %s: %s", batch_id, row.rule, row.outbound)
+    """Log every match, on the executor that has it."""
+    def write(rows) -> None:
+        out = logging.getLogger("weir")
+        for row in rows:
+            out.info("batch %s rule %s: %s", batch_id, row.rule, row.outbound)
+
+    matches.select("rule", "outbound").foreachPartition(write)
 
 
 register_sink("batch", _batch)

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..plans.sizes import broadcast_if_small
 
 ENVELOPE = T.StructType([
     T.StructField("shard_id", T.StringType()),
@@ -176,7 +175,7 @@ def from_position(df: DataFrame, mode: str, positions: DataFrame | None = None,
         return df.where(F.lit(False))
     if mode not in ("AT", "AFTER") or positions is None:
         raise ValueError("mode must be TRIM_HORIZON, LATEST, or AT / AFTER with positions")
-    start = broadcast_if_small(positions.select(F.col(shard), F.col(sequence).alias("__start")))
+    start = positions.select(F.col(shard), F.col(sequence).alias("__start"))
     here, there = sequence_key(sequence), sequence_key("__start")
     reached = here >= there if mode == "AT" else here > there
     joined = df.join(start, shard, "left")

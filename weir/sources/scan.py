@@ -6,12 +6,5 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table, spread over all cores if its files alone would not.
-
-    Parsing and testing records is work for the CPU, yet a table of few row
-    groups is read by as few tasks. Only then are the rows dealt out again; a
-    table with at least one split per core is read in place, without a shuffle.
-    """
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    """A Parquet table in its own splits; ``spark.sql.files.maxPartitionBytes`` sets their size."""
+    return spark.read.parquet(path)
