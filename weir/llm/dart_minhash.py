@@ -23,7 +23,8 @@ WORDS = 5
 LEAST = 0.8
 COORDINATES, ROWS = 128, 4  # 32 bands of 4: a pair at 0.8 shares none with a chance of 5e-8
 CHUNK = 1 << 20  # bytes of text at a time
-GROWTH = 8  # times as many leaders in an unsettled bucket as in the round before
+LEADERS = 1, 8  # leaders of a bucket in each round; what they leave unsettled is compared in blocks
+BLOCK = 1 << 20  # bytes of shingles in a block
 
 # Chances of up to so many darts in a cell, one expected.
 _DARTS = np.cumsum([np.exp(-1) / np.prod(np.arange(1, k + 1), initial=1.0) for k in range(12)])
@@ -189,6 +190,63 @@ def similarity(x: np.ndarray, w: np.ndarray, y: np.ndarray, v: np.ndarray, weigh
     return both / max(1, w.sum() + v.sum() - both)
 
 
+def _block_links(least: float, weighted: bool):
+    def links(table):
+        """Links ``a, b`` that connect the classes of two blocks (or of one with itself): a spanning forest of them."""
+        import pyarrow as pa
+
+        ids, roots = table.column("id").to_pylist(), table.column("root").to_pylist()
+        left, right = np.array(table.column("left")), np.array(table.column("right"))
+        sets = [np.frombuffer(x, np.uint64) for x in table.column("x").to_pylist()]
+        if weighted:
+            sets = [_counted(x, np.frombuffer(w, np.int32))
+                    for x, w in zip(sets, table.column("w").to_pylist(), strict=True)]
+        size = np.array([len(x) for x in sets])
+        names, own = np.unique(np.array(roots, object), return_inverse=True)
+        above = np.arange(len(names))  # each class, and the one it was connected to
+
+        inside = np.nonzero(right)[0]
+        values = np.concatenate([sets[k] for k in inside]) if len(inside) else np.zeros(0, np.uint64)
+        order = np.argsort(values, kind="stable")
+        values, holder = values[order], np.repeat(inside, size[inside])[order]
+        found = []
+        for k in np.nonzero(left)[0]:
+            first, last = np.searchsorted(values, sets[k]), np.searchsorted(values, sets[k], "right")
+            n = last - first
+            at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+            both = np.bincount(holder[at], minlength=len(sets))
+            hits = np.nonzero(both & (both >= least * (size + size[k] - both)) & (above[own] != above[own[k]]))[0]
+            for j in hits:
+                low, high = sorted((above[own[k]], above[own[j]]))
+                if low != high:
+                    above[above == high] = low
+                    found.append((ids[k], ids[j]))
+        kind = table.schema.field("id").type
+        return pa.table({"a": pa.array([a for a, _ in found], kind), "b": pa.array([b for _, b in found], kind)})
+
+    return links
+
+
+def _counted(x: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """One value per occurrence, so that the similarity of these sets is the weighted one."""
+    turn = np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+    return mix(np.repeat(x, w) ^ mix(turn.astype(np.uint64), 23))
+
+
+def _in_blocks(state: DataFrame, sets: DataFrame, kind: str, least: float, weighted: bool) -> DataFrame:
+    """Links between members of different classes in each bucket, by pairs of blocks of about ``BLOCK`` bytes."""
+    sized = state.select("bucket", "id", "root").join(sets.select("id", F.octet_length("x").alias("size")), "id")
+    blocks = sized.groupBy("bucket").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id", "bucket"), F.greatest("blocks", F.lit(1))).cast("int")
+    placed = (sized.join(blocks, "bucket").withColumn("own", own)
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.greatest("blocks", F.lit(1)) - 1)))
+              .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id", "root",
+                      (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right")))
+    columns = ["id", "x", "w"] if weighted else ["id", "x"]
+    return stored(placed.join(sets.select(*columns), "id").groupBy("bucket", "i", "j")
+                  .applyInArrow(_block_links(least, weighted), f"a {kind}, b {kind}").distinct(), "dart-block-links")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
                     words: int = WORDS, weighted: bool = False, coordinates: int = COORDINATES,
                     rows: int = ROWS) -> DataFrame:
@@ -200,8 +258,9 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     id are left out. An empty table gives no rows. Other columns are not read.
 
     A bucket of equal bands is searched from leaders: first the member that meets most others, then, where a bucket still
-    holds several classes, more and more further members against those of other classes, until one class or no untried member is
-    left. So no link between texts of one bucket is lost, and no bucket is expanded into its pairs.
+    holds several classes, some further members against those of other classes. Members of different classes that no
+    leader has met are compared in blocks of bounded size, which return only links that connect classes. So no link
+    that connects texts of one bucket is lost, and no bucket is expanded into its pairs.
     """
     spark = docs.sparkSession
     text = text_of(text_col)
@@ -235,8 +294,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     # Copies of one text and rows of one id are linked through copies' smallest ids.
     copy_links = (sketches.join(copies.select("copy", "copy2", F.col("id").alias("a"), "last").where("a <> last"),
                                 ["copy", "copy2"]).where("id <> a").select("a", F.col("id").alias("b")))
-    links, tested, leaders, state = None, None, 1, members.withColumn("root", F.col("id")).withColumn("tried", F.lit(False))
-    while True:
+    links, tested, state = None, None, members.withColumn("root", F.col("id")).withColumn("tried", F.lit(False))
+    for leaders in LEADERS:
         turn = F.pmod(F.xxhash64("id"), F.lit(leaders)).cast("int")
         chosen = (state.where("not tried").groupBy("bucket", turn.alias("turn"))
                   .agg(F.max(F.struct("met", "id", "root")).alias("top"))
@@ -255,13 +314,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                  .select("bucket", "id", "met", F.coalesce("root", "id").alias("root"),
                          (F.col("tried") | F.coalesce("now", F.lit(False))).alias("tried")))
         state = stored(state, "dart-state")
-        open_ = (state.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"),
-                                             F.count_if(~F.col("tried")).alias("left"))
-                 .where("low <> high and left > 0").select("bucket"))
+        # What was tried has met its whole bucket: only untried members of different classes are left.
+        open_ = (state.where("not tried").groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+                 .where("low <> high").select("bucket"))
         state = stored(state.join(open_, "bucket", "left_semi"), "dart-state")
-        if not state.limit(1).count():
-            break
-        leaders *= GROWTH
+    links = links.unionByName(_in_blocks(state.where("not tried"), sets, kind, least, weighted))
 
     roots = components(links.unionByName(copy_links))
     labelled = (sketches.select("id").distinct().join(roots, "id", "left")
