@@ -180,6 +180,31 @@ def test_near_duplicates(docs, rows, empty):
     assert kept.columns == docs.columns and kept.count() == len(classes)
 
 
+@pytest.mark.parametrize("weighted", [False, True])
+def test_blocks_connect_the_classes_that_all_pairs_connect(weighted):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    bases = [np.unique(rng.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(4)]
+    sets = [np.sort(rng.choice(bases[k % 4], 50 + k % 9, replace=False)) for k in range(60)]
+    counts = [rng.integers(1, 3, len(x)).astype(np.int32) for x in sets]
+    side = [k % 3 for k in range(60)]
+    rows = {"id": list(range(60)), "root": [k if k > 7 else k % 4 for k in range(60)], "left": [s < 2 for s in side],
+            "right": [s > 0 for s in side], "x": [x.tobytes() for x in sets], "w": [w.tobytes() for w in counts]}
+    found = dart_minhash._block_links(0.8, weighted)(pa.table(rows)).to_pylist()
+
+    def classes(links):
+        own = dict(enumerate(rows["root"]))
+        for a, b in links:
+            own = {k: own[a] if v == own[b] else v for k, v in own.items()}
+        return {frozenset(k for k in own if own[k] == v) for v in own.values()}
+
+    alike = [(a, b) for a in range(60) for b in range(60) if rows["left"][a] and rows["right"][b] and
+             dart_minhash.similarity(sets[a], counts[a], sets[b], counts[b], weighted) >= 0.8]
+    assert classes([(r["a"], r["b"]) for r in found]) == classes(alike)
+    assert len(found) < len(set(rows["root"])) and set((r["a"], r["b"]) for r in found) <= set(alike)
+
+
 def test_darts_estimate_weighted_similarity():
     rng = np.random.default_rng(7)
     x = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))

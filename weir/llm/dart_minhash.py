@@ -215,7 +215,8 @@ def _block_links(least: float, weighted: bool):
             n = last - first
             at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
             both = np.bincount(holder[at], minlength=len(sets))
-            hits = np.nonzero(both & (both >= least * (size + size[k] - both)) & (above[own] != above[own[k]]))[0]
+            close = (both > 0) & (both / np.maximum(1, size + size[k] - both) >= least)
+            hits = np.nonzero(close & (above[own] != above[own[k]]))[0]
             for j in hits:
                 low, high = sorted((above[own[k]], above[own[j]]))
                 if low != high:
