@@ -11,7 +11,7 @@ from weir import (
 )
 from weir.streaming.state import ROCKSDB
 
-from .base import REC, event_stream, query, records, table
+from .base import REC, event_stream, events, query, records, table
 
 
 @query("unique_flag", """
@@ -37,6 +37,32 @@ def _(spark, d):
     return unique_filter(rows, ["user_id", "event_type"], ["event_id"])
 
 
+def _firsts_by_user(rows, order, first_column):
+    """Per user: how many rows are first, how many there are, and a column of the first row."""
+    first = F.col("first_seen") == "true"
+    flagged = unique_flag(rows, ["user_id"], [order])
+    return flagged.groupBy("user_id").agg(
+        F.count_if(first).alias("firsts"), F.count("*").alias("n"), F.max(F.when(first, first_column)).alias("first"))
+
+
+@query("unique_ties", """
+SELECT user_id, CAST(1 AS BIGINT) AS firsts, count(*) AS n, CAST(min(CAST(ts AS DATE)) AS VARCHAR) AS first
+FROM events GROUP BY user_id""")
+def _(spark, d):
+    rows = events(spark, d).select("event_id", "user_id", F.to_date("ts").alias("day"))
+    return _firsts_by_user(rows, "day", F.col("day").cast("string"))
+
+
+@query("unique_null_order", """
+SELECT user_id, CAST(1 AS BIGINT) AS firsts, count(*) AS n,
+       CASE WHEN count(*) FILTER (event_type = 'click') > 0 THEN -1 ELSE min(event_id) END AS first
+FROM events GROUP BY user_id""")
+def _(spark, d):
+    rows = table(spark, d, "events").select(
+        "event_id", "user_id", F.when(F.col("event_type") != "click", F.col("event_id")).alias("place"))
+    return _firsts_by_user(rows, "place", F.coalesce("place", F.lit(-1).cast("long")))
+
+
 @query("rule_unique", f"""
 WITH {REC} SELECT event_id, '{{"user":' || user_id || '}}' AS outbound
 FROM rec WHERE event_type = 'purchase'
@@ -73,6 +99,22 @@ def _(spark, d):
     return routed.select("event_id", "rule", "outbound")
 
 
+@query("rule_cache_ties", f"""
+WITH {REC}, twice AS (SELECT * FROM rec UNION ALL SELECT * FROM rec WHERE event_id % 3 = 0), kept AS (
+  SELECT event_id, user_id, event_type, vtxt,
+         last_value(CASE WHEN event_type = 'purchase' THEN vtxt END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS bought,
+         lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS before
+  FROM twice)
+SELECT event_id, 'after_click' AS rule, '{{"bought":' || coalesce(bought, 'null') || '}}' AS outbound FROM kept WHERE before = 'click'
+UNION ALL
+SELECT event_id, 'remember', '{{"now":' || bought || '}}' FROM kept WHERE event_type = 'purchase'""")
+def _(spark, d):
+    rows = records(spark, d)
+    twice = rows.unionByName(rows.where(F.pmod("event_id", F.lit(3)) == 0))
+    routed = route(twice, CACHING, keep=["event_id"], scope=["user_id"], order=["event_id"])
+    return routed.select("event_id", "rule", "outbound")
+
+
 @query("stream_rules", f"""
 WITH {REC}, kept AS (
   SELECT event_id, user_id, event_type, vtxt,

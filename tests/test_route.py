@@ -230,3 +230,18 @@ def test_random_and_time_ranges(spark):
         F.countDistinct("d").alias("n"), F.max("h").alias("h"), F.max("ms").alias("ms")).first()
     assert 0 <= row.lo < row.hi < 1 and 2**31 < row.u32 < 2**32 and 2**63 < row.u64 < 2**64
     assert row.n == 2000 and 0 <= row.h < 24 and row.ms > 1_700_000_000_000
+
+
+def test_records_that_repeat_or_tie_come_out_once(spark):
+    rows = [(0, 1, "pump"), (0, 1, "pump"), (0, 1, "valve"), (0, 2, "pump"), (0, None, "gate"), (0, None, "gate")]
+    df = spark.createDataFrame([(s, o, json.dumps({"part": p})) for s, o, p in rows], "site int, o int, record string")
+    rules = RuleSet([
+        Rule("all", "x", send=lambda r: {"was": r.fetch("part"), "first": r.unique(r.json("part"))},
+             cache=lambda r: {"last": r.json("part")}),
+        Rule("prior", "x", when=lambda r: eq(r.json("part"), "pump"), send=lambda r: {"was": r.fetch("last")}),
+        Rule("new", "x", when=lambda r: eq(r.unique(r.json("part")), True), send=lambda r: {"part": r.json("part")}),
+    ])
+    out = route(df, rules, scope=["site"], order=["o"]).collect()
+    assert sorted(r.rule for r in out) == ["all"] * 6 + ["new"] * 3 + ["prior"] * 3
+    assert sorted(r.outbound for r in out if r.rule == "new") == [f'{{"part":"{p}"}}' for p in ("gate", "pump", "valve")]
+    assert sum('"first":"true"' in r.outbound for r in out) == 3

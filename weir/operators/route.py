@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import Json, Views, as_text, as_variant, parse
-from ..plans.carry import carry_last, last_written, with_order
+from ..plans.carry import carry_last, last_written
 from ..plans.rules import Rule, RuleSet
 from .project import outbound
-from .unique import first_rows, same_key
+from .unique import copy_number, first_rows, same_key, with_row_key
 
 
 class _State:
@@ -138,7 +138,7 @@ def _wanted(rules: list[Rule]) -> Column:
 
 
 def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope, order, memory) -> DataFrame:
-    """Join first-seen flags and cached values to the records by row order."""
+    """Add first-seen flags and cached values to the records. Every record comes out once, whatever ties in its order."""
     state = bound.state
     wanted = _wanted(state.rules)
     if not state.uniques and not state.prior:
@@ -148,35 +148,51 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
     if not order:
         raise ValueError("rules that keep state need the order of the records")
 
-    df, names = with_order(df, order, "__row")
-    source = views.project(df.withColumn("__doc", parse(record)))
-    # State comes from all records, matches only from those some rule wants.
-    df = df.where(wanted)
+    # State comes from all records, but only those some rule wants take their text along.
+    df = with_row_key(df, order).withColumn("__wanted", F.coalesce(wanted, F.lit(False)))
+
+    def parsed(rows: DataFrame) -> DataFrame:
+        return views.project(rows.withColumn("__doc", parse(record)))
+
+    if state.prior:
+        written = {}
+        for alias, name in state.prior.items():
+            latest = [w for _, w, _ in reversed(state.writes[alias])]
+            written[f"__w{name}"] = F.coalesce(*latest)
+    scopes = [f"__in{i}" for i in range(len(scope))]
+    firsts_of = []
     for name, keys, given in state.uniques:
-        firsts, key_names, found = first_rows(source, keys, names, given)
+        firsts, key_names = first_rows(parsed(df), keys, given)
         if memory is not None:
             seen = memory.seen(name, len(keys))
             firsts = firsts.join(seen, same_key(firsts, seen, key_names), "left_anti")
             memory.add_seen(name, firsts.select(*key_names))
-        firsts = firsts.select(*[F.col(f).alias(n) for f, n in zip(found, names)], F.lit("true").alias(name))
-        df = df.join(firsts, names, "left")
+        firsts_of.append(firsts.select("__at", F.lit(True).alias(name)))
+
     if state.prior:
-        written = {}
-        for alias, name in state.prior.items():
-            latest = [w for _, w, _ in reversed(state.writes[alias])]
-            written[name] = F.coalesce(*latest)
-        scopes = [f"__in{i}" for i in range(len(scope))]
-        narrow = source.select(
-            *names, *[F.col(s).alias(n) for s, n in zip(scope, scopes)],
-            *[v.alias(f"__w{n}") for n, v in written.items()])
+        columns = df.columns
+        df = parsed(df).select(
+            *columns, *[F.col(s).alias(n) for s, n in zip(scope, scopes)], *[v.alias(n) for n, v in written.items()],
+            F.lit(True).alias("__record"))
         if memory is not None:
+            narrow = df.select("__at", *scopes, *written)
             # What was cached before this micro-batch enters as rows without an order.
-            narrow = narrow.unionByName(memory.cached(narrow.drop(*names)), allowMissingColumns=True)
-            memory.put_cached(narrow.groupBy(*scopes).agg(
-                *[last_written(f"__w{n}", names).alias(f"__w{n}") for n in written]))
-        carried = carry_last(narrow, {n: F.col(f"__w{n}") for n in written}, names, scope=scopes,
-                             include_current=False)
-        df = df.join(carried.select(*names, *written), names, "left")
+            cached = memory.cached(narrow.drop("__at"))
+            memory.put_cached(narrow.unionByName(cached, allowMissingColumns=True).groupBy(*scopes).agg(
+                *[last_written(n, ["__at"]).alias(n) for n in written]))
+            df = df.unionByName(cached, allowMissingColumns=True)
+        df = df.withColumn(record, F.when(F.col("__wanted"), F.col(record)))
+        # Running values are windows over the records themselves: rows that tie are neither lost nor multiplied.
+        at = [F.col("__at")[f] for f in df.schema["__at"].dataType.names]
+        df = carry_last(df, {n: F.col(f"__w{n}") for n in state.prior.values()}, at, scope=scopes,
+                        include_current=False).where("__record").drop(*scopes, *written, "__record")
+    df = df.where("__wanted")
+    for firsts in firsts_of:
+        df = df.join(firsts, "__at", "left")
+    if firsts_of:
+        df = df.withColumn("__copy", copy_number())
+        first = F.col("__copy") == 1
+        df = df.withColumns({n: F.when(first & F.col(n), "true") for n, _, _ in state.uniques})
     return df
 
 
@@ -186,8 +202,8 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
 
     Returns ``keep`` (default: all columns but the record) and ``rule``,
     ``destination``, ``checkpoint``, ``outbound``. ``order`` and ``scope`` are
-    needed only by rules that keep state: ``order`` must tell all records
-    apart, ``scope`` is what the cache is kept per. ``memory`` is the state
+    needed only by rules that keep state: records that tie in ``order`` follow a
+    hash of the row; ``scope`` is what the cache is kept per. ``memory`` is the state
     earlier micro-batches left (see :mod:`weir.streaming.memory`).
     """
     rules = list(ruleset)

@@ -25,8 +25,9 @@ def write_batches(df: DataFrame, path: str, order: Sequence[Column | str], *, se
         "dt": F.date_format(slot, "yyyy-MM-dd"),
         "hm": F.date_format(slot, "HHmm"),
         "shard": F.col(shard).cast("string"),
-        "batch": F.concat(F.col(shard).cast("string"), F.lit("-"), F.unix_timestamp(slot).cast("string"),
-                          F.lit("-"), part),
+        # Records without a time or shard have batches of their own, bounded like all others.
+        "batch": F.concat(F.coalesce(F.col(shard).cast("string"), F.lit("none")), F.lit("-"),
+                          F.coalesce(F.unix_timestamp(slot).cast("string"), F.lit("none")), F.lit("-"), part),
     })
     places = ["dt", "hm", "shard", "batch"]
     (placed.repartition(*places)
