@@ -87,3 +87,12 @@ def test_metric_reduction(spark):
     assert [(r.name, r.dims, r.value) for r in metrics.gauges(points).collect()] == [("a", {"x": "1", "y": "2"}, 5.0)]
     based = metrics.counters(metrics.with_dims(points, {"r": "base"})).collect()
     assert sorted((r.dims["r"], r.value) for r in based) == [("base", 5.0), ("own", 4.0)]
+
+
+def test_batches_of_records_without_a_time_obey_the_size(spark, tmp_path):
+    df = spark.range(40).selectExpr("id", "'s' AS shard_id", "CAST(NULL AS timestamp) AS arrival_ts",
+                                    "repeat('x', 99) AS outbound")
+    write_batches(df, str(tmp_path / "b"), ["id"], max_bytes=1000)
+    per_batch = read_batches(spark, str(tmp_path / "b")).groupBy("batch").count().collect()
+    assert sum(r["count"] for r in per_batch) == 40 and len(per_batch) >= 4
+    assert max(r["count"] for r in per_batch) <= 11
