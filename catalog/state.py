@@ -169,10 +169,13 @@ def _(spark, d):
     return seen_count(seen_add(seen_clear(docs), docs))
 
 
-@query("key_hash", "SELECT source, CAST(1 AS BIGINT) AS hashes FROM documents GROUP BY source")
+@query("key_hash", """
+SELECT count(DISTINCT source) AS keys, count(DISTINCT source) AS hashes, count(DISTINCT source) AS pairs FROM documents""")
 def _(spark, d):
-    docs = table(spark, d, _DOCS).select("source", key_hash("source").alias("hash"))
-    return docs.groupBy("source").agg(F.countDistinct("hash").alias("hashes"))
+    # One hash per key, and different ones: a constant would not pass.
+    docs = table(spark, d, "documents").where("source IS NOT NULL").select("source", key_hash("source").alias("hash"))
+    return docs.agg(F.countDistinct("source").alias("keys"), F.countDistinct("hash").alias("hashes"),
+                    F.countDistinct("source", "hash").alias("pairs"))
 
 
 @query("cache_put", """
