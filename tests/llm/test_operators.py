@@ -312,3 +312,25 @@ def test_pipeline_keeps_columns(spark, sf_dir):
         assert sorted(after.columns) == sorted(start.columns), name
         docs = spark.createDataFrame(after.collect(), start.schema)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, sf_dir).select("doc_id").distinct().count() == docs.count()
+
+
+def test_pipeline_mixture_reaches_the_sequences(spark, sf_dir, tmp_path):
+    import corpus_pipeline
+
+    data = [(i, words(150 + i % 7, 700 + i), f"s{i % 2}", "x", 1.0) for i in range(300)]
+    docs, packed = spark.createDataFrame(data, DOCS), []
+    for k, weights in enumerate(({"s0": 9, "s1": 1}, {"s0": 1, "s1": 9})):
+        mixed = mixing.mix(docs, weights, block_bytes=2000)
+        place = {r.doc_id: (r.mix.slot, r.mix.start) for r in mixed.collect()}
+        mixing.in_mixed_order(mixed).write.parquet(str(tmp_path / str(k)))
+        got = corpus_pipeline.pack_sequences(spark, spark.read.parquet(str(tmp_path / str(k))), sf_dir).collect()
+        assert sorted(r.doc_id for r in got) == list(range(300))
+        members = {}
+        for r in got:
+            members.setdefault(r.sequence_id, set()).add(r.doc_id)
+        first = [min(place[d] for d in members[s]) for s in range(len(members))]
+        assert first == sorted(first)
+        packed.append(members)
+    assert packed[0] != packed[1]
+    early = [sum(d % 2 == 0 for s in range(3) for d in p[s]) / sum(len(p[s]) for s in range(3)) for p in packed]
+    assert early[0] > 0.6 > 0.4 > early[1]

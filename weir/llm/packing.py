@@ -5,6 +5,8 @@ with the smallest gaps that hold them (their successors in the order of gaps): t
 rank r, so no two pieces claim one gap; the gaps shrink, are sorted in anew, and the sweep repeats until the length is
 placed. Pieces of one length and gaps of one size are alike, so a sweep moves whole runs of ranks and its state is at
 most a few runs per length, however many documents there are. Ranks are assigned and resolved by Spark.
+
+Where documents have places in an order, the ranks of each length follow it, and so do the numbers of the sequences.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buckets_for, small_table, stored, text_of
@@ -94,7 +96,7 @@ def _pieces_of(path: str, capacity: int, end_id: int):
 
         encoder, end = WordEncoder(path), end_id.to_bytes(4, "little")
         for batch in batches:
-            ids, lengths = batch.column(0), batch.column(1).to_pylist()
+            ids, lengths, places = batch.column(0), batch.column(1).to_pylist(), batch.column(3)
             first = 0
             while first < len(lengths):
                 last, size = first, 0
@@ -109,22 +111,24 @@ def _pieces_of(path: str, capacity: int, end_id: int):
                         for column, value in zip(rows, (first + i, k, at // 4, len(part) // 4, zlib.crc32(part)),
                                                  strict=True):
                             column.append(value)
+                at_row = pa.array(rows[0], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows[0], pa.int64())), pa.array(rows[1], pa.int32()),
-                     *(pa.array(c, pa.int64()) for c in rows[2:])], ["id", "piece", "start", "length", "crc"])
+                    [ids.take(at_row), pa.array(rows[1], pa.int32()), *(pa.array(c, pa.int64()) for c in rows[2:]),
+                     places.take(at_row)], ["id", "piece", "start", "length", "crc", "place"])
                 first = last
 
     return pieces
 
 
 def token_pieces(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """``id, piece, start, length, crc`` of every document's ids; only longer ones are cut."""
+                 text_col: str = "text", place: Column | None = None) -> DataFrame:
+    """``id, piece, start, length, crc, place`` of every document's ids; only longer ones are cut."""
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text).alias("size"), text.alias("text"))
+    rows = docs.select(F.col(id_col).alias("id"), F.octet_length(text).alias("size"), text.alias("text"),
+                       (F.lit(None) if place is None else place).cast("long").alias("place"))
     kind = rows.schema["id"].dataType.simpleString()
     return rows.mapInArrow(_pieces_of(path, capacity, end_id),
-                           f"id {kind}, piece int, start long, length long, crc long")
+                           f"id {kind}, piece int, start long, length long, crc long, place long")
 
 
 def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
@@ -159,16 +163,35 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return moves
 
 
+def _by_place(placed: DataFrame, bucket) -> DataFrame:
+    """The sequences numbered by the place of their earliest piece."""
+    placed = stored(placed, "pack-placed")
+    first = (placed.groupBy("sequence_id").agg(F.min(F.struct("place", "piece")).alias("first"))
+             .withColumn("bucket", bucket(F.col("first.place"))))
+    before, ahead = [], 0
+    for r in sorted(first.groupBy("bucket").agg(F.count("*").alias("n")).collect()):
+        before.append((r["bucket"], ahead))
+        ahead += r["n"]
+    offsets = small_table(placed.sparkSession, before, "bucket int, before long")
+    inside = Window.partitionBy("bucket").orderBy("first")
+    numbers = (first.withColumn("own", F.row_number().over(inside) - 1).join(F.broadcast(offsets), "bucket")
+               .select("sequence_id", (F.col("own") + F.col("before")).alias("number")))
+    return (placed.join(numbers, "sequence_id").withColumn("sequence_id", F.col("number"))
+            .select(*[c for c in placed.columns if c != "place"]))
+
+
 def pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id",
-         text_col: str = "text") -> DataFrame:
+         text_col: str = "text", place: Column | None = None) -> DataFrame:
     """One row per piece: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``sequence_id``, ``offset``.
 
-    A null or empty text is the end id alone. Repeated rows are packed each for itself; ties in rank go by id and piece.
-    An empty table gives no rows. Columns other than id and text are not read.
+    ``place``, an integer of each row, is the order in which pieces of one length are dealt to the gaps and sequences are
+    numbered, by their earliest piece; without it a hash of id and piece decides. A null or empty text is the end id
+    alone. Repeated rows are packed each for itself; ties in rank go by id and piece. An empty table gives no rows.
+    Columns other than id, text and those of ``place`` are not read.
     """
     spark = docs.sparkSession
-    pieces = stored(token_pieces(docs, path, capacity=capacity, end_id=end_id, id_col=id_col, text_col=text_col),
-                    "pack-pieces")
+    pieces = stored(token_pieces(docs, path, capacity=capacity, end_id=end_id, id_col=id_col, text_col=text_col,
+                                 place=place), "pack-pieces")
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     moves = best_fit(lengths, capacity)
     by_length: dict[int, list] = {}
@@ -180,16 +203,24 @@ def pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int =
                        "_length long, ranks array<long>, sequences array<long>, offsets array<long>")
 
     buckets = buckets_for(max(lengths.values(), default=0), 32)
-    dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("id", "piece"), F.lit(buckets)).cast("int"))
+    if place is None:
+        bucket = lambda _: F.pmod(F.xxhash64("id", "piece"), F.lit(buckets)).cast("int")
+    else:
+        # Where the buckets are cut decides only which task ranks a piece.
+        cuts = pieces.agg(F.percentile_approx("place", [i / buckets for i in range(1, buckets)])).first()[0] or []
+        bounds = F.array(*map(F.lit, cuts)).cast("array<long>")
+        bucket = lambda at: F.size(F.filter(bounds, lambda cut: cut <= at))
+    dealt = pieces.withColumn("bucket", bucket(F.col("place")))
     sums = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select("length", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    inside = Window.partitionBy("length", "bucket").orderBy("id", "piece")
+    inside = Window.partitionBy("length", "bucket").orderBy("place", "id", "piece")
     ranked = (dealt.withColumn("own", F.row_number().over(inside) - 1)
               .join(offsets, ["length", "bucket"]).withColumn("rank", F.col("own") + F.col("before")))
     run = F.expr("cast(array_size(filter(ranks, r -> r <= rank)) as int)")
-    return (ranked.join(F.broadcast(plan), F.col("length") == F.col("_length"))
-            .withColumn("run", run)
-            .select(F.col("id").alias(id_col), "piece", "start", "length", F.col("crc").alias("ids_crc32"),
-                    (F.expr("sequences[run - 1] + rank - ranks[run - 1]")).cast("long").alias("sequence_id"),
-                    F.expr("offsets[run - 1]").alias("offset")))
+    placed = (ranked.join(F.broadcast(plan), F.col("length") == F.col("_length"))
+              .withColumn("run", run)
+              .select("id", "piece", "start", "length", F.col("crc").alias("ids_crc32"),
+                      (F.expr("sequences[run - 1] + rank - ranks[run - 1]")).cast("long").alias("sequence_id"),
+                      F.expr("offsets[run - 1]").alias("offset"), "place"))
+    return (placed.drop("place") if place is None else _by_place(placed, bucket)).withColumnRenamed("id", id_col)
