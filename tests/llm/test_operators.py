@@ -334,3 +334,15 @@ def test_pipeline_mixture_reaches_the_sequences(spark, sf_dir, tmp_path):
     assert packed[0] != packed[1]
     early = [sum(d % 2 == 0 for s in range(3) for d in p[s]) / sum(len(p[s]) for s in range(3)) for p in packed]
     assert early[0] > 0.6 > 0.4 > early[1]
+
+
+def test_top_products_below_zero():
+    rng = np.random.default_rng(2)
+    angles = np.pi + rng.uniform(-1, 1, 60)  # all opposed to the query, lengths within a tenth
+    near = np.floor(rng.uniform(92, 100, 60)[:, None] * np.stack([np.cos(angles), np.sin(angles)], 1))
+    vectors = np.concatenate([[[-60.0, 80.0]] * 8, [[-59.0, 74.0]], near])
+    queries, ids = np.array([[64.0, 0.0]]), np.arange(1, len(vectors) + 1)
+    for k in (1, 2, 5, 12):
+        _, found, scores = topk._finder(k, 8)(np.array([0]), queries, ids, vectors)
+        best = sorted((-int(v @ queries[0]), i) for i, v in zip(ids, vectors, strict=True))[:k]
+        assert sorted((-int(s), i) for s, i in zip(scores, found, strict=True)) == best

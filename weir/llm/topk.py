@@ -3,7 +3,8 @@
 Each block groups its vectors by length, longest first. For a bucket, the query's lowest kept score gives a local
 threshold on the cosine. Above 1 the bucket, and with it all shorter ones, cannot hold a better vector. Where lengths
 differ within the bucket, vectors too short for the threshold are pruned; else each vector's coordinate at the query's
-focus, its largest coordinate, bounds the cosine. What remains is verified by its product.
+focus, its largest coordinate, bounds the cosine, which is held against the threshold for the vector's own length (below zero
+a shorter vector needs less). What remains is verified by its product.
 """
 
 from __future__ import annotations
@@ -47,7 +48,10 @@ def _finder(k: int, bucket: int):
                 unit = vectors[part] / np.maximum(lengths[part], 1e-300)[:, None]
                 there = np.clip(unit[:, focus[alive]].T, -1, 1)
                 top = np.clip(peak[alive], -1, 1)[:, None]
-                keep = top * there + np.sqrt(1 - top * top) * np.sqrt(1 - there * there) >= local[alive, None] - 1e-9
+                own = query_lengths[alive, None] * lengths[part][None, :]
+                least = np.divide(floor[alive, None], own, where=own > 0,
+                                  out=np.where(floor[alive, None] > 0, np.inf, -np.inf) + np.zeros_like(own))
+                keep = top * there + np.sqrt(1 - top * top) * np.sqrt(1 - there * there) >= least - 1e-9
             keep &= query_ids[alive, None] != ids[part][None, :]
             if keep.mean() > 0.2:
                 products = queries[alive] @ vectors[part].T
