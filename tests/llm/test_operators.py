@@ -346,3 +346,26 @@ def test_top_products_below_zero():
         _, found, scores = topk._finder(k, 8)(np.array([0]), queries, ids, vectors)
         best = sorted((-int(v @ queries[0]), i) for i, v in zip(ids, vectors, strict=True))[:k]
         assert sorted((-int(s), i) for s, i in zip(scores, found, strict=True)) == best
+
+
+def test_ordinary_tokens_have_digits_and_marks_and_touch_no_base_span(spark):
+    text = "plain_snake_case2 my_long_password=abcdefgh12 a/path/to-x7 " + "0" * 40 + "GHIJKL xyz tail_password='abcdefgh'"
+    col = F.lit(text)
+    got = spark.range(1).select(secret_scan.ordinary_tokens(col, secret_scan.base_spans(col)).alias("t")).first().t
+    assert got == ["plain_snake_case2", "a/path/to-x7"]
+
+
+def test_markov_ratio_alone_decides_and_every_document_counts(spark):
+    rng = np.random.default_rng(12)
+    key = lambda n: "".join(rng.choice(list("bcdfghjkmpqrtvwxz"), n))
+    names = [f"row_{i % 90:02d}_of_table_{i % 70:02d}" for i in range(5000)]
+    texts = [f"{n} password={key(24)}" if i < 300 else f"{n} {n}" for i, n in enumerate(names)]
+    texts.append(f"lost {key(30)} here row_17_of_table_23")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: [s.match for s in r.added] for r in secret_scan.scan(df).collect()}
+    assert got.pop(5000) == [texts[-1].split()[1]]  # no digit and no capital, yet random
+    assert not any(got.values())
+    model = secret_scan.learn(df, secret_scan.annotate(df))
+    mark, digit = (secret_scan.ALPHABET.index(c) + 1 for c in "_1")
+    # A step of ordinary names, counted in every document.
+    assert model.ordinary[mark * secret_scan.SYMBOLS + digit] == sum(len(re.findall("_(?=1)", t)) for t in texts)

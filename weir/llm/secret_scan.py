@@ -1,7 +1,8 @@
 """Secrets in texts: fixed patterns, and character Markov models of random strings against ordinary identifiers.
 
 Two first-order models over letters, digits and marks are counted by Spark: one from the secret values that the patterns
-find, one from ordinary words. A long token whose log-likelihood ratio favours randomness clearly is a further span.
+find, one from all other tokens of the corpus. A long token whose log-likelihood ratio favours randomness clearly is a
+further span.
 Spark functions only; the driver sees two tables of at most 64 x 64 counts.
 """
 
@@ -28,7 +29,7 @@ TOKEN = "A-Za-z0-9+/_=-"
 LEAST_TOKEN, LEAST_WORD = 16, 6
 ALPHABET = string.ascii_letters + string.digits + "_"  # every other mark counts as the next symbol
 SYMBOLS = len(ALPHABET) + 1
-FIT_DOCUMENTS = 4000  # ordinary words come from so many documents, chosen by a hash of the id
+CUT = "\0"  # stands for a base span where ordinary tokens are counted
 LEAST_RATIO, LEAST_MEAN = 12.0, 0.5  # of a token, and by character
 
 
@@ -42,9 +43,28 @@ def base_spans(text: Column) -> Column:
 
 
 def token_spans(text: Column) -> Column:
-    """Long tokens with letters and digits, or a capital after a small letter, as spans of the kind ``random``."""
-    pattern = rf"{spans.run_start(TOKEN)}[{TOKEN}]{{{LEAST_TOKEN},}}+"
-    return F.filter(spans.find(text, pattern, 3), lambda s: s["match"].rlike("(?=.*[A-Za-z])(?=.*[0-9])|[a-z][A-Z]"))
+    """Long tokens as spans of the kind ``random``; the ratio alone decides which of them look random."""
+    return spans.find(text, rf"{spans.run_start(TOKEN)}[{TOKEN}]{{{LEAST_TOKEN},}}+", 3)
+
+
+def _without(text: Column, base: Column) -> Column:
+    """The text with one mark in place of every base span; spans may overlap."""
+    rest = F.aggregate(
+        F.array_sort(base), F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("kept")),
+        lambda acc, s: F.struct(
+            F.greatest(acc["at"], s["end"]).alias("at"),
+            F.array_append(acc["kept"], F.substring(text, acc["at"] + 1, F.greatest(s["start"] - acc["at"], F.lit(0))))
+            .alias("kept")),
+        lambda acc: F.concat(F.array_join(acc["kept"], CUT), F.lit(CUT),
+                             F.substring(text, acc["at"] + 1, F.length(text))))
+    return F.when(F.size(base) > 0, rest).otherwise(text)
+
+
+def ordinary_tokens(text: Column, base: Column) -> Column:
+    """Runs of letters, digits and marks that overlap no base span."""
+    run = rf"\p{{L}}{TOKEN}"
+    pattern = rf"(?<![{CUT}{run}])[{run}]{{{LEAST_WORD},}}+(?!{CUT})"
+    return F.regexp_extract_all(_without(text, base), F.lit(pattern), F.lit(0))
 
 
 def _value(span: Column) -> Column:
@@ -64,8 +84,10 @@ def _steps(word: Column) -> Column:
 
 
 def _counts(words: DataFrame) -> dict[int, int]:
-    steps = words.where(F.length("word") >= 2).select(F.explode(_steps(F.col("word"))).alias("step"))
-    return {r["step"]: r["count"] for r in steps.groupBy("step").count().collect()}
+    # Each distinct word is taken apart once.
+    distinct = words.where(F.length("word") >= 2).groupBy("word").agg(F.count("*").alias("n"))
+    steps = distinct.select(F.explode(_steps(F.col("word"))).alias("step"), "n")
+    return {r["step"]: r["n"] for r in steps.groupBy("step").agg(F.sum("n").alias("n")).collect()}
 
 
 def log_chances(counts: dict[int, int]) -> list[float]:
@@ -77,17 +99,42 @@ def log_chances(counts: dict[int, int]) -> list[float]:
 
 @dataclass
 class MarkovModel:
-    """Log-likelihood ratio of each step, random against ordinary; empty if one side had no samples."""
+    """Log chance of each step in random strings, its count in ordinary tokens; empty if one side had no samples."""
 
-    ratios: list[float]
+    random: list[float]
+    ordinary: list[int]
 
     def ratio(self, word: Column) -> Column:
-        table = F.array(*map(F.lit, self.ratios))
-        return F.aggregate(_steps(word), F.lit(0.0), lambda acc, step: acc + F.element_at(table, step + 1))
+        """Log-likelihood ratio, random against ordinary; the word itself is taken out of the ordinary counts."""
+        chances, counts = F.array(*map(F.lit, self.random)), F.array(*(F.lit(n).cast("long") for n in self.ordinary))
+        totals = F.array(*(F.lit(sum(self.ordinary[a : a + SYMBOLS])).cast("long")
+                           for a in range(0, len(self.ordinary), SYMBOLS)))
+
+        def of_step(acc: Column) -> Column:
+            others = F.greatest(F.element_at(counts, acc["step"] + 1) - acc["steps"], F.lit(0))
+            return F.when(acc["steps"] > 0, acc["steps"] * (F.element_at(chances, acc["step"] + 1) - F.log(others + 0.5))
+                          ).otherwise(0.0)
+
+        def of_symbol(acc: Column) -> Column:
+            others = F.greatest(F.element_at(totals, acc["symbol"] + 1) - acc["symbols"], F.lit(0))
+            return F.when(acc["symbols"] > 0, acc["symbols"] * F.log(others + 0.5 * SYMBOLS)).otherwise(0.0)
+
+        def add(acc: Column, step: Column) -> Column:
+            symbol = F.floor(step / SYMBOLS).cast("int")
+            same_step, same_symbol = step == acc["step"], symbol == acc["symbol"]
+            return F.struct(
+                step.alias("step"), F.when(same_step, acc["steps"] + 1).otherwise(1).alias("steps"),
+                symbol.alias("symbol"), F.when(same_symbol, acc["symbols"] + 1).otherwise(1).alias("symbols"),
+                (acc["sum"] + F.when(same_step, 0.0).otherwise(of_step(acc))
+                 + F.when(same_symbol, 0.0).otherwise(of_symbol(acc))).alias("sum"))
+
+        # In order, equal steps and those from one symbol stand together.
+        start = F.struct(*(F.lit(0).alias(n) for n in ("step", "steps", "symbol", "symbols")), F.lit(0.0).alias("sum"))
+        return F.aggregate(F.array_sort(_steps(word)), start, add, lambda acc: acc["sum"] + of_step(acc) + of_symbol(acc))
 
     def added(self, tokens: Column, base: Column) -> Column:
         """The tokens that look random and overlap no base span."""
-        if not self.ratios:
+        if not self.random:
             return spans.none()
         return F.filter(spans.apart(tokens, base), lambda s: self.ratio(s["match"]) >= F.greatest(
             F.lit(LEAST_RATIO), LEAST_MEAN * F.length(s["match"])))
@@ -99,20 +146,16 @@ def annotate(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text")
     return docs.select(F.col(id_col).alias("id"), base_spans(text).alias("base"), token_spans(text).alias("tokens"))
 
 
-def learn(docs: DataFrame, annotated: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
-          fit_documents: int = FIT_DOCUMENTS) -> MarkovModel:
-    """Models from labelled samples: all secret values of the corpus, and the words of a bounded number of documents."""
+def learn(docs: DataFrame, annotated: DataFrame, *, text_col: str = "text") -> MarkovModel:
+    """Models of the whole corpus: all its secret values, and all other tokens of its texts."""
     random = annotated.select(F.explode("base").alias("s")).select(_value(F.col("s")).alias("word"))
-    chosen = (docs.select(F.col(id_col).alias("id")).distinct()
-              .orderBy(F.xxhash64("id"), "id").limit(fit_documents))
-    words = F.regexp_extract_all(text_of("text"), F.lit(rf"(?<![0-9{TOKEN}])\p{{L}}{{{LEAST_WORD},}}+(?![{TOKEN}])"), F.lit(0))
-    ordinary = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-                .join(F.broadcast(chosen), "id").select(F.explode(words).alias("word")))
+    text = text_of(text_col)
+    ordinary = (docs.select(text.alias("text"), base_spans(text).alias("base"))
+                .select(F.explode(ordinary_tokens(F.col("text"), F.col("base"))).alias("word")))
     random_counts, ordinary_counts = _counts(random), _counts(ordinary)
     if not random_counts or not ordinary_counts:
-        return MarkovModel([])
-    pairs = zip(log_chances(random_counts), log_chances(ordinary_counts), strict=True)
-    return MarkovModel([a - b for a, b in pairs])
+        return MarkovModel([], [])
+    return MarkovModel(log_chances(random_counts), [ordinary_counts.get(k, 0) for k in range(SYMBOLS * SYMBOLS)])
 
 
 def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -122,6 +165,6 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
     table gives no rows. Columns other than id and text are not read.
     """
     annotated = stored(annotate(docs, id_col=id_col, text_col=text_col), "secret-spans")
-    model = learn(docs, annotated, id_col=id_col, text_col=text_col)
+    model = learn(docs, annotated, text_col=text_col)
     return annotated.select(F.col("id").alias(id_col), "base",
                             model.added(F.col("tokens"), F.col("base")).alias("added"))
