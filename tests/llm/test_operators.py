@@ -369,3 +369,23 @@ def test_markov_ratio_alone_decides_and_every_document_counts(spark):
     mark, digit = (secret_scan.ALPHABET.index(c) + 1 for c in "_1")
     # A step of ordinary names, counted in every document.
     assert model.ordinary[mark * secret_scan.SYMBOLS + digit] == sum(len(re.findall("_(?=1)", t)) for t in texts)
+
+
+def test_calibration_keeps_the_true_shares():
+    from weir.llm import boosting
+
+    rng = np.random.default_rng(4)
+    y = (np.arange(8000) % 4 == 0).astype(float)  # a quarter of the sample, a tenth of the rows it stands for
+    x = np.where(rng.random(8000) < 0.2, 1 - y, y)[:, None]
+    model = boosting.fit(x, y, np.arange(8000) % 5 == 0, totals=(90_000, 10_000))
+    low, high = model.score(np.array([[0.0], [1.0]]))
+    assert abs(high - 0.08 / (0.08 + 0.18)) < 0.05 and abs(low - 0.02 / (0.02 + 0.72)) < 0.02
+
+
+def test_lexicon_counts_every_labelled_row(spark):
+    # 90 toxic words, each in a dozen of the toxic rows: hardly one passes the tests in a sample of 800 rows.
+    data = [(i, f"{words(6, i, 20)} {'grob' + np.base_repr(1000 + i // 10 % 90, 36).lower() if i % 10 == 0 else ''}",
+             int(i % 10 == 0)) for i in range(16_000)]
+    df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
+    found = toxicity.learn(df, df, fit_rows=800).lexicon.words
+    assert found >= {t.split()[-1] for _, t, k in data if k}

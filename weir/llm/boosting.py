@@ -73,16 +73,17 @@ class Boosted:
         return out.otherwise(float(self.chances[-1]))
 
 
-def isotonic(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rising step function closest to the labels, as the middle margin and the mean of each step."""
+def isotonic(margins: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The rising step function closest to the labels, each by its weight, as the ends and the mean of each step."""
+    weights = np.ones(len(labels)) if weights is None else weights
     order = np.argsort(margins, kind="stable")
     steps: list[list[float]] = []  # mean, weight, lowest, highest margin
-    for m, y in zip(margins[order], labels[order], strict=True):
+    for m, y, w in zip(margins[order], labels[order], weights[order], strict=True):
         if steps and steps[-1][3] == m:
             s = steps[-1]
-            s[0], s[1] = (s[0] * s[1] + y) / (s[1] + 1), s[1] + 1
+            s[0], s[1] = (s[0] * s[1] + y * w) / (s[1] + w), s[1] + w
         else:
-            steps.append([float(y), 1.0, m, m])
+            steps.append([float(y), float(w), m, m])
         while len(steps) > 1 and steps[-2][0] >= steps[-1][0]:
             mean, weight, _, high = steps.pop()
             s = steps[-1]
@@ -93,12 +94,15 @@ def isotonic(margins: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def fit(x: np.ndarray, y: np.ndarray, calibrate: np.ndarray, *, trees: int = 40, depth: int = 3, rate: float = 0.3,
-        bins: int = 32, ridge: float = 1.0) -> Boosted:
+        bins: int = 32, ridge: float = 1.0, totals: tuple[int, int] | None = None) -> Boosted:
     """Trees from the rows where ``calibrate`` is false, calibration from the others.
 
-    With rows of one class only, or none, the result is constant: the share of label 1, or 0.
+    ``totals`` are the numbers of rows of label 0 and 1 that the given ones stand for: each class counts by its total in
+    the calibration. With rows of one class only, or none, the result is constant: the share of label 1, or 0.
     """
     base = float(y.mean()) if len(y) else 0.0
+    if totals and sum(totals):
+        base = totals[1] / sum(totals)
     hold = calibrate.astype(bool)
     if any(len(np.unique(y[part])) < 2 for part in (hold, ~hold)):
         return Boosted(base)
@@ -134,5 +138,7 @@ def fit(x: np.ndarray, y: np.ndarray, calibrate: np.ndarray, *, trees: int = 40,
         leaf = rate * np.bincount(leaves, slope, inner + 1) / (np.bincount(leaves, bend, inner + 1) + ridge)
         model.trees.append(Tree(feature, cut, leaf))
         total += leaf[leaves]
-    model.margins, model.chances = isotonic(model.margin(x[hold]), y[hold].astype(float))
+    known = y[hold].astype(int)
+    weights = np.array(totals)[known] / np.bincount(known, minlength=2)[known] if totals else None
+    model.margins, model.chances = isotonic(model.margin(x[hold]), y[hold].astype(float), weights)
     return model

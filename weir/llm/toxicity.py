@@ -1,8 +1,9 @@
 """Toxicity by boosted trees over dense features of a text, with isotonic calibration.
 
 Features: densities and counts of lexicon words and word beginnings, hits only after undoing obfuscation, nearness of hits to
-second-person words, shares of capitals, punctuation and obfuscated shapes. The lexicon is learned by Spark from the labelled
-sample: words that mark label 1 far beyond chance. Labels, language, source and id are never features.
+second-person words, shares of capitals, punctuation and obfuscated shapes. The lexicon is learned by Spark from all labelled
+rows that neither are held out nor calibrate: words that mark label 1 far beyond chance. The trees are fitted on a sample of
+the rows; the calibration gives each class its share among all of them. Labels, language, source and id are never features.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from . import boosting
 from .common import stored, text_of
 
 FIT_ROWS = 8000  # at most so many labelled rows are fitted on, a quarter of them with label 1 where there are as many
-LEXICON = 600
 LEAST_ODDS, LEAST_G2 = 8.0, 20.0
 NEAR = 5  # words
 TOKENS_KEPT = 300_000  # of a worker's memory of tokens; it starts anew beyond, with the same results
@@ -103,7 +103,7 @@ def held_out(id_col: str | Column = "doc_id") -> Column:
     return F.crc32(F.encode(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "UTF-8")) % 3 == 1
 
 
-def _learn_lexicon(sample: DataFrame) -> Lexicon:
+def _learn_lexicon(sample: DataFrame, n_zero: int, n_one: int) -> Lexicon:
     """Words and beginnings whose documents have label 1 far more often than chance: odds and a G-test decide."""
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
     stems = F.flatten(F.array(*[
@@ -113,15 +113,14 @@ def _learn_lexicon(sample: DataFrame) -> Lexicon:
         F.struct(F.lit(1).alias("kind"), F.array_distinct(stems).alias("terms")))).alias("part"))
     rows = rows.select("label", "part.kind", F.explode("part.terms").alias("term")).where("term <> ''")
     one, zero = F.count_if(F.col("label") == 1), F.count_if(F.col("label") == 0)
-    n_one, n_zero = (max(1, n) for n in sample.agg(one, zero).first())
+    n_one, n_zero = max(1, n_one), max(1, n_zero)
     share = n_one / (n_one + n_zero)
     total = F.col("one") + F.col("zero")
     g2 = 2 * (F.col("one") * F.log(F.col("one") / (total * share))
               + F.when(F.col("zero") > 0, F.col("zero") * F.log(F.col("zero") / (total * (1 - share)))).otherwise(0.0))
     odds = ((F.col("one") + 0.5) / (n_one + 1)) / ((F.col("zero") + 0.5) / (n_zero + 1))
     found = (rows.groupBy("kind", "term").agg(one.alias("one"), zero.alias("zero"))
-             .where((F.col("one") > 0) & (odds >= LEAST_ODDS) & (g2 >= LEAST_G2))
-             .orderBy(F.desc("one"), "term", "kind").limit(LEXICON).collect())
+             .where((F.col("one") > 0) & (odds >= LEAST_ODDS) & (g2 >= LEAST_G2)).select("kind", "term").collect())
     return Lexicon(*(frozenset(r["term"] for r in found if r["kind"] == kind) for kind in (0, 1)))
 
 
@@ -129,20 +128,31 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
           label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """A model from the labelled rows that are not held out.
 
-    At most ``fit_rows`` of them, chosen by a hash of the id. Labels other than 0 and 1 and ids without a document are
-    passed over; an id labelled twice with different labels counts as 1. Without rows of both classes the score is the
-    share of label 1 for every text, or 0.
+    All of them count for the lexicon and the shares of the classes, but those that calibrate not for the lexicon, which
+    would flatter its words. Trees and calibration take at most ``fit_rows``, chosen by a hash of the id. Labels other
+    than 0 and 1 and ids without a document are passed over; an id labelled twice with different labels counts as 1, one
+    with several texts by one of them. Without rows of both classes the score is the share of label 1 for every text, or 0.
     """
     marked = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
               .withColumn("turn", F.xxhash64("id")))
-    part = lambda label, n: marked.where(F.col("label") == label).orderBy("turn", "id").limit(n)
-    chosen = part(1, fit_rows // 4).unionByName(part(0, fit_rows - fit_rows // 4))
-    sample = stored(
-        docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-        .join(F.broadcast(chosen), "id").dropDuplicates(["id"])
-        .select("text", "label", (F.pmod("turn", F.lit(4)) == 0).alias("calibrate")), "toxicity-sample")
-    lexicon = _learn_lexicon(sample.where(~F.col("calibrate")))
+    present = stored(docs.select(F.col(id_col).alias("id")).join(marked, "id")
+                     .groupBy("id", "label", "turn").agg(F.count("*").alias("copies")), "toxicity-labelled")
+    part = lambda label, n: present.where(F.col("label") == label).orderBy("turn", "id").limit(n)
+    chosen = stored(part(1, fit_rows // 4).unionByName(part(0, fit_rows - fit_rows // 4))
+                    .select("id", "label", (F.pmod("turn", F.lit(4)) == 0).alias("calibrate")), "toxicity-chosen")
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+    sample = stored(texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+                    .select("text", "label", "calibrate"), "toxicity-sample")
+
+    sizes = {r["label"]: r for r in present.groupBy("label").agg(
+        F.count("*").alias("n"), F.max("copies").alias("copies")).collect()}
+    totals = tuple(sizes[k]["n"] if k in sizes else 0 for k in (0, 1))
+    apart = {r["label"]: r["count"] for r in chosen.where("calibrate").groupBy("label").count().collect()}
+    counted = texts.join(present.join(F.broadcast(chosen.where("calibrate")), "id", "left_anti"), "id")
+    if any(r["copies"] > 1 for r in sizes.values()):
+        counted = counted.dropDuplicates(["id"])
+    lexicon = _learn_lexicon(counted, *(totals[k] - apart.get(k, 0) for k in (0, 1)))
 
     @F.pandas_udf("array<double>")
     def features(texts: pd.Series) -> pd.Series:
@@ -151,7 +161,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     rows = sample.select(features("text").alias("x"), "label", "calibrate").collect()
     x = np.array([r["x"] for r in rows], float).reshape(len(rows), len(Featurizer.NAMES))
     y, hold = (np.array([r[c] for r in rows], float) for c in ("label", "calibrate"))
-    return ToxicityModel(lexicon, boosting.fit(x, y, hold))
+    return ToxicityModel(lexicon, boosting.fit(x, y, hold, totals=totals))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, name: str = "score", *, text_col: str = "text") -> DataFrame:
