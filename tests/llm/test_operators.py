@@ -389,3 +389,23 @@ def test_lexicon_counts_every_labelled_row(spark):
     df = spark.createDataFrame(data, "doc_id long, text string, toxic int")
     found = toxicity.learn(df, df, fit_rows=800).lexicon.words
     assert found >= {t.split()[-1] for _, t, k in data if k}
+
+
+def test_mixing_of_more_sources_than_the_driver_schedules(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 6)
+    # 6 large sources, 20 of 8 blocks each and an unnamed one; every row fills half a block.
+    data = [(i, "x" * 99, f"big{i % 6}") for i in range(6 * 60)]
+    data += [(1000 + i, "x" * 99, f"t{i % 20}" if i < 320 else None) for i in range(336)]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = mixing.mix(df, block_bytes=200).collect()
+    assert sorted(r.doc_id for r in got) == sorted(d[0] for d in data)
+    assert all(r.mix.release <= r.mix.slot < r.mix.deadline for r in got)
+    owner = {}
+    for r in got:
+        assert owner.setdefault(r.mix.slot, (r.source, r.mix.block)) == (r.source, r.mix.block)
+    assert sorted(owner) == list(range(len(owner)))
+    tail = [owner[s] for s in sorted(owner) if not str(owner[s][0]).startswith("big")]
+    for source in {s for s, _ in tail}:
+        at = [k for k, (s, _) in enumerate(tail) if s == source]
+        assert [tail[k][1] for k in at] == list(range(8))
+        assert all(abs(n - k * 8 / len(tail)) < 3 for n, k in enumerate(at))  # below one block at each of three levels

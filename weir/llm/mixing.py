@@ -5,6 +5,10 @@ weight w is released at slot floor(k W / w) and due at ceil((k + 1) W / w); in e
 first goes next. The schedule repeats after W slots, in which each source has exactly w blocks, so one period per set of
 sources still running is all the driver computes. A source that runs out leaves, and the others go on by their weights.
 No row is dropped or repeated.
+
+The driver schedules a bounded number of sources. All others are scheduled in groups by Spark tasks, the groups in groups
+of their own until one is left, which the driver schedules like a source: a block's slot in its group is the number of the
+group's block. So every source has its weight, and no two sources share a block.
 """
 
 from __future__ import annotations
@@ -12,14 +16,15 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import buckets_for, small_table, stored, text_of
 
 BLOCK_BYTES = 65_536
 PARTS = 1000
-MOST_SOURCES = 256  # those beyond share one weight
+PHASE_COLUMNS = ["at", "length", "first", "count", "weight", "slots"]
+MOST_SOURCES = 256  # that the driver schedules
 
 
 def one_period(weights: dict[int, int]) -> dict[int, list[int]]:
@@ -78,21 +83,62 @@ def tempered(sizes: dict, exponent: float = 0.5, parts: int = PARTS) -> dict:
     return {k: max(1, round(parts * v / whole)) for k, v in powers.items()}
 
 
+def _group_schedule(rows):
+    """The phases of one group's members, by their powers."""
+    import pandas as pd
+
+    rows = rows.sort_values("key")
+    weights = tempered(dict(zip(rows["key"], rows["power"], strict=True)), 1.0)
+    blocks = {k: int(n) for k, n in zip(rows["key"], rows["blocks"], strict=True)}
+    return pd.DataFrame(
+        [(str(rows["group"].iloc[0]), s, p.start, p.length, p.first[s], p.count[s], weights[s], p.slots[s])
+         for p in phases(weights, blocks) for s in p.first],
+        columns=["group", "key", *PHASE_COLUMNS])
+
+
+def _slot(block: str) -> Column:
+    """The slot of a block within a phase's columns; null is possible for blocks of other phases, which Spark may try."""
+    return F.expr(f"at + ({block} - first) div weight * length + get(slots, int(({block} - first) % weight))")
+
+
+def _group_blocks(tail: DataFrame) -> DataFrame:
+    """``key, block, place`` of all blocks of the sources in ``tail`` (``key, blocks, power``): its place among them all."""
+    at = tail.select("key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    at = at.withColumns({"node": F.col("key"), "place": F.col("block")})
+    nodes, count = tail, tail.count()
+    while True:
+        groups = 1 if count <= MOST_SOURCES else -(-count // max(1, MOST_SOURCES // 2))
+        nodes = nodes.withColumn("group", F.pmod(F.xxhash64("key"), F.lit(groups)).cast("int"))
+        plan = stored(nodes.groupBy("group").applyInPandas(
+            _group_schedule, "group string, key string, at long, length long, first long, count long, weight long, "
+                             "slots array<int>"), "mix-group").withColumnRenamed("key", "node")
+        own = F.col("place") - F.col("first")
+        at = (at.join(plan, "node").where((own >= 0) & (own < F.col("count")))
+              .select("key", "block", F.col("group").alias("node"), _slot("place").cast("long").alias("place")))
+        if groups == 1:
+            return at.select("key", "block", "place")
+        nodes = nodes.groupBy(F.col("group").cast("string").alias("key")).agg(
+            F.sum("blocks").alias("blocks"), F.sum("power").alias("power"))
+        count = nodes.count()
+
+
 def mix(docs: DataFrame, weights: dict[str | None, int] | None = None, *, source_col: str = "source",
         id_col: str = "doc_id", size=None, block_bytes: int = BLOCK_BYTES, name: str = "mix") -> DataFrame:
     """The rows with a struct column ``name``: ``slot``, ``block``, ``start``, ``release``, ``deadline``, ``rank``.
 
     The mixed order is slot, then start, then rank. ``weights`` are integers by source, at most 1000 parts or so in
-    all; by default they follow the square root of each source's bytes. Sources without a weight, and by default all but the
-    256 largest, share one weight. Null is a source like any other. A text's size is its UTF-8 length plus 1 (null: 1).
-    Repeated rows are rows of their own. An existing column ``name`` is replaced. An empty table gives no rows.
+    all; by default they follow the square root of each source's bytes. Sources without a weight have a weight of 1
+    together, and share it by the square root of their bytes. They, and by default all but the 256 largest sources, are
+    scheduled in groups: ``release`` and ``deadline`` of their blocks are those of the groups' block in that slot.
+    ``block`` and ``start`` are a source's own. Null is a source like any other. A text's size is its UTF-8 length plus 1
+    (null: 1). Repeated rows are rows of their own. An existing column ``name`` is replaced. An empty table gives no rows.
     """
     spark = docs.sparkSession
     size = size if size is not None else F.octet_length(text_of()) + 1
     narrow = stored(docs.select(F.col(source_col).cast("string").alias("source"), size.cast("long").alias("size"),
                                 F.xxhash64(F.col(id_col)).alias("hash")), "mix-rows")
     count = narrow.count()
-    by_source = narrow.groupBy("source").agg(F.sum("size").alias("bytes"))
+    by_source = stored(narrow.groupBy("source").agg(F.sum("size").alias("bytes")), "mix-sources")
     if weights is None:
         largest = by_source.orderBy(F.desc("bytes"), F.col("source")).limit(MOST_SOURCES).collect()
         named = [r["source"] for r in largest]
@@ -100,12 +146,17 @@ def mix(docs: DataFrame, weights: dict[str | None, int] | None = None, *, source
         named = list(weights)
     known = small_table(spark, list(zip(named, range(1, len(named) + 1), strict=True)), "known string, number int")
     number = F.coalesce("number", F.lit(0))
-    totals = {r["number"]: r["bytes"] for r in
-              by_source.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("known")), "left")
-              .groupBy(number.alias("number")).agg(F.sum("bytes").alias("bytes")).collect()}
-    parts = tempered(totals) if weights is None else {
+    # A group member's key; the driver's sources need none.
+    key = F.when(F.col("number").isNotNull(), "").otherwise(
+        F.when(F.col("source").isNull(), "none").otherwise(F.concat(F.lit("="), "source")))
+    nodes = (by_source.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("known")), "left")
+             .select(number.alias("number"), key.alias("key"), F.sqrt(F.greatest("bytes", F.lit(1))).alias("power"),
+                     F.ceil(F.col("bytes") / F.lit(block_bytes)).cast("long").alias("blocks")))
+    totals = {r["number"]: r for r in
+              nodes.groupBy("number").agg(F.sum("power").alias("power"), F.sum("blocks").alias("blocks")).collect()}
+    parts = tempered({i: r["power"] for i, r in totals.items()}, 1.0) if weights is None else {
         i: max(1, int(weights[named[i - 1]])) if i else 1 for i in totals}
-    plan = phases(parts, {i: -(-b // block_bytes) for i, b in totals.items()})
+    plan = phases(parts, {i: r["blocks"] for i, r in totals.items()})
     schedule = small_table(
         spark, [(s, p.start, p.length, p.first[s], p.count[s], parts[s], p.slots[s]) for p in plan for s in p.first],
         "number int, at long, length long, first long, count long, weight long, slots array<int>")
@@ -113,29 +164,37 @@ def mix(docs: DataFrame, weights: dict[str | None, int] | None = None, *, source
     buckets = buckets_for(count)
     bucket = F.pmod("hash", F.lit(buckets)).cast("int")
     numbered = narrow.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("known")), "left")
-    sums = (numbered.groupBy(number.alias("number"), bucket.alias("bucket")).agg(F.sum("size").alias("bytes")))
-    earlier = Window.partitionBy("number").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(F.col("number").alias("_number"), F.col("bucket").alias("_bucket"),
+    sums = (numbered.groupBy(number.alias("number"), key.alias("key"), bucket.alias("bucket"))
+            .agg(F.sum("size").alias("bytes")))
+    earlier = Window.partitionBy("number", "key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col("number").alias("_number"), F.col("key").alias("_key"), F.col("bucket").alias("_bucket"),
                           F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("_offset"))
 
     rows = (docs.drop(name).select(F.struct("*").alias("row"), F.col(source_col).cast("string").alias("source"),
                                    size.cast("long").alias("size"), F.col(id_col).alias("id"),
                                    F.xxhash64(F.col(id_col)).alias("hash"))
             .join(F.broadcast(known), F.col("source").eqNullSafe(F.col("known")), "left")
-            .select("row", "id", "hash", "size", number.alias("number"), bucket.alias("bucket")))
-    inside = Window.partitionBy("number", "bucket").orderBy("hash", "id", "size")
+            .select("row", "id", "hash", "size", number.alias("number"), key.alias("key"), bucket.alias("bucket")))
+    inside = Window.partitionBy("number", "key", "bucket").orderBy("hash", "id", "size")
     so_far = inside.rowsBetween(Window.unboundedPreceding, -1)
     placed = (rows.withColumns({"before": F.coalesce(F.sum("size").over(so_far), F.lit(0)),
                                 "rank": F.row_number().over(inside)})
-              .join(offsets, (F.col("number") == F.col("_number")) & (F.col("bucket") == F.col("_bucket")))
+              .join(offsets, (F.col("number") == F.col("_number")) & (F.col("key") == F.col("_key"))
+                    & (F.col("bucket") == F.col("_bucket")))
               .withColumn("start", F.col("_offset") + F.col("before"))
               .withColumn("block", F.floor(F.col("start") / F.lit(block_bytes)).cast("long")))
-    own = F.col("block") - F.col("first")
+    alone = placed.withColumn("place", F.col("block"))
+    if 0 in totals:
+        grouped = _group_blocks(nodes.where("number = 0").select("key", "blocks", "power"))
+        placed = alone.where("number <> 0").unionByName(placed.where("number = 0").join(grouped, ["key", "block"]))
+    else:
+        placed = alone
+    own = F.col("place") - F.col("first")
     done = placed.join(F.broadcast(schedule.withColumnRenamed("number", "_source")),
                        (F.col("number") == F.col("_source")) & (own >= 0) & (own < F.col("count")))
-    times = {"slot": F.expr("at + (block - first) div weight * length + slots[int((block - first) % weight)]"),
-             "release": F.expr("at + ((block - first) * length) div weight"),
-             "deadline": F.expr("at + ((block - first + 1) * length + weight - 1) div weight")}
+    times = {"slot": _slot("place"),
+             "release": F.expr("at + ((place - first) * length) div weight"),
+             "deadline": F.expr("at + ((place - first + 1) * length + weight - 1) div weight")}
     info = F.struct(*[v.cast("long").alias(k) for k, v in times.items()], "block", "start", "rank")
     return done.select("row.*", info.alias(name))
 
