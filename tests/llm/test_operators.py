@@ -340,7 +340,7 @@ def test_top_products_below_zero():
     rng = np.random.default_rng(2)
     angles = np.pi + rng.uniform(-1, 1, 60)  # all opposed to the query, lengths within a tenth
     near = np.floor(rng.uniform(92, 100, 60)[:, None] * np.stack([np.cos(angles), np.sin(angles)], 1))
-    vectors = np.concatenate([[[-60.0, 80.0]] * 8, [[-59.0, 74.0]], near])
+    vectors = np.concatenate([[[-60.0, 80.0]] * 9, [[-59.0, 74.0]], [[-95.0, 0.0]] * 6, near[(near[:, 0] < -62) & (np.hypot(*near.T) < 94)]])
     queries, ids = np.array([[64.0, 0.0]]), np.arange(1, len(vectors) + 1)
     for k in (1, 2, 5, 12):
         _, found, scores = topk._finder(k, 8)(np.array([0]), queries, ids, vectors)
