@@ -9,7 +9,22 @@ from pyspark.sql import functions as F
 
 from weir import tune
 
-from . import dart_minhash, mixing, neighbours, packing, pii, secret_scan, sharding, spans, suffixes, topk, toxicity
+from . import (
+    crossparse,
+    dart_minhash,
+    mixing,
+    neighbours,
+    packing,
+    periodic,
+    pii,
+    secret_scan,
+    segments,
+    sharding,
+    spans,
+    suffixes,
+    topk,
+    toxicity,
+)
 
 TOXIC_FROM = 0.7
 
@@ -56,9 +71,9 @@ def op3_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLES["op3_norm_buckets"] = """
 WITH whole AS (
-  SELECT vec_id, list_transform(embedding, x -> floor(64 * CAST(x AS DOUBLE))) AS vec FROM embeddings
+  SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) for x in embedding] AS vec FROM embeddings
   WHERE vec_id IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, v.vec_id, CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
   FROM (SELECT DISTINCT * FROM whole WHERE vec_id % 20 = 0) q
@@ -114,3 +129,45 @@ def op9_suffix_radix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op11_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = crossparse.identify(docs, crossparse.learn(docs))
+    return found.select("doc_id", crossparse.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_segment_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return segments.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label=moved)
+
+
+ORACLES["op12_segment_negatives"] = """
+WITH whole AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS vec FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, a.label = v.label AS same,
+    CAST(list_inner_product(a.vec, v.vec) AS BIGINT) AS score
+  FROM (SELECT * FROM whole WHERE vec_id % 100 = 0) a JOIN whole v ON a.vec_id <> v.vec_id),
+positives AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM scored WHERE same)
+  WHERE place <= 5),
+negatives AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON p.anchor_id = n.anchor_id AND NOT n.same
+    AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM negatives WHERE rank <= 5"""
+
+
+@query
+def op13_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(periodic.repeat_tails(table(spark, sf_dir, "documents")))
+    return found.select("doc_id", *periodic.digest())
