@@ -12,7 +12,6 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -31,31 +30,34 @@ LANES = 32_768  # blocks parsed side by side
 EVIDENCE = 32  # bytes by which the score weighs differences in bits a byte
 
 
-@cache
-def _characters() -> tuple[np.ndarray, np.ndarray]:
-    """For each code point its lower case, 32 where it is neither letter nor mark; and whether it is a letter."""
-    kept, letter = np.full(0x110000, 32, np.uint32), np.zeros(0x110000, bool)
-    for i in range(0x110000):
-        kind = unicodedata.category(chr(i))[0]
-        if kind in "LM":
-            low = chr(i).lower()
-            kept[i] = ord(low) if len(low) == 1 else i
-            letter[i] = kind == "L"
-    return kept, letter
-
-
-def _points(text: str) -> np.ndarray:
-    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-
-
-def normal(points: np.ndarray) -> np.ndarray:
-    """UTF-8 of lower case letters and marks, anything between them as one blank, none at the ends."""
-    kept = _characters()[0][points]
-    word = kept != 32
-    kept = kept[word | np.append(False, word[:-1])[: len(word)]]
-    kept = kept[:-1] if len(kept) and kept[-1] == 32 else kept
-    text = kept.tobytes().decode("utf-32-le", "surrogatepass")
-    return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
+class Characters:
+    """What becomes of each code point; pages of 256 are filled in when a text has one of their points."""
+
+    def __init__(self):
+        self.known = np.zeros(0x1100, bool)
+        self.kept = np.full(0x110000, 32, np.uint32)  # its lower case, 32 where it is neither letter nor mark
+        self.letter = np.zeros(0x110000, bool)
+
+    def points(self, text: str) -> np.ndarray:
+        out = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        for page in np.unique((out >> 8)[~self.known[out >> 8]]):
+            self.known[page] = True
+            for i in range(int(page) << 8, int(page) + 1 << 8):
+                kind = unicodedata.category(chr(i))[0]
+                if kind in "LM":
+                    low = chr(i).lower()
+                    self.kept[i] = ord(low) if len(low) == 1 else i
+                    self.letter[i] = kind == "L"
+        return out
+
+    def normal(self, points: np.ndarray) -> np.ndarray:
+        """UTF-8 of lower case letters and marks, anything between them as one blank, none at the ends."""
+        kept = self.kept[points]
+        word = kept != 32
+        kept = kept[word | np.append(False, word[:-1])[: len(word)]]
+        kept = kept[:-1] if len(kept) and kept[-1] == 32 else kept
+        text = kept.tobytes().decode("utf-32-le", "surrogatepass")
+        return np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
 
 
 def automaton(codes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -144,9 +146,9 @@ class LanguageModel:
 
         @F.pandas_udf("lang_pred string, score double")
         def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-            parser = Parser(model) if model.names else None
+            parser, characters = Parser(model) if model.names else None, Characters()
             for texts in batches:
-                yield _predicted(parser, texts)
+                yield _predicted(parser, characters, texts)
 
         return predict(text_of(text_col))
 
@@ -186,13 +188,12 @@ class Parser:
         return count.T
 
 
-def _predicted(parser: Parser | None, texts: pd.Series) -> pd.DataFrame:
-    letter = _characters()[1]
-    points = [_points(t) for t in texts]
-    some = np.array([bool(letter[p].any()) for p in points], bool) & (parser is not None)
+def _predicted(parser: Parser | None, characters: Characters, texts: pd.Series) -> pd.DataFrame:
+    points = [characters.points(t) for t in texts]
+    some = np.array([characters.letter[p].any() for p in points], bool) & (parser is not None)
     out = pd.DataFrame({"lang_pred": UNDEFINED, "score": 0.0}, index=range(len(points)))
     if some.any():
-        plain = [normal(points[i]) for i in np.nonzero(some)[0]]
+        plain = [characters.normal(points[i]) for i in np.nonzero(some)[0]]
         place, score = parser.model.best(parser.phrases(plain), np.array([len(p) for p in plain]))
         out.loc[some, "lang_pred"] = np.array(parser.model.names, object)[place]
         out.loc[some, "score"] = score
@@ -226,9 +227,9 @@ def learn(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
               .groupBy("lang", "turn").agg(F.min("part").alias("part")))
 
     def build(key, rows):
-        parts, left = [], share
+        parts, left, characters = [], share, Characters()
         for r in rows.select(["turn", "part"]).sort_by("turn").column("part").to_pylist():
-            plain = normal(_points(r))[:left]
+            plain = characters.normal(characters.points(r))[:left]
             left -= len(plain)
             parts += [plain.astype(np.int64), [-1]]
             if not left:
