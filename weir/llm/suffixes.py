@@ -21,7 +21,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored, text_of
@@ -86,7 +86,7 @@ def runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, pre
     return grams[place], mix(prefixes.slices(sums, low, high + depth) ^ mix(shape, 3)), low, high
 
 
-def _pieces(batches: Iterator) -> Iterator[list[tuple[int, int, bytes]]]:
+def _pieces(batches: Iterator, depth: int) -> Iterator[list[tuple[int, int, bytes]]]:
     """Documents as id, place of the bytes, bytes; about ``PIECE`` bytes together, long documents in overlapping parts."""
     kept: list[tuple[int, int, bytes]] = []
     size = 0
@@ -94,9 +94,9 @@ def _pieces(batches: Iterator) -> Iterator[list[tuple[int, int, bytes]]]:
         ids = batch.column(0).to_pylist()
         for doc, value in zip(ids, batch.column(1), strict=True):
             text = value.as_buffer()
-            for at in range(0, max(1, len(text) - DEPTH + 1), PIECE - DEPTH):
+            for at in range(0, max(1, len(text) - depth + 1), PIECE - depth):
                 part = text.slice(at, min(PIECE, len(text) - at)).to_pybytes()
-                if len(part) >= DEPTH:
+                if len(part) >= depth:
                     kept.append((doc, at, part))
                     size += len(part)
                 if size >= PIECE:
@@ -109,7 +109,7 @@ def _pieces(batches: Iterator) -> Iterator[list[tuple[int, int, bytes]]]:
 def _first_pass(depth: int):
     def sort(batches: Iterator) -> Iterator:
         prefixes = Prefixes(2 * PIECE)
-        for pieces in _pieces(batches):
+        for pieces in _pieces(batches, depth):
             pieces.sort(key=lambda p: p[:2])
             sizes = np.array([len(p[2]) for p in pieces])
             ends = np.cumsum(sizes)
@@ -296,22 +296,48 @@ def _cutter(depth: int):
 
 
 def _sorted_by_group(rows: DataFrame) -> DataFrame:
-    return rows.repartition("key").sortWithinPartitions("key", "sub", "doc", "at")
+    # Rows that only pass through are dealt by their place, so a crowded gram's do not meet in one task.
+    salt = F.when(F.col("kind") == SPREAD, F.xxhash64("doc", "at")).otherwise(F.lit(0))
+    return rows.repartition(F.col("key"), salt).sortWithinPartitions("key", "sub", "doc", "at")
+
+
+def _one_per_text(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Each text of an id once, as documents ``id, text`` numbered in the order of id and text hash, and ``doc, own, copies``."""
+    own = ["own", "hash", "hash2"]
+    rows = texts.withColumns({"hash": F.xxhash64("text"), "hash2": F.xxhash64("text", F.lit(1))})
+    once = stored(rows.groupBy(*own).agg(F.first("text").alias("text"), F.count("*").alias("copies")), "suffix-texts")
+    narrow = stored(once.select(*own, "copies").repartitionByRange(*own).sortWithinPartitions(*own)
+                    .withColumn("part", F.spark_partition_id()), "suffix-rows")
+    parts = narrow.groupBy("part").agg(F.count("*").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per task
+    ahead = parts.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("part").orderBy(*own)
+    number = (F.row_number().over(inside) + F.col("ahead")).cast("long")
+    numbers = stored(narrow.join(F.broadcast(ahead), "part").withColumn("doc", number).drop("part", "ahead"), "suffix-numbers")
+    same = [once[c].eqNullSafe(numbers[c]) for c in own]
+    documents = stored(once.join(numbers, same[0] & same[1] & same[2]).select(numbers["doc"].alias("id"), "text"), "suffix-documents")
+    return documents, numbers.select("doc", "own", "copies")
 
 
 def remove_repeats(docs: DataFrame, *, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text",
                    with_kept: bool = True) -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the ``kept`` bytes.
 
-    A byte goes if a string of ``depth`` bytes that covers it also starts earlier: in a smaller id, or earlier in the same
-    document. Strings are judged on the input and never cross documents. Ids are whole numbers; a null id comes before all
-    others. A null text is empty. Rows of one id are judged as one document and each loses the same places, so copies under
-    one id do not repeat each other. Ties cannot occur otherwise. An empty table gives no rows. Other columns are not read.
+    A byte goes if a string of ``depth`` bytes (32 to 100) that covers it also starts earlier: in a smaller id, or earlier in
+    the same document. Strings are judged on the input and never cross documents. Ids are whole numbers; a null id comes
+    before all others. A null text is empty. Each row is a document of its own: rows of one id come in the order of a hash of
+    their texts, equal rows one after the other. An empty table gives no rows. Other columns are not read.
     """
     if depth < GRAM or depth > DEPTH:
         raise ValueError(f"depth must be {GRAM} to {DEPTH}")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("id"),
-                        text_of(text_col).cast("binary").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("own"), text_of(text_col).cast("binary").alias("text"))
+    least = F.lit(-(1 << 63))
+    again = texts.select(F.coalesce("own", least).alias("id")).groupBy("id").agg(F.count("*").alias("n")).where("n > 1")
+    numbers = None
+    if again.limit(1).count():
+        texts, numbers = _one_per_text(texts)
+    else:
+        texts = texts.select(F.coalesce("own", least).alias("id"), "text")
     rows = texts.mapInArrow(_first_pass(depth), ROW)
     marks = stored(_sorted_by_group(rows).mapInArrow(_group_pass(depth), ROW), "suffix-marks")
 
@@ -325,5 +351,14 @@ def remove_repeats(docs: DataFrame, *, depth: int = DEPTH, id_col: str = "doc_id
     repeats = (windows.unionByName(marks).where(F.col("kind") == REPEAT).select("doc", "at", "span"))
     done = (texts.join(ranges(repeats), F.col("id") == F.col("doc"), "left").select("id", "text", "found")
             .mapInArrow(_cutter(depth), "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"))
-    numbers = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]
-    return done.select(F.when(F.col("id") != -(1 << 63), F.col("id")).alias(id_col), *numbers)
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_kept]
+    if numbers is None:
+        return done.select(F.when(F.col("id") != least, F.col("id")).alias(id_col), *names)
+    # A further copy repeats the first one from end to end.
+    long = F.col("n_bytes") >= depth
+    nothing = F.lit(b"").cast("binary")
+    later = {"n_removed": F.col("n_bytes"), "n_spans": F.lit(1).cast("long"), "kept_sha256": F.sha2(nothing, 256), "kept": nothing}
+    every = (done.join(numbers, F.col("id") == F.col("doc"))
+             .withColumn("turn", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))))
+    return every.withColumns({c: F.when((F.col("turn") > 1) & long, v).otherwise(F.col(c)) for c, v in later.items()}
+                             ).select(F.col("own").alias(id_col), *names)
