@@ -9,6 +9,7 @@ a shorter vector needs less). What remains is verified by its product.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,18 +20,26 @@ BUCKET = 256
 SPREAD = 0.9  # of shortest to longest: below it, pruning by length
 
 
+def _first(score: np.ndarray, place: np.ndarray, k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ``k`` highest scores of each row, ties to the lower place; ids ascend, so places stand for them."""
+    if np.abs(np.where(score == NONE, 0, score)).max(initial=0) < (1 << 61) // (n + 1):
+        # One number orders by both, so that nothing needs to be sorted whole.
+        keys = np.where(score == NONE, NONE, score * (n + 1) + (n - place))
+        order = np.argpartition(-keys, k - 1, axis=1)[:, :k]
+    else:
+        order = np.lexsort((place, -score), axis=1)[:, :k]
+    return np.take_along_axis(score, order, 1), np.take_along_axis(place, order, 1)
+
+
 def _finder(k: int, bucket: int):
     def find(query_ids, queries, ids, vectors):
-        import numpy as np
-
         lengths = np.sqrt((vectors * vectors).sum(axis=1))
         query_lengths = np.sqrt((queries * queries).sum(axis=1))
         focus = np.abs(queries).argmax(axis=1)
         peak = queries[np.arange(len(queries)), focus] / np.maximum(query_lengths, 1e-300)
         by_length = np.argsort(-lengths, kind="stable")
-        # One number orders by score, then by the smaller id; ids ascend, so places stand for them.
         n = len(ids)
-        best = np.full((len(queries), k), NONE)
+        best, place = np.full((len(queries), k), NONE), np.full((len(queries), k), n)
         floor = np.full(len(queries), -np.inf)
         for first in range(0, n, bucket):
             part = by_length[first : first + bucket]
@@ -59,14 +68,14 @@ def _finder(k: int, bucket: int):
                 a, b = np.nonzero(keep)
                 products = np.zeros(keep.shape)
                 products[a, b] = (queries[alive[a]] * vectors[part[b]]).sum(axis=1)
-            scored = np.where(keep, products.astype(np.int64) * n + (n - 1 - part)[None, :], NONE)
-            merged = np.concatenate([best[alive], scored], axis=1)
-            best[alive] = -np.partition(-merged, k - 1, axis=1)[:, :k]
+            scored = np.where(keep, products.astype(np.int64), NONE)
+            merged = np.concatenate([best[alive], scored], axis=1), np.concatenate(
+                [place[alive], np.broadcast_to(part, scored.shape)], axis=1)
+            best[alive], place[alive] = _first(*merged, k, n)
             lowest = best[alive].min(axis=1)
-            floor[alive] = np.where(lowest == NONE, -np.inf, lowest // n)
+            floor[alive] = np.where(lowest == NONE, -np.inf, lowest)
         row, column = np.nonzero(best != NONE)
-        kept = best[row, column]
-        return [query_ids[row], ids[n - 1 - kept % n], kept // n]
+        return [query_ids[row], ids[place[row, column]], best[row, column]]
 
     return find
 
@@ -78,7 +87,7 @@ def top_products(df: DataFrame, is_query: Column, k: int = 20, *, scale: int = 6
     ``is_query`` is a condition on the column ``id``. Every row but those of the query's id is a candidate. Vectors that
     are null, empty or hold null or non-finite components, and rows without an id, take no part; an id repeated with one
     vector counts once; ties go to the smaller id. Vectors of other dimensions never meet. Products are exact while
-    they stay below 2^53. An empty table gives no rows. Other columns are not read.
+    the sums of their absolute parts stay below 2^53. An empty table gives no rows. Other columns are not read.
     """
     rows = usable(df, id_col, vec_col).withColumn(
         "vec", F.transform("vec", lambda x: F.floor(x * scale).cast("double")))
