@@ -146,9 +146,8 @@ def _sketcher(words: int, weighted: bool, coordinates: int, rows: int):
             for x, count in shingler.sets(part.column(1).to_pylist()):
                 w = count.astype(float) if weighted else np.ones(len(x))
                 found.append(bands(signature(x, w, coordinates), rows) if len(x) else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), part.column(3), part.column(4), pa.array(found, pa.list_(pa.int64()))],
-                ["id", "copy", "copy2", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(found, pa.list_(pa.int64()))],
+                                             ["id", "node", "bands"])
 
     return sketch
 
@@ -234,7 +233,7 @@ def _counted(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(np.repeat(x, w) ^ mix(turn.astype(np.uint64), 23))
 
 
-def _in_blocks(state: DataFrame, sets: DataFrame, kind: str, least: float, weighted: bool) -> DataFrame:
+def _in_blocks(state: DataFrame, sets: DataFrame, least: float, weighted: bool) -> DataFrame:
     """Links between members of different classes in each bucket, by pairs of blocks of about ``BLOCK`` bytes."""
     sized = state.select("bucket", "id", "root").join(sets.select("id", F.octet_length("x").alias("size")), "id")
     blocks = sized.groupBy("bucket").agg(F.ceil(F.sum("size") / BLOCK).cast("int").alias("blocks"))
@@ -245,18 +244,18 @@ def _in_blocks(state: DataFrame, sets: DataFrame, kind: str, least: float, weigh
                       (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right")))
     columns = ["id", "x", "w"] if weighted else ["id", "x"]
     return stored(placed.join(sets.select(*columns), "id").groupBy("bucket", "i", "j")
-                  .applyInArrow(_block_links(least, weighted), f"a {kind}, b {kind}").distinct(), "dart-block-links")
+                  .applyInArrow(_block_links(least, weighted), "a binary, b binary").distinct(), "dart-block-links")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
-                    words: int = WORDS, weighted: bool = False, coordinates: int = COORDINATES,
+                    words: int = WORDS, weighted: bool = True, coordinates: int = COORDINATES,
                     rows: int = ROWS) -> DataFrame:
     """One row per id: the id, ``class_id`` (the smallest id of its class) and ``class_size`` (ids in it).
 
-    Two documents are linked if their sets of word shingles have a similarity of at least ``least``; a class is what
-    links connect. ``weighted`` counts repeated shingles by their number. Texts equal in words are linked; texts without words
-    are linked if equal, null being empty. Rows of one id with several texts are linked through the id; rows without an
-    id are left out. An empty table gives no rows. Other columns are not read.
+    Two documents are linked if their word shingles, weighted by how often each occurs, have a Jaccard similarity of at least
+    ``least``; without ``weighted`` every shingle counts once. A class is what links connect. Texts equal in words are linked; texts without words
+    are linked if equal, null being empty. Each text is compared by itself, and an id belongs with all texts of its rows;
+    equal rows change nothing. Rows without an id are left out. An empty table gives no rows. Other columns are not read.
 
     A bucket of equal bands is searched from leaders: first the member that meets most others, then, where a bucket still
     holds several classes, some further members against those of other classes. Members of different classes that no
@@ -268,33 +267,36 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     plain = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), text.alias("text"), normal(text).alias("normal"))
     same = F.when(F.col("normal") == "", F.concat(F.lit(" "), F.col("text"))).otherwise(F.col("normal"))
-    sized = plain.select("id", "normal", F.octet_length("normal").alias("size"), F.xxhash64(same).alias("copy"),
-                         F.xxhash64(same, F.lit(1)).alias("copy2"))
+    # A node of the graph is a text, by 128 bits of hash.
+    halves = [F.lpad(F.hex(F.xxhash64(same, *seed)), 16, "0") for seed in ((), (F.lit(1),))]
+    sized = plain.select("id", "normal", F.octet_length("normal").alias("size"), F.unhex(F.concat(*halves)).alias("node"))
     kind = sized.schema["id"].dataType.simpleString()
     sketches = stored(sized.mapInArrow(_sketcher(words, weighted, coordinates, rows),
-                                       f"id {kind}, copy long, copy2 long, bands array<long>"), "dart-sketches")
-    copies = stored(sketches.groupBy("copy", "copy2").agg(
-        F.min("id").alias("id"), F.max("id").alias("last"), F.first("bands").alias("bands")), "dart-copies")
+                                       f"id {kind}, node binary, bands array<long>"), "dart-sketches")
+    copies = stored(sketches.groupBy("node").agg(F.min("id").alias("holder"), F.first("bands").alias("bands"))
+                    .withColumnRenamed("node", "id"), "dart-copies")
     entries = copies.select("id", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(entries.join(crowded, "bucket").select("bucket", "id", "n"), "dart-buckets")
     met = stored(shared.groupBy("id").agg(F.sum("n").alias("met")), "dart-met")
     members = stored(shared.join(met, "id").select("bucket", "id", "met"), "dart-members")
 
-    texts = sized.select("id", "normal", "size").join(met.select("id"), "id", "left_semi")
-    sets = stored(texts.mapInArrow(_lister(words), f"id {kind}, x binary, w binary").dropDuplicates(["id"]), "dart-sets")
+    holders = met.select("id").join(copies, "id").select(F.col("id").alias("node"), F.col("holder").alias("id"))
+    texts = sized.join(holders, ["id", "node"], "left_semi").select(F.col("node").alias("id"), "normal", "size")
+    sets = stored(texts.mapInArrow(_lister(words), "id binary, x binary, w binary").dropDuplicates(["id"]), "dart-sets")
     first = sets.select(F.col("id").alias("a"), "x", "w")
     second = sets.select(F.col("id").alias("b"), F.col("x").alias("y"), F.col("w").alias("v"))
 
     def alike(pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` at or above the threshold, verified on their whole sets."""
         whole = pairs.join(first, "a").join(second, "b")
-        return (whole.mapInArrow(_verifier(least, weighted), f"a {kind}, b {kind}, alike boolean")
+        return (whole.mapInArrow(_verifier(least, weighted), "a binary, b binary, alike boolean")
                 .where("alike").select("a", "b"))
 
-    # Copies of one text and rows of one id are linked through copies' smallest ids.
-    copy_links = (sketches.join(copies.select("copy", "copy2", F.col("id").alias("a"), "last").where("a <> last"),
-                                ["copy", "copy2"]).where("id <> a").select("a", F.col("id").alias("b")))
+    # Texts of one id are linked through the first of them.
+    held = sketches.select("id", "node").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last"))
+    own_links = (sketches.select("id", "node").join(held.where("a <> last"), "id").where("node <> a")
+                 .select("a", F.col("node").alias("b")).distinct())
     links, tested, state = None, None, members.withColumn("root", F.col("id")).withColumn("tried", F.lit(False))
     for leaders in LEADERS:
         turn = F.pmod(F.xxhash64("id"), F.lit(leaders)).cast("int")
@@ -319,13 +321,13 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         open_ = (state.where("not tried").groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
                  .where("low <> high").select("bucket"))
         state = stored(state.join(open_, "bucket", "left_semi"), "dart-state")
-    links = links.unionByName(_in_blocks(state.where("not tried"), sets, kind, least, weighted))
+    links = links.unionByName(_in_blocks(state.where("not tried"), sets, least, weighted))
 
-    roots = components(links.unionByName(copy_links))
-    labelled = (sketches.select("id").distinct().join(roots, "id", "left")
-                .select("id", F.coalesce("root", "id").alias("root")))
-    sizes = labelled.groupBy("root").agg(F.count("*").alias("class_size"))
-    return labelled.join(sizes, "root").select(F.col("id").alias(id_col), F.col("root").alias("class_id"), "class_size")
+    roots = components(links.unionByName(own_links)).withColumnRenamed("id", "node")
+    labelled = stored(sketches.select("id", "node").join(roots, "node", "left")
+                      .select("id", F.coalesce("root", "node").alias("root")).distinct(), "dart-classes")
+    classes = labelled.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
+    return labelled.join(classes, "root").select(F.col("id").alias(id_col), "class_id", "class_size")
 
 
 def keep_first(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
