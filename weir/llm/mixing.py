@@ -16,6 +16,7 @@ from __future__ import annotations
 import heapq
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,8 +78,9 @@ def phases(weights: dict[int, int], blocks: dict[int, int]) -> list[Phase]:
 
 
 def tempered(sizes: dict, exponent: float = 0.5, parts: int = PARTS) -> dict:
-    """Integer weights in proportion to a power of the sizes, each at least 1."""
+    """Integer weights in proportion to a power of the sizes, each at least 1; finer for more sources."""
     powers = {k: max(v, 1) ** exponent for k, v in sizes.items()}
+    parts = max(parts, 16 * len(powers))
     whole = sum(powers.values())
     return {k: max(1, round(parts * v / whole)) for k, v in powers.items()}
 
@@ -203,3 +205,23 @@ def in_mixed_order(mixed: DataFrame, name: str = "mix") -> DataFrame:
     """The rows in mixed order, over as many tasks as Spark's setting asks for, without the struct."""
     order = [F.col(f"{name}.slot"), F.col(f"{name}.start"), F.col(f"{name}.rank")]
     return mixed.repartitionByRange(*order).sortWithinPartitions(*order).drop(name)
+
+
+def row_place(docs: DataFrame, name: str = "place") -> DataFrame:
+    """The rows with their place in the order of the files they are read from: file by file as written, row by row.
+
+    Files count by the task that wrote them and by their turn there, as their names tell. A row number takes 40 bits and a
+    file number 23. Rows that come from no files are counted as Spark hands them out. An existing column ``name`` is replaced.
+    """
+    file = F.col("_metadata.file_name")
+    try:
+        docs.select(file, "_metadata.row_index")
+    except AnalysisException:
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    part, turn = (F.regexp_extract("file", rule, 1).try_cast("long") for rule in (r"^part-(\d+)", r"-c(\d+)\."))
+    order = Window.orderBy(F.coalesce(part, F.lit(0)), F.coalesce(turn, F.lit(0)), "file")  # one row per file
+    files = docs.select(file.alias("file")).distinct().select(F.col("file").alias("__file"), F.row_number().over(order).alias("__number"))
+    named = docs.withColumns({"__name": file, "__row": F.col("_metadata.row_index")}).drop(name)
+    place = F.shiftleft(F.col("__number").cast("long"), 40) + F.col("__row")
+    return (named.join(F.broadcast(files), F.col("__name") == F.col("__file")).withColumn(name, place)
+            .drop("__name", "__row", "__file", "__number"))
