@@ -163,11 +163,30 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int,
     return moves
 
 
-def _by_place(placed: DataFrame, bucket) -> DataFrame:
+def _cut_at(df: DataFrame, place: str, buckets: int) -> list[int]:
+    """Places that cut the rows of ``df`` into about even parts."""
+    shares = [i / buckets for i in range(1, buckets)]
+    found = df.agg(F.percentile_approx(place, shares, 10 * buckets)).first()[0] if shares else None
+    return sorted(set(found or []))
+
+
+def _bucket(place: Column, cuts: list[int]) -> Column:
+    """How many cuts lie at or below the place, by halving."""
+    bounds, steps = F.array(*map(F.lit, cuts)).cast("array<long>"), [1 << i for i in reversed(range(len(cuts).bit_length()))]
+
+    def step(at: Column, width: Column) -> Column:
+        fits = (at + width <= len(cuts)) & (F.get(bounds, at + width - 1) <= place)
+        return F.when(fits, at + width).otherwise(at)
+
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if cuts else F.lit(0)
+
+
+def _by_place(placed: DataFrame) -> DataFrame:
     """The sequences numbered by the place of their earliest piece."""
     placed = stored(placed, "pack-placed")
-    first = (placed.groupBy("sequence_id").agg(F.min(F.struct("place", "piece")).alias("first"))
-             .withColumn("bucket", bucket(F.col("first.place"))))
+    first = stored(placed.groupBy("sequence_id").agg(F.min(F.struct("place", "piece")).alias("first")), "pack-firsts")
+    cuts = _cut_at(first, "first.place", buckets_for(first.count(), 32))
+    first = first.withColumn("bucket", _bucket(F.col("first.place"), cuts))
     before, ahead = [], 0
     for r in sorted(first.groupBy("bucket").agg(F.count("*").alias("n")).collect()):
         before.append((r["bucket"], ahead))
@@ -207,9 +226,8 @@ def pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int =
         bucket = lambda _: F.pmod(F.xxhash64("id", "piece"), F.lit(buckets)).cast("int")
     else:
         # Where the buckets are cut decides only which task ranks a piece.
-        cuts = pieces.agg(F.percentile_approx("place", [i / buckets for i in range(1, buckets)])).first()[0] or []
-        bounds = F.array(*map(F.lit, cuts)).cast("array<long>")
-        bucket = lambda at: F.size(F.filter(bounds, lambda cut: cut <= at))
+        cuts = _cut_at(pieces, "place", buckets)
+        bucket = lambda at: _bucket(at, cuts)
     dealt = pieces.withColumn("bucket", bucket(F.col("place")))
     sums = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -223,4 +241,4 @@ def pack(docs: DataFrame, path: str, *, capacity: int = CAPACITY, end_id: int =
               .select("id", "piece", "start", "length", F.col("crc").alias("ids_crc32"),
                       (F.expr("sequences[run - 1] + rank - ranks[run - 1]")).cast("long").alias("sequence_id"),
                       F.expr("offsets[run - 1]").alias("offset"), "place"))
-    return (placed.drop("place") if place is None else _by_place(placed, bucket)).withColumnRenamed("id", id_col)
+    return (placed.drop("place") if place is None else _by_place(placed)).withColumnRenamed("id", id_col)
