@@ -22,6 +22,8 @@ from .common import stored, text_of
 
 FIT_ROWS = 8000  # at most so many labelled rows are fitted on, a quarter of them with label 1 where there are as many
 LEAST_ODDS, LEAST_G2 = 8.0, 20.0
+LEXICON_TERMS = 20_000  # of each kind that a model holds at most, those that mark label 1 most surely
+SIEVE_WORDS = 1 << 20  # of 63 bits each that the sieve of labelled ids has at most, 16 MB
 NEAR = 5  # words
 TOKENS_KEPT = 300_000  # of a worker's memory of tokens; it starts anew beyond, with the same results
 SECOND_PERSON = frozenset(
@@ -119,9 +121,25 @@ def _learn_lexicon(sample: DataFrame, n_zero: int, n_one: int) -> Lexicon:
     g2 = 2 * (F.col("one") * F.log(F.col("one") / (total * share))
               + F.when(F.col("zero") > 0, F.col("zero") * F.log(F.col("zero") / (total * (1 - share)))).otherwise(0.0))
     odds = ((F.col("one") + 0.5) / (n_one + 1)) / ((F.col("zero") + 0.5) / (n_zero + 1))
-    found = (rows.groupBy("kind", "term").agg(one.alias("one"), zero.alias("zero"))
-             .where((F.col("one") > 0) & (odds >= LEAST_ODDS) & (g2 >= LEAST_G2)).select("kind", "term").collect())
-    return Lexicon(*(frozenset(r["term"] for r in found if r["kind"] == kind) for kind in (0, 1)))
+    found = stored(rows.groupBy("kind", "term").agg(one.alias("one"), zero.alias("zero"))
+                   .where((F.col("one") > 0) & (odds >= LEAST_ODDS) & (g2 >= LEAST_G2)).select("kind", "term", g2.alias("g2")),
+                   "toxicity-terms")
+    return Lexicon(*(frozenset(r["term"] for r in found.where(F.col("kind") == kind).orderBy(F.desc("g2"), "term")
+                               .limit(LEXICON_TERMS).collect()) for kind in (0, 1)))
+
+
+def _sieve(texts: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """The rows of ``texts`` whose id may be in ``ids``; about one in nine others passes, more once the sieve is at its bound.
+
+    Bits of hashed ids, eight for an id, go to every task, so the texts of other rows are not shuffled.
+    """
+    words = max(1, min(SIEVE_WORDS, 8 * count // 63 + 1))
+    place = F.pmod(F.xxhash64("id"), F.lit(words * 63))
+    word, bit = F.floor(place / 63).cast("long"), (place % 63).cast("int")
+    bits = stored(ids.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+                  .groupBy("word").agg(F.bit_or("bit").alias("bits")), "toxicity-sieve")
+    some = texts.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
+    return some.where(F.getbit("bits", F.col("bit")) == 1).drop("word", "bit", "bits")
 
 
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
@@ -131,7 +149,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     All of them count for the lexicon and the shares of the classes, but those that calibrate not for the lexicon, which
     would flatter its words. Trees and calibration take at most ``fit_rows``, chosen by a hash of the id. Labels other
     than 0 and 1 and ids without a document are passed over; an id labelled twice with different labels counts as 1, one
-    with several texts by one of them. Without rows of both classes the score is the share of label 1 for every text, or 0.
+    with several texts by the first of them in order. Without rows of both classes the score is the share of label 1 for every text, or 0.
     """
     marked = (labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col))
               .groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).cast("int").alias("label"))
@@ -142,16 +160,18 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     chosen = stored(part(1, fit_rows // 4).unionByName(part(0, fit_rows - fit_rows // 4))
                     .select("id", "label", (F.pmod("turn", F.lit(4)) == 0).alias("calibrate")), "toxicity-chosen")
     texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
-    sample = stored(texts.join(F.broadcast(chosen), "id").dropDuplicates(["id"])
+    sample = stored(texts.join(F.broadcast(chosen), "id").groupBy("id", "label", "calibrate").agg(F.min("text").alias("text"))
                     .select("text", "label", "calibrate"), "toxicity-sample")
 
     sizes = {r["label"]: r for r in present.groupBy("label").agg(
         F.count("*").alias("n"), F.max("copies").alias("copies")).collect()}
     totals = tuple(sizes[k]["n"] if k in sizes else 0 for k in (0, 1))
     apart = {r["label"]: r["count"] for r in chosen.where("calibrate").groupBy("label").count().collect()}
-    counted = texts.join(present.join(F.broadcast(chosen.where("calibrate")), "id", "left_anti"), "id")
+    counts = present.join(F.broadcast(chosen.where("calibrate").select("id")), "id", "left_anti").select("id", "label")
+    # The same plan at every size: labelled texts meet their labels by a shuffle of their own.
+    counted = _sieve(texts, counts, sum(totals)).join(counts.hint("shuffle_merge"), "id")
     if any(r["copies"] > 1 for r in sizes.values()):
-        counted = counted.dropDuplicates(["id"])
+        counted = counted.groupBy("id", "label").agg(F.min("text").alias("text"))
     lexicon = _learn_lexicon(counted, *(totals[k] - apart.get(k, 0) for k in (0, 1)))
 
     @F.pandas_udf("array<double>")
