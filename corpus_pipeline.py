@@ -6,8 +6,7 @@ the pieces of packed sequences. ``run`` writes each stage's documents to the sha
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weir import tune, work_folder
@@ -37,25 +36,9 @@ def interleave(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.in_mixed_order(mixing.mix(docs))
 
 
-def row_place(docs: DataFrame) -> Column:
-    """Where a row stands: the task that wrote its file, its file among the task's, its row in the file.
-
-    A reader takes files in an order of its own, so their names decide; rows that are not from files go as they come.
-    """
-    name = F.col("_metadata.file_name")
-    part, file = (F.regexp_extract(name, rule, 1).cast("long") for rule in (r"^part-(\d+)", r"-c(\d+)\."))
-    place = (F.shiftleft(F.coalesce(part, F.lit(0)), 43) + F.shiftleft(F.coalesce(file, F.lit(0)), 33)
-             + F.col("_metadata.row_index"))
-    try:
-        docs.select(place)
-    except AnalysisException:
-        return F.monotonically_increasing_id()
-    return place
-
-
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' pieces and the sequences they are packed into, in the order of the documents' rows."""
-    return packing.pack(docs, tokenizer_path(), place=row_place(docs))
+    return packing.pack(mixing.row_place(docs, "place"), tokenizer_path(), place=F.col("place"))
 
 
 STAGES = [("toxicity", drop_toxic), ("near-duplicates", drop_near_copies), ("pii", redact_personal),
