@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weir.llm import dart_minhash, mixing, packing, suffixes, topk, toxicity
+from weir.llm import common, dart_minhash, mixing, packing, suffixes, topk, toxicity
 
 
 def words(n, seed, size=300):
@@ -127,7 +127,7 @@ def test_the_text_a_repeated_id_is_learned_by_is_fixed(spark):
 def test_the_sieve_keeps_every_id_and_few_others(spark):
     texts = spark.range(20000).withColumn("text", F.lit("t"))
     ids = spark.range(0, 20000, 10)
-    kept = toxicity._sieve(texts, ids, 2000).select("id")
+    kept = common.sieve(texts, ids, "id").select("id")
     assert ids.join(kept, "id", "left_anti").count() == 0 and kept.count() < 0.3 * 20000
 
 

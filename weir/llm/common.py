@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weir.session import work_folder
 
 ROWS_PER_TASK = 1_000_000
+SIEVE_WORDS = 1 << 20  # of 63 bits each that a sieve has at most, 16 MB
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
@@ -38,3 +39,18 @@ def running_offsets(counts: DataFrame, group: str, bucket: str, amount: str, nam
 def small_table(spark: SparkSession, rows: list, schema: str) -> DataFrame:
     """A driver-made table of proven small size."""
     return spark.createDataFrame(rows, schema)
+
+
+def sieve(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be in ``wanted``; about one in nine others passes, more once the sieve is at its bound.
+
+    Bits of hashed keys, eight for a wanted one, go to every task, so a join that follows does not shuffle the other rows.
+    """
+    count = wanted.count()
+    words = max(1, min(SIEVE_WORDS, 8 * count // 63 + 1))
+    place = F.pmod(F.xxhash64(key), F.lit(words * 63))
+    word, bit = F.floor(place / 63).cast("long"), (place % 63).cast("int")
+    bits = stored(wanted.select(word.alias("__word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+                  .groupBy("__word").agg(F.bit_or("bit").alias("__bits")), "sieve")
+    some = rows.withColumns({"__word": word, "__bit": bit}).join(F.broadcast(bits), "__word")
+    return some.where(F.getbit("__bits", F.col("__bit")) == 1).drop("__word", "__bit", "__bits")

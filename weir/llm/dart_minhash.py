@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_of
+from .common import sieve, stored, text_of
 from .components import components
 from .hashing import Prefixes, mix
 
@@ -147,7 +147,7 @@ def _sketcher(words: int, weighted: bool, coordinates: int, rows: int):
                 w = count.astype(float) if weighted else np.ones(len(x))
                 found.append(bands(signature(x, w, coordinates), rows) if len(x) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(found, pa.list_(pa.int64()))],
-                                             ["id", "node", "bands"])
+                                             ["doc", "node", "bands"])
 
     return sketch
 
@@ -244,7 +244,7 @@ def _in_blocks(state: DataFrame, sets: DataFrame, least: float, weighted: bool)
                       (F.col("own") <= F.col("other")).alias("left"), (F.col("own") >= F.col("other")).alias("right")))
     columns = ["id", "x", "w"] if weighted else ["id", "x"]
     return stored(placed.join(sets.select(*columns), "id").groupBy("bucket", "i", "j")
-                  .applyInArrow(_block_links(least, weighted), "a binary, b binary").distinct(), "dart-block-links")
+                  .applyInArrow(_block_links(least, weighted), "a long, b long").distinct(), "dart-block-links")
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: float = LEAST,
@@ -262,41 +262,47 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     leader has met are compared in blocks of bounded size, which return only links that connect classes. So no link
     that connects texts of one bucket is lost, and no bucket is expanded into its pairs.
     """
-    spark = docs.sparkSession
-    text = text_of(text_col)
-    plain = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), text.alias("text"), normal(text).alias("normal"))
-    same = F.when(F.col("normal") == "", F.concat(F.lit(" "), F.col("text"))).otherwise(F.col("normal"))
-    # A node of the graph is a text, by 128 bits of hash.
-    halves = [F.lpad(F.hex(F.xxhash64(same, *seed)), 16, "0") for seed in ((), (F.lit(1),))]
-    sized = plain.select("id", "normal", F.octet_length("normal").alias("size"), F.unhex(F.concat(*halves)).alias("node"))
-    kind = sized.schema["id"].dataType.simpleString()
-    sketches = stored(sized.mapInArrow(_sketcher(words, weighted, coordinates, rows),
-                                       f"id {kind}, node binary, bands array<long>"), "dart-sketches")
-    copies = stored(sketches.groupBy("node").agg(F.min("id").alias("holder"), F.first("bands").alias("bands"))
-                    .withColumnRenamed("node", "id"), "dart-copies")
+    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), text_of(text_col).alias("text"))
+    kind = base.schema["doc"].dataType.simpleString()
+
+    def normalised(rows: DataFrame) -> DataFrame:
+        """``doc, normal, size, node``: texts that count as equal have one node, 128 bits of hash."""
+        plain = rows.select("doc", "text", normal(F.col("text")).alias("normal"))
+        same = F.when(F.col("normal") == "", F.concat(F.lit(" "), F.col("text"))).otherwise(F.col("normal"))
+        halves = [F.lpad(F.hex(F.xxhash64(same, *seed)), 16, "0") for seed in ((), (F.lit(1),))]
+        return plain.select("doc", "normal", F.octet_length("normal").alias("size"), F.unhex(F.concat(*halves)).alias("node"))
+
+    sketches = stored(normalised(base).mapInArrow(_sketcher(words, weighted, coordinates, rows),
+                                                  f"doc {kind}, node binary, bands array<long>"), "dart-sketches")
+    # From here on a text goes by a number.
+    copies = stored(sketches.groupBy("node").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"))
+                    .withColumn("id", F.monotonically_increasing_id()), "dart-copies")
     entries = copies.select("id", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(entries.join(crowded, "bucket").select("bucket", "id", "n"), "dart-buckets")
     met = stored(shared.groupBy("id").agg(F.sum("n").alias("met")), "dart-met")
     members = stored(shared.join(met, "id").select("bucket", "id", "met"), "dart-members")
 
-    holders = met.select("id").join(copies, "id").select(F.col("id").alias("node"), F.col("holder").alias("id"))
-    texts = sized.join(holders, ["id", "node"], "left_semi").select(F.col("node").alias("id"), "normal", "size")
-    sets = stored(texts.mapInArrow(_lister(words), "id binary, x binary, w binary").dropDuplicates(["id"]), "dart-sets")
+    holders = stored(met.select("id").join(copies, "id").select("id", "node", "doc"), "dart-holders")
+    texts = (normalised(sieve(base, holders, "doc")).join(holders.hint("merge"), ["doc", "node"])
+             .select("id", "normal", "size"))
+    sets = stored(texts.mapInArrow(_lister(words), "id long, x binary, w binary").dropDuplicates(["id"]), "dart-sets")
     first = sets.select(F.col("id").alias("a"), "x", "w")
     second = sets.select(F.col("id").alias("b"), F.col("x").alias("y"), F.col("w").alias("v"))
 
     def alike(pairs: DataFrame) -> DataFrame:
         """The pairs ``a, b`` at or above the threshold, verified on their whole sets."""
         whole = pairs.join(first, "a").join(second, "b")
-        return (whole.mapInArrow(_verifier(least, weighted), "a binary, b binary, alike boolean")
+        return (whole.mapInArrow(_verifier(least, weighted), "a long, b long, alike boolean")
                 .where("alike").select("a", "b"))
 
     # Texts of one id are linked through the first of them.
-    held = sketches.select("id", "node").groupBy("id").agg(F.min("node").alias("a"), F.max("node").alias("last"))
-    own_links = (sketches.select("id", "node").join(held.where("a <> last"), "id").where("node <> a")
-                 .select("a", F.col("node").alias("b")).distinct())
+    several = (sketches.groupBy("doc").agg(F.min(F.xxhash64("node")).alias("low"), F.max(F.xxhash64("node")).alias("high"))
+               .where("low <> high").select("doc"))
+    own = stored(sketches.select("doc", "node").join(several, "doc").distinct()
+                 .join(copies.select("node", "id"), "node").select("doc", "id"), "dart-own")
+    own_links = (own.join(own.groupBy("doc").agg(F.min("id").alias("a")), "doc").where("a <> id")
+                 .select("a", F.col("id").alias("b")))
     links, tested, state = None, None, members.withColumn("root", F.col("id")).withColumn("tried", F.lit(False))
     for leaders in LEADERS:
         turn = F.pmod(F.xxhash64("id"), F.lit(leaders)).cast("int")
@@ -323,11 +329,11 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         state = stored(state.join(open_, "bucket", "left_semi"), "dart-state")
     links = links.unionByName(_in_blocks(state.where("not tried"), sets, least, weighted))
 
-    roots = components(links.unionByName(own_links)).withColumnRenamed("id", "node")
-    labelled = stored(sketches.select("id", "node").join(roots, "node", "left")
-                      .select("id", F.coalesce("root", "node").alias("root")).distinct(), "dart-classes")
-    classes = labelled.groupBy("root").agg(F.min("id").alias("class_id"), F.count("*").alias("class_size"))
-    return labelled.join(classes, "root").select(F.col("id").alias(id_col), "class_id", "class_size")
+    roots = components(links.unionByName(own_links))
+    nodes = copies.join(roots, "id", "left").select("node", F.coalesce("root", "id").alias("root"))
+    labelled = stored(sketches.select("doc", "node").join(nodes, "node").select("doc", "root").distinct(), "dart-classes")
+    classes = labelled.groupBy("root").agg(F.min("doc").alias("class_id"), F.count("*").alias("class_size"))
+    return labelled.join(classes, "root").select(F.col("doc").alias(id_col), "class_id", "class_size")
 
 
 def keep_first(docs: DataFrame, classes: DataFrame, *, id_col: str = "doc_id") -> DataFrame:

@@ -18,12 +18,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import boosting
-from .common import stored, text_of
+from .common import sieve, stored, text_of
 
 FIT_ROWS = 8000  # at most so many labelled rows are fitted on, a quarter of them with label 1 where there are as many
 LEAST_ODDS, LEAST_G2 = 8.0, 20.0
 LEXICON_TERMS = 20_000  # of each kind that a model holds at most, those that mark label 1 most surely
-SIEVE_WORDS = 1 << 20  # of 63 bits each that the sieve of labelled ids has at most, 16 MB
 NEAR = 5  # words
 TOKENS_KEPT = 300_000  # of a worker's memory of tokens; it starts anew beyond, with the same results
 SECOND_PERSON = frozenset(
@@ -128,20 +127,6 @@ def _learn_lexicon(sample: DataFrame, n_zero: int, n_one: int) -> Lexicon:
                                .limit(LEXICON_TERMS).collect()) for kind in (0, 1)))
 
 
-def _sieve(texts: DataFrame, ids: DataFrame, count: int) -> DataFrame:
-    """The rows of ``texts`` whose id may be in ``ids``; about one in nine others passes, more once the sieve is at its bound.
-
-    Bits of hashed ids, eight for an id, go to every task, so the texts of other rows are not shuffled.
-    """
-    words = max(1, min(SIEVE_WORDS, 8 * count // 63 + 1))
-    place = F.pmod(F.xxhash64("id"), F.lit(words * 63))
-    word, bit = F.floor(place / 63).cast("long"), (place % 63).cast("int")
-    bits = stored(ids.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
-                  .groupBy("word").agg(F.bit_or("bit").alias("bits")), "toxicity-sieve")
-    some = texts.withColumns({"word": word, "bit": bit}).join(F.broadcast(bits), "word")
-    return some.where(F.getbit("bits", F.col("bit")) == 1).drop("word", "bit", "bits")
-
-
 def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", fit_rows: int = FIT_ROWS) -> ToxicityModel:
     """A model from the labelled rows that are not held out.
@@ -169,7 +154,7 @@ def learn(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
     apart = {r["label"]: r["count"] for r in chosen.where("calibrate").groupBy("label").count().collect()}
     counts = present.join(F.broadcast(chosen.where("calibrate").select("id")), "id", "left_anti").select("id", "label")
     # The same plan at every size: labelled texts meet their labels by a shuffle of their own.
-    counted = _sieve(texts, counts, sum(totals)).join(counts.hint("shuffle_merge"), "id")
+    counted = sieve(texts, counts, "id").join(counts.hint("shuffle_merge"), "id")
     if any(r["copies"] > 1 for r in sizes.values()):
         counted = counted.groupBy("id", "label").agg(F.min("text").alias("text"))
     lexicon = _learn_lexicon(counted, *(totals[k] - apart.get(k, 0) for k in (0, 1)))
