@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import (
-    SEND_ALL, Rule, RuleSet, as_envelope, batch_by_size, batch_by_time, batch_key, commit_progress, deaggregate,
-    decode_snappy, drop_empty, emit_envelope, from_position, gt, invalid_records, read_progress, read_records,
-    register_source, route, run_router, source, tail_positions, work_folder,
+    SEND_ALL, OnceSink, Rule, RuleSet, append_records, as_envelope, batch_by_size, batch_by_time, batch_key, commit_progress, deaggregate,
+    decode_snappy, drop_empty, emit_envelope, from_position, gt, invalid_records, read_once, read_progress,
+    read_records, register_source, route, run_router, shard_stream, source, tail_positions, work_folder, write_once,
 )
 from weir.operators import metrics, progress
 from weir.sources.envelope import AGGREGATED_MAGIC, DIGEST_BYTES
@@ -317,3 +317,87 @@ WHERE event_type IN ({kinds}) GROUP BY ALL""")
 
 _metric("metric_gauge", metrics.gauges, "'error', 'signup', 'purchase'", "arg_max(k, ts)")
 _metric("metric_counter", metrics.counters, "'click', 'view'", "sum(k)")
+
+
+SHARD_ROWS = "shard_id string, sequence_number string, partition_key string, data binary"
+
+
+def _shard_log(spark, d):
+    """The events as a shard log, appended in two parts: before and after the middle of the data."""
+    env, folder = envelopes(spark, d), work_folder(spark, "shards")
+    early = F.col("arrival_ts") < F.lit(MIDDLE).cast("timestamp")
+    for part in (early, ~early):
+        append_records(env.where(part), f"{folder}/log", segment_records=max(1, env.count() // 60))
+    return folder
+
+
+def _read_on(stream, folder, upto):
+    """Run a stream into a sink that takes each micro-batch once, until it has made ``upto`` of them or all there are."""
+    spark = stream.sparkSession
+    spark.dataSource.register(OnceSink)
+    query = (stream.writeStream.format("weir_once").option("path", f"{folder}/out")
+             .option("checkpointLocation", f"{folder}/progress").trigger(processingTime="0 seconds").start())
+    try:
+        if upto is None:
+            query.processAllAvailable()
+        while upto is not None and query.isActive and (query.lastProgress or {"batchId": -1})["batchId"] + 1 < upto:
+            query.awaitTermination(0.05)
+        if query.exception() is not None:
+            raise query.exception()
+    finally:
+        query.stop()
+
+
+@query("stream_source", f"WITH {ENV} SELECT shard_id, sequence_number, partition_key, payload FROM env")
+def _(spark, d):
+    # Some ten micro-batches, stopped in the middle and started again from the checkpoint.
+    folder = _shard_log(spark, d)
+    rows = envelopes(spark, d).count()
+    for upto in (4, None):
+        stream = shard_stream(spark, f"{folder}/log", records=max(1, rows // 10), progress=f"{folder}/source")
+        _read_on(stream.drop("arrival_ts"), folder, upto)
+    out = read_once(spark, f"{folder}/out", SHARD_ROWS)
+    return out.select("shard_id", "sequence_number", "partition_key", F.decode("data", "UTF-8").alias("payload"))
+
+
+def _stream_from(name, start, compare):
+    @query(name, f"""
+WITH {ENV}, {_POSITIONS}
+SELECT shard_id, sequence_number FROM env LEFT JOIN positions p USING (shard_id)
+WHERE p.event_id IS NULL OR env.event_id {compare} p.event_id""")
+    def _(spark, d):
+        # One row per shard: what a progress table holds.
+        positions = {r["shard_id"]: r["sequence_number"] for r in _positions(envelopes(spark, d)).collect()}
+        folder = _shard_log(spark, d)
+        stream = shard_stream(spark, f"{folder}/log", start=start, positions=positions)
+        _read_on(stream.select("shard_id", "sequence_number"), folder, None)
+        return read_once(spark, f"{folder}/out", "shard_id string, sequence_number string")
+
+
+_stream_from("stream_source_at", "AT", ">=")
+_stream_from("stream_source_after", "AFTER", ">")
+
+
+@query("stream_source_latest", f"""
+WITH {ENV} SELECT shard_id, sequence_number FROM env WHERE arrival_ts >= TIMESTAMP '{MIDDLE}'""")
+def _(spark, d):
+    # The query starts when the first half is there, and sees what is appended from then on.
+    env, folder = envelopes(spark, d), work_folder(spark, "shards")
+    early = F.col("arrival_ts") < F.lit(MIDDLE).cast("timestamp")
+    append_records(env.where(early), f"{folder}/log")
+    stream = shard_stream(spark, f"{folder}/log", start="LATEST").select("shard_id", "sequence_number")
+    _read_on(stream, folder, None)
+    append_records(env.where(~early), f"{folder}/log")
+    _read_on(stream, folder, None)
+    return read_once(spark, f"{folder}/out", "shard_id string, sequence_number string")
+
+
+@query("emit_once", "SELECT user_id % 3 AS batch, count(*) AS records, sum(strlen(props))::BIGINT AS bytes FROM events GROUP BY 1")
+def _(spark, d):
+    # Every micro-batch comes twice, as after a failure, and counts once.
+    rows = events(spark, d).select(F.pmod("user_id", F.lit(3)).alias("batch"), F.col("props").alias("outbound"))
+    folder = work_folder(spark, "once")
+    for k in (0, 0, 1, 2, 1, 2):
+        write_once(rows.where(F.col("batch") == k), folder, k)
+    out = read_once(spark, folder, "batch long, outbound string")
+    return out.groupBy("batch").agg(F.count("*").alias("records"), F.sum(F.octet_length("outbound")).alias("bytes"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from weir import (
-    Rule, RuleSet, cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove, eq, key_hash,
-    register_sink, route, run_router, seen_add, seen_clear, seen_count, seen_lookup, seen_remove, stream_cache, stream_unique, unique_filter,
+    KeyStore, Rule, RuleSet, cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove, eq, key_hash,
+    register_sink, route, run_router, seen_add, seen_clear, seen_count, seen_lookup, seen_remove,
+    StreamCache, stream_unique, unique_filter,
     unique_flag, work_folder,
 )
-from weir.streaming.state import ROCKSDB
 
 from .base import REC, event_stream, events, query, records, table
 
@@ -255,27 +256,58 @@ def _(spark, d):
     return cache_clear(_cached_big(spark, d))
 
 
-def _drained(spark, stream, name):
-    out = work_folder(spark, name)
-    (stream.writeStream.format("parquet").option("checkpointLocation", f"{out}/progress")
-     .trigger(availableNow=True).start(f"{out}/rows").awaitTermination())
-    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+def _in_ten_turns(spark, rows, turn, name):
+    """A stream that gives the rows with ``turn`` 0 first, then those with 1, up to 9: ten micro-batches."""
+    folder = work_folder(spark, name)
+    for k in range(10):
+        rows.where(turn == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
+    return stream, folder
 
 
-@query("stream_unique", "SELECT DISTINCT user_id, event_type FROM events")
+@query("stream_unique", """
+SELECT event_id, user_id, event_type, CASE WHEN row_number() OVER (
+  PARTITION BY user_id, event_type ORDER BY event_id % 10, event_id) = 1 THEN 'true' ELSE 'false' END AS first_seen
+FROM events""")
 def _(spark, d):
-    own = spark.newSession()
-    stream = stream_unique(event_stream(own, d), ["user_id", "event_type"], "ts", "400 days")
-    return _drained(spark, stream.select("user_id", "event_type"), "unique")
+    # Most rows come after later ones of their key: in every micro-batch a tenth of all times.
+    rows = events(spark, d).select("event_id", "user_id", "event_type")
+    stream, folder = _in_ten_turns(spark, rows, F.pmod("event_id", F.lit(10)), "unique")
+    stream_unique(stream, ["user_id", "event_type"], ["event_id"], f"{folder}/progress", f"{folder}/out",
+                  remember=None).awaitTermination()
+    return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
 @query("stream_cache", """
-SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY event_id) AS cached FROM events""")
+SELECT event_id, user_id, lag(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS cached FROM events""")
+def _(spark, d):
+    # Ten micro-batches of three days; every seventh row comes in the one after its own.
+    rows = events(spark, d).select("event_id", "user_id", "value", "ts")
+    day = F.dayofmonth("ts") - 1
+    turn = F.least(F.floor(day / 3) + F.when(F.pmod("event_id", F.lit(7)) == 0, 1).otherwise(0), F.lit(9))
+    stream, folder = _in_ten_turns(spark, rows, turn, "cache")
+    cache = StreamCache("value", ["user_id"], ["event_id"], f"{folder}/progress", into="cached", ts="ts", delay="7 days")
+    cache.start(stream, f"{folder}/out").awaitTermination()
+    cache.flush(spark, rows.schema, f"{folder}/out")
+    return spark.read.parquet(f"{folder}/out").select("event_id", "user_id", "cached")
+
+
+@query("seen_store", """
+SELECT user_id, max(event_id) AS last FROM events WHERE event_id % 20 < 19 GROUP BY user_id
+HAVING user_id NOT IN (SELECT user_id FROM events WHERE event_id % 20 = 18 AND event_type = 'error')""")
 def _(spark, d):
-    # The state store is chosen per session, so this one does not touch the caller's.
-    own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    own.conf.set("spark.sql.session.timeZone", "UTC")
-    rows = event_stream(own, d).select("event_id", "user_id", "value")
-    stream = stream_cache(rows, "value", ["user_id"], "event_id", into="cached")
-    return _drained(spark, stream.select("event_id", "user_id", "cached"), "cache")
+    # Eighteen micro-batches put each user's last event, one more removes users; then the store is read.
+    rows = table(spark, d, "events").select("event_id", "user_id", "event_type")
+    folder = work_folder(spark, "store")
+    keys, values = [rows.schema["user_id"]], [T.StructField("last", T.LongType())]
+    for k in range(20):
+        store = KeyStore(spark, folder, keys, values, k)
+        part = rows.where(F.pmod("event_id", F.lit(20)) == k)
+        if k < 19:
+            new = part.groupBy("user_id").agg(F.max("event_id").cast("long").alias("last"))
+            old = store.lookup(new.select("user_id")).select("user_id", F.col("last").alias("before"))
+            store.put(new.join(old, "user_id", "left").select("user_id", F.greatest("last", "before").alias("last")))
+        else:
+            store.remove(rows.where("event_id % 20 = 18 AND event_type = 'error'").select("user_id").distinct())
+        store.save()
+    return KeyStore(spark, folder, keys, values, 20).rows()

@@ -1,13 +1,13 @@
 import datetime as dt
 import json
+import random
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from weir import Rule, RuleSet, eq, register_sink, route, run_router, stream_cache, stream_unique
+from weir import Rule, RuleSet, StreamCache, eq, register_sink, route, run_router, stream_cache, stream_unique, unique_flag
 from weir.operators import metrics, progress
-from weir.streaming.state import ROCKSDB
 
 SCHEMA = "i long, u string, ts timestamp, record string"
 
@@ -22,12 +22,6 @@ def stream(spark, folder):
     return spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-def drain(frame, folder):
-    (frame.writeStream.format("parquet").option("checkpointLocation", f"{folder}/progress")
-     .trigger(availableNow=True).start(f"{folder}/rows").awaitTermination())
-    return frame.sparkSession.read.parquet(f"{folder}/rows")
-
-
 def test_failure_repeats_the_micro_batch_and_loses_nothing(spark, tmp_path):
     folder, where = str(tmp_path / "in"), str(tmp_path / "progress")
     got, state = {}, {"fail": True}
@@ -141,22 +135,90 @@ def test_seen_keys_are_forgotten_as_told(spark, tmp_path):
     assert sorted(got) == [(0, '{"o":0}'), (0, '{"o":1}'), (3, '{"o":0}'), (3, '{"o":1}')]
 
 
-def test_unique_across_micro_batches(spark, tmp_path):
-    folder = str(tmp_path / "in")
-    for part in (range(0, 4), range(2, 8), range(0, 9)):
+def test_unique_flags_every_row_across_micro_batches(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rng = random.Random(1)
+    rows = [(n, rng.choice(["hot"] * 3 + ["a", "b", None, f"k{n % 40}"]), dt.datetime(2024, 1, 1), "{}") for n in range(400)]
+    rows += [(None, "only", None, "x"), (None, "only", None, "x"), (7, "tie", None, "x"), (7, "tie", None, "x")]
+    rng.shuffle(rows)  # most rows come after later ones of their key
+    turn = {}
+    for k in range(10):
+        part = rows[k::10]
+        turn.update({r: min(k, turn.get(r, k)) for r in part})
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    stream_unique(stream(spark, folder), ["u"], ["i"], f"{tmp_path}/p", out, remember=None).awaitTermination()
+    got = spark.read.parquet(out)
+    assert got.select("batch").distinct().count() == 10
+    # The same as the operator for tables, the number of the micro-batch first in the order.
+    want = unique_flag(got.drop("first_seen"), ["u"], ["batch", "i"])
+    assert sorted(map(str, want.select(*got.columns).collect())) == sorted(map(str, got.collect()))
+    assert got.count() == len(rows) and got.where("first_seen = 'true'").count() == len({r[1] for r in rows})
+
+
+def test_unique_forgets_as_told_and_repeats_a_failed_micro_batch(spark, tmp_path):
+    folder, got, state = str(tmp_path / "in"), {}, {"fail": True}
+
+    def sink(rows, batch):
+        if state["fail"] and batch == 2:
+            raise OSError("down")
+        got[batch] = sorted((r.i, r.first_seen) for r in rows.collect())
+
+    for part in ([0], [3], [6], [9]):
         add(spark, folder, part)
-    out = drain(stream_unique(stream(spark, folder), ["u"], "ts", "1 day"), str(tmp_path / "out"))
-    assert sorted(r.u for r in out.collect()) == ["a", "b", "c"]
+    start = lambda: stream_unique(stream(spark, folder), ["u"], ["i"], f"{tmp_path}/p", sink, remember=2)
+    with pytest.raises(StreamingQueryException):
+        start().awaitTermination()
+    state["fail"] = False
+    start().awaitTermination()
+    assert got == {0: [(0, "true")], 1: [(3, "false")], 2: [(6, "false")], 3: [(9, "true")]}
 
 
-def test_cache_across_micro_batches(spark, tmp_path):
-    own = spark.newSession()
-    own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    folder = str(tmp_path / "in")
+def test_cache_in_the_order_of_micro_batches(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
     for part in (range(0, 7), range(7, 8), range(8, 20)):
-        add(own, folder, part)
-    out = drain(stream_cache(stream(own, folder), "i", ["u"], "i", into="before"), str(tmp_path / "out"))
-    assert {r.i: r.before for r in out.collect()} == {n: n - 3 if n > 2 else None for n in range(20)}
+        add(spark, folder, reversed(part))
+    stream_cache(stream(spark, folder), "i", ["u"], ["i"], f"{tmp_path}/p", out, into="before").awaitTermination()
+    assert {r.i: r.before for r in spark.read.parquet(out).collect()} == {n: n - 3 if n > 2 else None for n in range(20)}
+
+
+@pytest.mark.parametrize("scope", [["u"], []])
+def test_cache_in_the_order_of_events(spark, tmp_path, scope):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    own = spark.newSession()
+    own.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    rng = random.Random(2)
+    begin = dt.datetime(2024, 1, 1)
+    # One scope has most rows; null is a scope and a value; times tie; every row is up to 30 minutes late.
+    rows = [(n, "hot" if n % 3 else rng.choice(["a", None, "b"]), begin + dt.timedelta(minutes=n // 2), str(n) if n % 5 else None)
+            for n in range(600)]
+    arrival = sorted(rows, key=lambda r: (r[2] + dt.timedelta(minutes=rng.randint(0, 30)), rng.random()))
+    for k in range(10):
+        spark.createDataFrame(arrival[60 * k : 60 * k + 60], SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    cache = StreamCache("record", scope, ["i"], f"{tmp_path}/p", into="before", ts="ts", delay="31 minutes")
+    cache.start(stream(own, folder), out).awaitTermination()
+    cache.flush(spark, spark.read.parquet(folder).schema, out)
+    last, want = {}, {}
+    for n, u, _, record in rows:
+        key = u if scope else 0
+        want[n] = last.get(key)
+        last[key] = record
+    got = spark.read.parquet(out)
+    assert {r.i: r.before for r in got.collect()} == want and got.count() == len(rows)
+    assert got.select("batch").distinct().count() == 11
+
+
+def test_rows_that_come_too_late_read_the_cache_and_leave_it(spark, tmp_path):
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    at = lambda m: dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)
+    for part in ([(1, "a", at(0), "x"), (2, "a", at(10), "y")], [(3, "a", at(30), "z")], [(4, "a", at(5), "late"), (5, "a", None, "w")],
+                 [(6, "a", at(40), "v"), (7, "b", at(6), "late")]):
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+    cache = StreamCache("record", ["u"], ["i"], f"{tmp_path}/p", into="before", ts="ts", delay="5 minutes")
+    cache.start(stream(spark, folder), out).awaitTermination()
+    cache.flush(spark, spark.read.parquet(folder).schema, out)
+    got = {r.i: (r.before, r.batch) for r in spark.read.parquet(out).collect()}
+    assert got[1] == (None, 0) and got[2] == ("x", 1) and got[4] == ("y", 2) and got[5] == ("y", 2) and got[7] == (None, 3)
+    assert got[3] == ("w", 3) and got[6] == ("z", 4)
 
 
 def test_listener_counts(spark, tmp_path):

@@ -17,25 +17,30 @@ from .plans.rules import Rule, RuleSet, load_ruleset, read_rulesets, ruleset_tab
 from .session import local_session, tune, work_folder
 from .sinks.batch_files import read_batches, write_batches
 from .sinks.emit import emit_envelope
+from .sinks.once import OnceSink, read_once, write_once
 from .sinks.registry import call, publish, register_function, register_sink, register_source, source
 from .sources.envelope import (
     ENVELOPE, as_envelope, deaggregate, decode_snappy, drop_empty, from_position, invalid_records, sequence_key,
     tail_positions,
 )
 from .sources.scan import read_records
+from .sources.shards import append_records, read_shards, shard_stream
 from .streaming.memory import commit_progress, read_progress
 from .streaming.runner import run_router
-from .streaming.state import stream_cache, stream_unique
+from .streaming.state import StreamCache, stream_cache, stream_unique
+from .streaming.store import KeyStore
 
 __all__ = [
-    *_functions, "ENVELOPE", "Record", "Rule", "RuleSet", "SEND_ALL", "apply_rule", "as_envelope", "batch_by_size",
+    *_functions, "ENVELOPE", "KeyStore", "OnceSink", "Record", "Rule", "RuleSet", "SEND_ALL", "StreamCache",
+    "append_records", "apply_rule", "as_envelope", "batch_by_size",
     "batch_by_time", "batch_key", "cache_asof", "cache_check", "cache_clear", "cache_fetch", "cache_put",
     "cache_remove", "call", "commit_progress", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
     "from_position", "invalid_records", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",
-    "read_batches", "read_progress", "read_records", "read_rulesets", "register_function", "register_sink", "register_source", "route",
+    "read_batches", "read_once", "read_progress", "read_records", "read_shards", "read_rulesets", "register_function", "register_sink", "register_source", "route",
     "ruleset_table", "run_router", "seen_add", "seen_clear", "seen_count", "seen_lookup", "seen_remove",
-    "sequence_key", "source", "split_by_destination", "stream_cache", "stream_unique", "tail_positions",
+    "sequence_key", "shard_stream", "source", "split_by_destination", "stream_cache", "stream_unique", "tail_positions",
     "tune", "unique_filter", "unique_flag", "work_folder", "write_batches",
+    "write_once",
 ]
 
 # Functions run inside tasks travel with them, so executors need no copy of this package.

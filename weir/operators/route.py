@@ -13,7 +13,7 @@ from ..functions.values import Json, Views, as_text, as_variant, parse
 from ..plans.carry import carry_last, last_written
 from ..plans.rules import Rule, RuleSet
 from .project import outbound
-from .unique import copy_number, first_rows, same_key, with_row_key
+from .unique import copy_number, first_rows, with_row_key
 
 
 class _State:
@@ -164,9 +164,7 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
     for name, keys, given in state.uniques:
         firsts, key_names = first_rows(parsed(df), keys, given)
         if memory is not None:
-            seen = memory.seen(name, len(keys))
-            firsts = firsts.join(seen, same_key(firsts, seen, key_names), "left_anti")
-            memory.add_seen(name, firsts.select(*key_names))
+            firsts = memory.first_seen(name, firsts, key_names)
         firsts_of.append(firsts.select("__at", F.lit(True).alias(name)))
 
     if state.prior:
@@ -176,9 +174,9 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
             F.lit(True).alias("__record"))
         if memory is not None:
             narrow = df.select("__at", *scopes, *written)
-            # What was cached before this micro-batch enters as rows without an order.
-            cached = memory.cached(narrow.drop("__at"))
-            memory.put_cached(narrow.unionByName(cached, allowMissingColumns=True).groupBy(*scopes).agg(
+            # What was cached before this micro-batch enters as rows without an order. Only its scopes are read and rewritten.
+            cached, store = memory.cached(narrow, scopes, list(written))
+            store.put(narrow.unionByName(cached, allowMissingColumns=True).groupBy(*scopes).agg(
                 *[last_written(n, ["__at"]).alias(n) for n in written]))
             df = df.unionByName(cached, allowMissingColumns=True)
         df = df.withColumn(record, F.when(F.col("__wanted"), F.col(record)))

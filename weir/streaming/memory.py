@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.progress import PROGRESS_SCHEMA, commit, last_sequences
+from .store import KeyStore
 
 
 def _versions(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame:
@@ -57,30 +58,26 @@ class Memory:
         self._folder = folder
         self._batch = batch_id
         self._remember = remember
-        self._writes: list[tuple[str, DataFrame]] = []
+        self._stores: list[KeyStore] = []
 
-    def _table(self, name: str, schema: T.StructType) -> DataFrame:
-        return _versions(self._spark, f"{self._folder}/{name}", schema, self._batch)
+    def _store(self, name: str, keys: list[T.StructField], values: list[T.StructField], remember: int | None) -> KeyStore:
+        store = KeyStore(self._spark, f"{self._folder}/{name}", keys, values, self._batch, remember=remember)
+        self._stores.append(store)
+        return store
 
-    def seen(self, name: str, keys: int) -> DataFrame:
-        """The keys earlier micro-batches have seen."""
-        schema = T.StructType([T.StructField(f"__key{i}", T.StringType()) for i in range(keys)])
-        past = F.col("batch") < self._batch
-        if self._remember is not None:
-            past = past & (F.col("batch") >= self._batch - self._remember)
-        return self._table(name, schema).where(past).drop("batch").distinct()
+    def first_seen(self, name: str, firsts: DataFrame, keys: list[str]) -> DataFrame:
+        """Those rows of ``firsts``, one per key, whose key no earlier micro-batch has seen; their keys are remembered."""
+        store = self._store(name, [T.StructField(k, T.StringType()) for k in keys], [], self._remember)
+        new = store.unknown(firsts, keys)
+        store.put(new)
+        return new
 
-    def add_seen(self, name: str, keys: DataFrame) -> None:
-        self._writes.append((name, keys))
-
-    def cached(self, like: DataFrame) -> DataFrame:
-        """The last cached values, one row per scope."""
-        return self._table("cache", like.schema).where(F.col("batch") == self._batch - 1).drop("batch")
-
-    def put_cached(self, snapshot: DataFrame) -> None:
-        self._writes.append(("cache", snapshot))
+    def cached(self, rows: DataFrame, scopes: list[str], written: list[str]) -> tuple[DataFrame, KeyStore]:
+        """The last cached values of the scopes in ``rows``, and the store to put new ones into."""
+        store = self._store("cache", [rows.schema[s] for s in scopes], [rows.schema[w] for w in written], None)
+        return store.lookup(rows.select(*scopes).distinct()) if scopes else store.rows(), store
 
     def save(self) -> None:
         """Write this micro-batch's part."""
-        for name, df in self._writes:
-            df.write.mode("overwrite").parquet(f"{self._folder}/{name}/batch={self._batch}")
+        for store in self._stores:
+            store.save()
