@@ -146,8 +146,8 @@ def _sketcher(words: int, weighted: bool, coordinates: int, rows: int):
             for x, count in shingler.sets(part.column(1).to_pylist()):
                 w = count.astype(float) if weighted else np.ones(len(x))
                 found.append(bands(signature(x, w, coordinates), rows) if len(x) else np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), pa.array(found, pa.list_(pa.int64()))],
-                                             ["doc", "node", "bands"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(3), part.column(4),
+                                              pa.array(found, pa.list_(pa.int64()))], ["doc", "node", "raw", "bands"])
 
     return sketch
 
@@ -262,30 +262,32 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     leader has met are compared in blocks of bounded size, which return only links that connect classes. So no link
     that connects texts of one bucket is lost, and no bucket is expanded into its pairs.
     """
-    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), text_of(text_col).alias("text"))
+    text = text_of(text_col)
+    base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), text.alias("text"), F.xxhash64(text).alias("raw"))
     kind = base.schema["doc"].dataType.simpleString()
 
     def normalised(rows: DataFrame) -> DataFrame:
-        """``doc, normal, size, node``: texts that count as equal have one node, 128 bits of hash."""
-        plain = rows.select("doc", "text", normal(F.col("text")).alias("normal"))
+        """``doc, normal, size, node, raw``: texts that count as equal have one node, 128 bits of hash."""
+        plain = rows.select("doc", "text", normal(F.col("text")).alias("normal"), "raw")
         same = F.when(F.col("normal") == "", F.concat(F.lit(" "), F.col("text"))).otherwise(F.col("normal"))
         halves = [F.lpad(F.hex(F.xxhash64(same, *seed)), 16, "0") for seed in ((), (F.lit(1),))]
-        return plain.select("doc", "normal", F.octet_length("normal").alias("size"), F.unhex(F.concat(*halves)).alias("node"))
+        return plain.select("doc", "normal", F.octet_length("normal").alias("size"), F.unhex(F.concat(*halves)).alias("node"), "raw")
 
     sketches = stored(normalised(base).mapInArrow(_sketcher(words, weighted, coordinates, rows),
-                                                  f"doc {kind}, node binary, bands array<long>"), "dart-sketches")
+                                                  f"doc {kind}, node binary, raw long, bands array<long>"), "dart-sketches")
     # From here on a text goes by a number.
-    copies = stored(sketches.groupBy("node").agg(F.min("doc").alias("doc"), F.first("bands").alias("bands"))
-                    .withColumn("id", F.monotonically_increasing_id()), "dart-copies")
+    copies = stored(sketches.groupBy("node").agg(F.min(F.struct("doc", "raw")).alias("row"), F.first("bands").alias("bands"))
+                    .select("node", "row.*", "bands", F.monotonically_increasing_id().alias("id")), "dart-copies")
     entries = copies.select("id", F.explode("bands").alias("bucket"))
     crowded = entries.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared = stored(entries.join(crowded, "bucket").select("bucket", "id", "n"), "dart-buckets")
     met = stored(shared.groupBy("id").agg(F.sum("n").alias("met")), "dart-met")
     members = stored(shared.join(met, "id").select("bucket", "id", "met"), "dart-members")
 
-    holders = stored(met.select("id").join(copies, "id").select("id", "node", "doc"), "dart-holders")
-    texts = (normalised(sieve(base, holders, "doc")).join(holders.hint("merge"), ["doc", "node"])
-             .select("id", "normal", "size"))
+    # One row that holds each text; words are looked for only where it is found.
+    holders = stored(met.select("id").join(copies, "id").select("id", "doc", "raw"), "dart-holders")
+    texts = (sieve(base, holders, "doc").join(holders.hint("merge"), ["doc", "raw"])
+             .select("id", normal(F.col("text")).alias("normal")).select("id", "normal", F.octet_length("normal").alias("size")))
     sets = stored(texts.mapInArrow(_lister(words), "id long, x binary, w binary").dropDuplicates(["id"]), "dart-sets")
     first = sets.select(F.col("id").alias("a"), "x", "w")
     second = sets.select(F.col("id").alias("b"), F.col("x").alias("y"), F.col("w").alias("v"))
