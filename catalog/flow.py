@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import (
-    SEND_ALL, OnceSink, Rule, RuleSet, append_records, as_envelope, batch_by_size, batch_by_time, batch_key, commit_progress, deaggregate,
+    SEND_ALL, OnceSink, Rule, RuleSet, append_records, as_envelope, batch_by_size, batch_by_size_or_age, batch_by_time, batch_key, commit_progress, deaggregate,
     decode_snappy, drop_empty, emit_envelope, from_position, gt, invalid_records, read_once, read_progress,
     read_records, register_source, route, run_router, shard_stream, source, tail_positions, work_folder, write_once,
 )
@@ -401,3 +401,25 @@ def _(spark, d):
         write_once(rows.where(F.col("batch") == k), folder, k)
     out = read_once(spark, folder, "batch long, outbound string")
     return out.groupBy("batch").agg(F.count("*").alias("records"), F.sum(F.octet_length("outbound")).alias("bytes"))
+
+
+@query("batch_by_size_or_age", """
+WITH RECURSIVE placed AS (
+  SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 8 ELSE user_id % 8 END AS shard, ts,
+         row_number() OVER w AS place, sum(strlen(props) + 1) OVER w - strlen(props) - 1 AS before, max(ts) OVER w AS t
+  FROM events WINDOW w AS (PARTITION BY CASE WHEN user_id % 3 = 0 THEN 8 ELSE user_id % 8 END ORDER BY ts, event_id)),
+opens AS (
+  SELECT shard, place FROM placed WHERE place = 1
+  UNION ALL
+  SELECT n.shard, min(n.place) AS place
+  FROM opens o JOIN placed f ON f.shard = o.shard AND f.place = o.place
+  JOIN placed n ON n.shard = f.shard AND n.place > f.place
+    AND (n.before - f.before >= 800 OR n.t - f.t >= INTERVAL 12 HOURS)
+  GROUP BY n.shard)
+SELECT event_id, CAST(count(o.place) OVER (PARTITION BY p.shard ORDER BY p.place) - 1 AS BIGINT) AS batch
+FROM placed p LEFT JOIN opens o USING (shard, place)""")
+def _(spark, d):
+    # A third of the records are in one shard.
+    shard = F.when(F.col("user_id") % 3 == 0, 8).otherwise(F.col("user_id") % 8)
+    rows = events(spark, d).select("event_id", "ts", "props", shard.alias("shard_id"))
+    return batch_by_size_or_age(rows, 800, 12 * 3600, ["ts", "event_id"], ts="ts", record="props").select("event_id", "batch")

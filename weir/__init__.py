@@ -6,7 +6,7 @@ from pyspark import cloudpickle as _cloudpickle
 
 from .functions import *  # noqa: F401,F403
 from .functions import __all__ as _functions
-from .operators.batches import batch_by_size, batch_by_time, batch_key
+from .operators.batches import batch_by_size, batch_by_size_or_age, batch_by_time, batch_key
 from .operators.cache import cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove
 from .operators.project import SEND_ALL, outbound
 from .operators.route import Record, apply_rule, match_counts, route, split_by_destination
@@ -33,6 +33,7 @@ from .streaming.store import KeyStore
 __all__ = [
     *_functions, "ENVELOPE", "KeyStore", "OnceSink", "Record", "Rule", "RuleSet", "SEND_ALL", "StreamCache",
     "append_records", "apply_rule", "as_envelope", "batch_by_size",
+    "batch_by_size_or_age",
     "batch_by_time", "batch_key", "cache_asof", "cache_check", "cache_clear", "cache_fetch", "cache_put",
     "cache_remove", "call", "commit_progress", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
     "from_position", "invalid_records", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",

@@ -171,3 +171,14 @@ def carry_sum(df: DataFrame, values: Mapping[str, Column], order: Sequence[Colum
         lambda state: F.sum(state),
         lambda state, w: F.coalesce(F.sum(state).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
     )
+
+
+def carry_max(df: DataFrame, values: Mapping[str, Column], order: Sequence[Column | str], *,
+              scope: Sequence[Column | str] = (), buckets: int | None = None) -> DataFrame:
+    """Add, per name, the greatest value up to and with each row; NULL before the first."""
+    return _run(
+        df, values, order, scope, buckets,
+        lambda state, names: F.max(state),
+        lambda state: F.max(state),
+        lambda state, w: F.max(state).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    )
