@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weir import (
-    SEND_ALL, Rule, RuleSet, all_of, any_of, apply_rule, eq, ge, gt, lt, match_counts, ne, publish, read_records, route,
+    SEND_ALL, ListedRule, Rule, RuleSet, all_of, any_of, apply_rule, eq, fan_out, ge, gt, lt, match_counts, ne, publish, read_records, route,
     ruleset_table, split_by_destination, sprintf, work_folder, write_batches, read_batches, run_router,
 )
 
@@ -80,6 +80,29 @@ def _(spark, d):
     return match_counts(route(records(spark, d), RuleSet(over(c) for c in range(60)), keep=[]))
 
 
+def _listed(n):
+    """Rules of three kinds, ``n`` in all: one user's events, a kind of event above a value, values in a narrow band."""
+    kinds = ["click", "error", "purchase", "view", "signup"]
+    for i in range(n):
+        low = 100 + i * 0.1
+        yield ListedRule(f"listed-{i}", "debug", [
+            [[("user_id", "==", i)], [("value", ">=", i % 50)]],
+            [[("event_type", "==", kinds[i % 5]), ("props.k", "==", i % 100)], [("value", ">", low)]],
+            [[("value", ">=", low)], [("value", "<", low + 1)], [("maybe", "!=", None)]],
+        ][i % 3], {"id": "event_id", "k": "props.k"})
+
+
+@query("route_thousands", f"""
+WITH {REC}, listed AS (SELECT i, ['click', 'error', 'purchase', 'view', 'signup'][i % 5 + 1] AS kind, 100 + i * 0.1::DOUBLE AS low
+                       FROM (SELECT unnest(range(2000)) AS i))
+SELECT event_id, 'listed-' || i AS rule, '{{"id":' || event_id || ',"k":' || k || '}}' AS outbound
+FROM rec JOIN listed ON CASE i % 3 WHEN 0 THEN user_id = i AND value >= i % 50
+                                   WHEN 1 THEN (event_type = kind OR k = i % 100) AND value > low
+                                   ELSE value >= low AND value < low + 1 AND event_id % 5 <> 0 END""")
+def _(spark, d):
+    return fan_out(records(spark, d), _listed(2000), keep=["event_id"]).select("event_id", "rule", "outbound")
+
+
 @query("route_where", f"""
 WITH {ROUTED} SELECT event_id, rule, outbound FROM routed WHERE rule = 'purchases'
 UNION ALL SELECT event_id, 'late', '{{"id":' || event_id || '}}' FROM rec

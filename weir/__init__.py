@@ -8,6 +8,7 @@ from .functions import *  # noqa: F401,F403
 from .functions import __all__ as _functions
 from .operators.batches import batch_by_size, batch_by_size_or_age, batch_by_time, batch_key
 from .operators.cache import cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove
+from .operators.fanout import ListedRule, fan_out
 from .operators.project import SEND_ALL, outbound
 from .operators.route import Record, apply_rule, match_counts, route, split_by_destination
 from .operators.unique import (
@@ -31,11 +32,11 @@ from .streaming.state import StreamCache, stream_cache, stream_unique
 from .streaming.store import KeyStore
 
 __all__ = [
-    *_functions, "ENVELOPE", "KeyStore", "OnceSink", "Record", "Rule", "RuleSet", "SEND_ALL", "StreamCache",
+    *_functions, "ENVELOPE", "KeyStore", "ListedRule", "OnceSink", "Record", "Rule", "RuleSet", "SEND_ALL", "StreamCache",
     "append_records", "apply_rule", "as_envelope", "batch_by_size",
     "batch_by_size_or_age",
     "batch_by_time", "batch_key", "cache_asof", "cache_check", "cache_clear", "cache_fetch", "cache_put",
-    "cache_remove", "call", "commit_progress", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope",
+    "cache_remove", "call", "commit_progress", "deaggregate", "decode_snappy", "drop_empty", "emit_envelope", "fan_out",
     "from_position", "invalid_records", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",
     "read_batches", "read_once", "read_progress", "read_records", "read_shards", "read_rulesets", "register_function", "register_sink", "register_source", "route",
     "ruleset_table", "run_router", "seen_add", "seen_clear", "seen_count", "seen_lookup", "seen_remove",

@@ -22,7 +22,7 @@ def _exact_number(x) -> Column:
     return x.exact_number if isinstance(x, Json) else json_number(as_text(x))
 
 
-def _number_literal(x) -> float | None:
+def exact_literal(x) -> float | None:
     """The literal as a number if it is one and a double holds it exactly."""
     if isinstance(x, bool):
         return None
@@ -40,7 +40,7 @@ def eq(left, right) -> Column:
         if right is None or right == "null":
             return text.isNull()
         same = text.eqNullSafe(as_text(right))
-        value = _number_literal(right)
+        value = exact_literal(right)
         if value is None or math.isnan(value):
             return same
         return same | F.coalesce(_exact_number(left) == F.lit(value), F.lit(False))
