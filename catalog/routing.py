@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from weir import (
-    SEND_ALL, ListedRule, Rule, RuleSet, all_of, any_of, apply_rule, eq, fan_out, ge, gt, lt, match_counts, ne, publish, read_records, route,
-    ruleset_table, split_by_destination, sprintf, work_folder, write_batches, read_batches, run_router,
+    SEND_ALL, ListedRule, Rule, RuleSet, all_of, any_of, apply_rule, eq, fan_out, ge, gt, join_, lt, match_counts, ne, publish, read_records, route,
+    ruleset_table, split_by_destination, split_errors, sprintf, work_folder, write_batches, read_batches, run_router,
 )
 
 from .base import REC, event_stream, query, records, table
@@ -103,6 +103,27 @@ def _(spark, d):
     return fan_out(records(spark, d), _listed(2000), keep=["event_id"]).select("event_id", "rule", "outbound")
 
 
+@query("route_errors", f"""
+WITH {REC}, kinds AS (SELECT *, CASE WHEN event_id % 7 = 0 THEN 'cut' WHEN event_id % 2 = 0 THEN 'array' ELSE 'text' END AS kind FROM rec)
+SELECT event_id, 'tested' AS rule, 'list: no array' AS error FROM kinds WHERE kind <> 'array'
+UNION ALL SELECT event_id, 'sent', 'list: no array' FROM kinds WHERE kind = 'text' AND k > 50
+UNION ALL SELECT event_id, NULL, 'record: no JSON' FROM kinds WHERE kind = 'cut'
+UNION ALL SELECT event_id, 'tested', NULL FROM kinds WHERE kind = 'array' AND event_type = 'error'
+UNION ALL SELECT event_id, 'sent', NULL FROM kinds WHERE kind = 'array' AND k > 50
+UNION ALL SELECT event_id, 'sound', NULL FROM kinds WHERE kind <> 'cut' AND k > 50""")
+def _(spark, d):
+    cut = F.when(F.col("event_id") % 7 == 0, F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
+    rules = RuleSet([
+        Rule("tested", "debug", when=lambda r: eq(join_("DASH", r.json("list")), sprintf("error-%v-<nil>", r.json("props.k")))),
+        Rule("sent", "debug", when=lambda r: gt(r.json("props.k"), 50), send=lambda r: {"l": join_("DASH", r.json("list"))}),
+        Rule("sound", "debug", when=lambda r: gt(r.json("props.k"), 50)),
+    ])
+    routed = route(records(spark, d).withColumn("record", cut), rules, keep=["event_id"], errors=True)
+    matches, failed = split_errors(routed)
+    return failed.select("event_id", "rule", "error").unionByName(
+        matches.select("event_id", "rule", F.lit(None).cast("string").alias("error")))
+
+
 @query("route_where", f"""
 WITH {ROUTED} SELECT event_id, rule, outbound FROM routed WHERE rule = 'purchases'
 UNION ALL SELECT event_id, 'late', '{{"id":' || event_id || '}}' FROM rec

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from weir import (
     SEND_ALL, Rule, RuleSet, all_of, apply_rule, basename, concat, eq, first_non_null, ge, getdir, gt, join_,
-    load_ruleset, lt, ne, rand_, route, split_by_destination, sprintf, str_, time_,
+    load_ruleset, lt, ne, rand_, route, split_by_destination, split_errors, sprintf, str_, time_,
 )
 
 # Readings of our own making: three of each shape, no two alike.
@@ -245,3 +245,27 @@ def test_records_that_repeat_or_tie_come_out_once(spark):
     assert sorted(r.rule for r in out) == ["all"] * 6 + ["new"] * 3 + ["prior"] * 3
     assert sorted(r.outbound for r in out if r.rule == "new") == [f'{{"part":"{p}"}}' for p in ("gate", "pump", "valve")]
     assert sum('"first":"true"' in r.outbound for r in out) == 3
+
+
+def test_rules_that_fail_leave_the_record_and_the_reason(spark):
+    rows = ['{"crew":["Ida"],"t":"%v/%v"}', '{"crew":"Ida","t":"%v"}', '{"t":"%v%v%v"}', '{"crew":[]', None, "", "3"]
+    df = spark.createDataFrame(list(enumerate(rows)), "i int, record string")
+    rules = RuleSet([
+        Rule("crew", "x", when=lambda r: ne(r.json("t"), None), send=lambda r: {"who": join_("COMMA", r.json("crew"))}),
+        Rule("shown", "x", when=lambda r: eq(sprintf(r.json("t"), 1, 2), "1/2")),
+        Rule("all", "y", send=SEND_ALL),
+        Rule("none", "y", where=F.col("i") < 0, when=lambda r: eq(join_("DOT", r.json("crew")), "")),
+    ])
+    matches, failed = split_errors(route(df, rules, errors=True))
+    short = "t: more placeholders than values, or no template"
+    assert {(r.i, r.rule, r.error) for r in failed.collect()} == {
+        (1, "crew", "crew: no array"), (2, "crew", "crew: no array"), (2, "shown", short),
+        *[(i, "shown", short) for i in (3, 4, 5, 6)], *[(i, None, "record: no JSON") for i in (3, 4, 5)]}
+    assert {r.i: r.record for r in failed.collect()} == {i: rows[i] for i in range(1, 7)}
+    plain = route(df, rules)
+    assert matches.columns == plain.columns and sorted(map(str, matches.collect())) == sorted(map(str, plain.collect()))
+    assert matches.count() == 9 and failed.where("rule = 'crew'").select("destination", "checkpoint").first() == ("x", True)
+    assert route(df.withColumn("error", F.lit(1)), rules).columns[:2] == ["i", "error"]
+    with pytest.raises(ValueError):
+        route(df.withColumn("error", F.lit(1)), rules, errors=True)
+    assert split_errors(route(df.where("false"), rules, errors=True))[1].collect() == []

@@ -6,7 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from weir import Rule, RuleSet, StreamCache, eq, register_sink, route, run_router, stream_cache, stream_unique, unique_flag
+from weir import Rule, RuleSet, StreamCache, eq, join_, register_sink, route, run_router, stream_cache, stream_unique, unique_flag
 from weir.operators import metrics, progress
 
 SCHEMA = "i long, u string, ts timestamp, record string"
@@ -62,6 +62,30 @@ def test_failure_of_a_rule_without_checkpoint_is_passed_over(spark, tmp_path):
     run_router(stream(spark, folder), RuleSet([Rule("r", "broken", checkpoint=False)]), str(tmp_path / "p")).awaitTermination()
 
 
+def test_errors_are_kept_once_when_a_micro_batch_repeats(spark, tmp_path):
+    folder, where, errors = str(tmp_path / "in"), str(tmp_path / "p"), str(tmp_path / "errors")
+    got, state = {}, {"fail": True}
+
+    def keep(matches, batch_id, params):
+        if state["fail"] and batch_id == 1:
+            raise OSError("sink is down")
+        got[batch_id] = sorted(json.loads(r.outbound)["i"] for r in matches.collect())
+
+    register_sink("sound", keep)
+    rules = RuleSet([Rule("joined", "sound", when=lambda r: eq(r.json("odd"), 1), send=lambda r: {"x": join_("DOT", r.json("i"))}),
+                     Rule("all", "sound", send=lambda r: {"i": r.json("i")})])
+    for part in (range(0, 6), range(6, 12)):
+        add(spark, folder, part)
+    with pytest.raises(StreamingQueryException):
+        run_router(stream(spark, folder), rules, where, errors=errors).awaitTermination()
+    state["fail"] = False
+    run_router(stream(spark, folder), rules, where, errors=errors).awaitTermination()
+    rows = spark.read.parquet(f"{errors}/*").collect()
+    assert sorted((r.i, r.rule, r.error, json.loads(r.record)["i"]) for r in rows) == [
+        (i, "joined", "i: no array", i) for i in range(1, 12, 2)]
+    assert got == {0: list(range(6)), 1: list(range(6, 12))}
+
+
 def test_rules_that_keep_state_are_refused_on_streams(spark, tmp_path):
     folder = str(tmp_path / "in")
     add(spark, folder, range(3))

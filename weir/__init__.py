@@ -10,7 +10,7 @@ from .operators.batches import batch_by_size, batch_by_size_or_age, batch_by_tim
 from .operators.cache import cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove
 from .operators.fanout import ListedRule, fan_out
 from .operators.project import SEND_ALL, outbound
-from .operators.route import Record, apply_rule, match_counts, route, split_by_destination
+from .operators.route import Record, apply_rule, match_counts, route, split_by_destination, split_errors
 from .operators.unique import (
     key_hash, seen_add, seen_clear, seen_count, seen_lookup, seen_remove, unique_filter, unique_flag,
 )
@@ -40,7 +40,7 @@ __all__ = [
     "from_position", "invalid_records", "key_hash", "load_ruleset", "local_session", "match_counts", "outbound", "publish",
     "read_batches", "read_once", "read_progress", "read_records", "read_shards", "read_rulesets", "register_function", "register_sink", "register_source", "route",
     "ruleset_table", "run_router", "seen_add", "seen_clear", "seen_count", "seen_lookup", "seen_remove",
-    "sequence_key", "shard_stream", "source", "split_by_destination", "stream_cache", "stream_unique", "tail_positions",
+    "sequence_key", "shard_stream", "source", "split_by_destination", "split_errors", "stream_cache", "stream_unique", "tail_positions",
     "tune", "unique_filter", "unique_flag", "work_folder", "write_batches",
     "write_once",
 ]

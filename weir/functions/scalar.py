@@ -69,7 +69,7 @@ def _sprintf_by_row(template, xs) -> Column:
     wanted = F.size(pieces) - 1
     enough = wanted.between(0, len(xs))
     if isinstance(template, Json):
-        template.require(enough)
+        template.require(enough, "more placeholders than values, or no template")
     shown = F.array(*[_shown(x) for x in xs]) if xs else F.array().cast("array<string>")
     filled = F.zip_with(pieces, F.slice(shown, F.lit(1), F.when(enough, wanted).otherwise(0)),
                         lambda piece, x: F.concat(F.replace(piece, F.lit(aside), F.lit("%")), F.coalesce(x, F.lit(""))))
@@ -109,7 +109,7 @@ def join_(separator: str, array) -> Column:
     """
     sep = SEPARATORS.get(separator.upper(), "")
     if isinstance(array, Json):
-        array.require(array.array.isNotNull())
+        array.require(array.array.isNotNull(), "no array")
         elements = array.array
     else:
         elements = array.cast("array<string>")

@@ -84,7 +84,7 @@ class Json:
     """A JSON value: ``source`` is a VARIANT column, ``path`` a place in it."""
 
     def __init__(self, source: Column, path: str | None = None, *, key: str = "doc",
-                 views: Views | None = None, require: Callable[[Column], None] | None = None):
+                 views: Views | None = None, require: Callable[[Column, str], None] | None = None):
         self.source = source
         self.path = path
         self._spark_path = "$" if path is None else json_path(path)
@@ -134,10 +134,10 @@ class Json:
     def is_text(self) -> Column:
         return F.schema_of_variant(self.value) == "STRING"
 
-    def require(self, condition: Column) -> None:
-        """Drop the row for this rule where ``condition`` does not hold."""
+    def require(self, condition: Column, reason: str) -> None:
+        """Where ``condition`` does not hold the rule fails for the row, for the ``reason``, a few words after the path."""
         if self._require is not None:
-            self._require(condition)
+            self._require(condition, f"{self._key[0] if self.path is None else self.path}: {reason}")
 
 
 def parse_number(text: Column) -> Column:

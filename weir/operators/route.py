@@ -44,7 +44,10 @@ class Record:
         self._state = state
         self._position = position
         self._phase = phase
-        self.guards: list[Column] = []
+        self.guards: list[tuple[Column, str]] = []
+
+    def _guard(self, condition: Column, reason: str) -> None:
+        self.guards.append((F.coalesce(condition, F.lit(False)), reason))
 
     @property
     def text(self) -> Column:
@@ -53,7 +56,7 @@ class Record:
 
     def json(self, path: str) -> Json:
         """The value at a dotted path."""
-        return Json(F.col("__doc"), path, views=self._views, require=self.guards.append)
+        return Json(F.col("__doc"), path, views=self._views, require=self._guard)
 
     def unique(self, *keys, given: Column | None = None) -> Column:
         """``"true"`` the first time the keys occur, else ``"false"``.
@@ -76,7 +79,7 @@ class Record:
             raise ValueError("a cached value cannot depend on the cache")
         writes = self._state.writes.get(alias)
         if not writes:
-            return Json(F.lit(None).cast("variant"), key=f"cache.{alias}", require=self.guards.append)
+            return Json(F.lit(None).cast("variant"), key=f"cache.{alias}", require=self._guard)
         last = self._position if self._phase == "send" else self._position - 1
         found, settled = [], False
         for position, write, always in reversed(writes):
@@ -85,7 +88,7 @@ class Record:
                 settled = always
         if not settled:
             found.append(self._state.ask_prior(alias))
-        return Json(F.coalesce(*found)["v"], key=f"cache.{alias}", require=self.guards.append)
+        return Json(F.coalesce(*found)["v"], key=f"cache.{alias}", require=self._guard)
 
 
 def _both(one: Column | None, other: Column | None) -> Column | None:
@@ -105,6 +108,7 @@ class _Bound:
         self.state = _State(rules)
         self.matches: list[Column] = []
         self.sends: list[Column] = []
+        self.errors: list[Column | None] = []
 
         def seen(i: int, phase: str) -> Record:
             return Record(record, views, self.state, i, phase)
@@ -124,11 +128,17 @@ class _Bound:
             tested, sent = seen(i, "when"), seen(i, "send")
             condition = _both(rule.where, _call(rule.when, tested))
             body = outbound(_call(rule.send, sent), record)
-            match = F.lit(True) if condition is None else condition
-            for guard in [*tested.guards, *sent.guards]:
-                match = match & guard
+            holds = F.lit(True) if condition is None else condition
+            match = reduce(operator.and_, [guard for guard, _ in [*tested.guards, *sent.guards]], holds)
             self.matches.append(match)
             self.sends.append(body)
+            # A test that fails has no outcome, so the rule fails; what is sent is made for matches only.
+            in_scope = F.lit(True) if rule.where is None else rule.where
+            failures = [(in_scope & ~g, reason) for g, reason in tested.guards] + [(holds & ~g, reason) for g, reason in sent.guards]
+            error = None
+            for failed, reason in failures:
+                error = F.when(failed, F.lit(reason)) if error is None else error.when(failed, F.lit(reason))
+            self.errors.append(error)
 
 
 def _wanted(rules: list[Rule]) -> Column:
@@ -195,7 +205,7 @@ def _with_state(df: DataFrame, bound: _Bound, views: Views, record: str, scope,
 
 
 def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequence[str] | None = None,
-          scope: Sequence[str] = (), order: Sequence[Column | str] = (), memory=None) -> DataFrame:
+          scope: Sequence[str] = (), order: Sequence[Column | str] = (), memory=None, errors: bool = False) -> DataFrame:
     """Every record through every rule; one output row per match.
 
     Returns ``keep`` (default: all columns but the record) and ``rule``,
@@ -203,12 +213,16 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
     needed only by rules that keep state: records that tie in ``order`` follow a
     hash of the row; ``scope`` is what the cache is kept per. ``memory`` is the state
     earlier micro-batches left (see :mod:`weir.streaming.memory`).
+
+    With ``errors`` the same pass also yields a row, with the reason in ``error`` and the record in ``outbound``, for every
+    rule that fails for a record, as ``join_`` does over a value that is no array, and for every record that is no JSON or
+    NULL, with a NULL rule; see :func:`split_errors`. Matches are the same either way, and have a NULL ``error``.
     """
     rules = list(ruleset)
     if not rules:
         raise ValueError("a ruleset needs at least one rule")
     keep = [c for c in df.columns if c != record] if keep is None else list(keep)
-    taken = sorted({"rule", "destination", "checkpoint", "outbound"} & set(keep))
+    taken = sorted({"rule", "destination", "checkpoint", "outbound"} & set(keep) | {"error"} & set(keep if errors else ()))
     if taken:
         raise ValueError(f"choose other columns to keep: {taken} are made by the routing")
     views = Views()
@@ -220,18 +234,30 @@ def route(df: DataFrame, ruleset: RuleSet, *, record: str = "record", keep: Sequ
     df = views.project(df.withColumn("__doc", parse(record)))
     # One column per rule below the explode: each is computed only where its
     # predicate holds, and the record is parsed once for all of them.
-    hits = {
-        f"__hit{i}": F.when(match, F.struct(
-            F.lit(rule.name).alias("rule"),
-            F.lit(rule.destination).alias("destination"),
-            F.lit(rule.checkpoint).alias("checkpoint"),
-            body.alias("outbound"),
-        ))
-        for i, (rule, match, body) in enumerate(zip(rules, bound.matches, bound.sends))
-    }
+    def hit(rule: Rule | None, body: Column, error: Column | None = None) -> Column:
+        name, destination, checkpoint = (None, None, None) if rule is None else (rule.name, rule.destination, rule.checkpoint)
+        fields = [F.lit(name).cast("string").alias("rule"), F.lit(destination).cast("string").alias("destination"),
+                  F.lit(checkpoint).cast("boolean").alias("checkpoint"), body.alias("outbound")]
+        if errors:
+            fields.append((F.lit(None) if error is None else error).cast("string").alias("error"))
+        return F.struct(*fields)
+
+    hits = {}
+    for i, (rule, match, body, error) in enumerate(zip(rules, bound.matches, bound.sends, bound.errors)):
+        hits[f"__hit{i}"] = F.when(match, hit(rule, body))
+        if errors and error is not None:
+            hits[f"__hit{i}"] = hits[f"__hit{i}"].when(error.isNotNull(), hit(rule, F.col(record), error))
+    if errors:
+        hits["__hit"] = F.when(F.col("__doc").isNull(), hit(None, F.col(record), F.lit("record: no JSON")))
     df = df.select(*keep, *[c.alias(n) for n, c in hits.items()])
     found = F.array_compact(F.array(*hits))
-    return df.select(*keep, F.explode(found).alias("__hit")).select(*keep, "__hit.*")
+    return df.select(*keep, F.explode(found).alias("__found")).select(*keep, "__found.*")
+
+
+def split_errors(routed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What ``route`` gave with ``errors``, as its matches and as the errors with the ``record`` of each."""
+    failed = F.col("error").isNotNull()
+    return routed.where(~failed).drop("error"), routed.where(failed).withColumnRenamed("outbound", "record")
 
 
 def keeps_state(ruleset: RuleSet, record: str = "record") -> bool:

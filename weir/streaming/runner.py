@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.route import keeps_state, route
+from ..operators.route import keeps_state, route, split_errors
 from ..plans.rules import RuleSet
 from ..sinks.registry import publish
 from .memory import Memory
@@ -18,7 +18,8 @@ _UNSET = object()
 def run_router(stream: DataFrame, ruleset: RuleSet, checkpoint: str, *, record: str = "record",
                keep: Sequence[str] | None = None, scope: Sequence[str] = (),
                order: Sequence[Column | str] = (), remember: int | None | object = _UNSET,
-               every: str | None = None, after: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
+               every: str | None = None, after: Callable[[DataFrame, int], None] | None = None,
+               errors: str | None = None) -> StreamingQuery:
     """Route each micro-batch and publish it; then let the stream move on.
 
     Offsets are committed only after every sink whose rule has the checkpoint
@@ -29,20 +30,36 @@ def run_router(stream: DataFrame, ruleset: RuleSet, checkpoint: str, *, record:
     Rules that keep state need ``order``, and ``remember``: for how many
     micro-batches after its first sight a key is remembered (``None`` for
     ever). It bounds the state and has no default on purpose.
+
+    ``errors`` is a folder for records that rules failed for, as Parquet with the rule, the reason and the record, one
+    folder per micro-batch; a repeated micro-batch overwrites its own. They are written before anything is published.
     """
     stateful = keeps_state(ruleset, record)
     if stateful and (remember is _UNSET or not order):
         raise ValueError("rules that keep state need order and remember")
 
+    def send(routed: DataFrame, batch_id: int) -> None:
+        if errors is None:
+            publish(routed, ruleset, batch_id)
+            return
+        routed = routed.persist()
+        try:
+            matches, failed = split_errors(routed)
+            failed.write.mode("overwrite").parquet(f"{errors}/b{batch_id}")
+            publish(matches, ruleset, batch_id)
+        finally:
+            routed.unpersist()
+
     def handle(batch: DataFrame, batch_id: int) -> None:
         if not stateful:
-            publish(route(batch, ruleset, record=record, keep=keep), ruleset, batch_id)
+            send(route(batch, ruleset, record=record, keep=keep, errors=errors is not None), batch_id)
         else:
             batch = batch.persist()
             try:
                 memory = Memory(batch.sparkSession, f"{checkpoint}/memory", batch_id, remember)
-                routed = route(batch, ruleset, record=record, keep=keep, scope=scope, order=order, memory=memory)
-                publish(routed, ruleset, batch_id)
+                routed = route(batch, ruleset, record=record, keep=keep, scope=scope, order=order, memory=memory,
+                               errors=errors is not None)
+                send(routed, batch_id)
                 memory.save()
             finally:
                 batch.unpersist()
