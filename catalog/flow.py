@@ -12,7 +12,7 @@ from weir import (
     read_records, register_source, route, run_router, shard_stream, source, tail_positions, work_folder, write_once,
 )
 from weir.operators import metrics, progress
-from weir.sources.envelope import AGGREGATED_MAGIC, DIGEST_BYTES
+from weir.sources.aggregated import AGGREGATED_MAGIC, DIGEST_BYTES
 
 from .base import ENV, REC, envelopes, event_stream, events, query
 

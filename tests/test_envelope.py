@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from weir import ENVELOPE, decode_snappy, deaggregate, drop_empty, from_position, tail_positions
 from weir.operators import progress
+from weir.sources import aggregated as split
 
 MAGIC = b"\xf3\x89\x9a\xc2"
 
@@ -121,3 +122,28 @@ def test_progress_life_cycle(spark):
     ends = spark.createDataFrame([("a", "10"), ("b", "6")], "shard_id string, final_sequence string")
     done = progress.finish(state, ends)
     assert [r.shard_id for r in progress.finished_shards(done).collect()] == ["a"]
+
+
+def test_array_steps_agree_with_a_plain_loop(monkeypatch):
+    rng = random.Random(3)
+    bodies = [[rng.randbytes(rng.choice([0, 1, 40, 300])) for _ in range(rng.choice([0, 1, 3, 30]))] for _ in range(600)]
+    values = [aggregated(b) for b in bodies]
+    assert split.payloads(pa.array(values), True).to_pylist() == bodies
+    for i in range(0, 600, 3):
+        broken = bytearray(values[i])
+        broken[rng.randrange(4, len(broken))] = rng.randrange(256)
+        values[i] = bytes(broken[:rng.randrange(4, len(broken))] if i % 2 else broken)
+    # Numbers of ten bytes, unknown wire types, sizes beyond the end, a record without a payload.
+    values += [MAGIC + b + b"\0" * 16 for b in (
+        field(1, b"k") + b"\x10" + b"\xff" * 9 + b"\x01" + field(3, field(3, b"long")), b"\x1b\x00", b"\x1a\xff\xff\xff\xff\xff\xff\xff\xff\x7f",
+        field(3, b"\x08\x01"), b"\x1a", b"\x80" * 30, b"\x09" + b"\0" * 8 + b"\x0d" + b"\0" * 4 + field(3, field(3, b"a") + field(3, b"b")))]
+    values[5::50] = [None] * len(values[5::50])
+    batch = pa.array(values, pa.binary())
+    monkeypatch.setattr(split, "_FEW", 10**9)
+    wanted = split.payloads(batch, False)
+    monkeypatch.setattr(split, "_FEW", 0)
+    assert split.payloads(batch, False).equals(wanted)
+    assert split.payloads(batch.slice(100, 50), False).equals(pa.concat_arrays([wanted.slice(100, 50)]))
+    assert wanted.to_pylist()[-7:] == [[b"long"], None, None, None, None, None, [b"b"]]
+    for empty in ([], [None, None], [MAGIC, None]):
+        assert split.payloads(pa.array(empty, pa.binary()), False).to_pylist() == [None] * len(empty)

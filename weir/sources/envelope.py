@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .aggregated import AGGREGATED_MAGIC, payloads, varint
 
 ENVELOPE = T.StructType([
     T.StructField("shard_id", T.StringType()),
@@ -33,62 +34,15 @@ def as_envelope(df: DataFrame, *, shard: Column | str, sequence: Column | str, k
 
 MODES = ("FAILFAST", "DROPMALFORMED", "PERMISSIVE")
 
-# Fixed values of the aggregated format: leading bytes and digest length.
-AGGREGATED_MAGIC = b"\xf3\x89\x9a\xc2"
-DIGEST_BYTES = 16
-
-
 def _check(mode: str) -> str:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     return mode
 
 
-def _varint(data: bytes, at: int) -> tuple[int, int]:
-    value = shift = 0
-    while True:
-        byte = data[at]
-        at += 1
-        value |= (byte & 0x7F) << shift
-        if byte < 0x80:
-            return value, at
-        shift += 7
-
-
-def _bytes_fields(data: bytes, number: int) -> list[bytes]:
-    """All length-delimited fields with this number of one wire-format message."""
-    found, at = [], 0
-    while at < len(data):
-        tag, at = _varint(data, at)
-        kind = tag & 7
-        if kind == 0:
-            _, at = _varint(data, at)
-            continue
-        if kind == 2:
-            size, at = _varint(data, at)
-        elif kind in (1, 5):
-            size = 8 if kind == 1 else 4
-        else:
-            raise ValueError(f"wire type {kind}")
-        if at + size > len(data):
-            raise ValueError("message ends inside a field")
-        if kind == 2 and tag >> 3 == number:
-            found.append(data[at:at + size])
-        at += size
-    return found
-
-
-def _payloads(data: bytes) -> list[bytes]:
-    """The payloads of one aggregated record (records: field 3, their data: field 3)."""
-    if len(data) < len(AGGREGATED_MAGIC) + DIGEST_BYTES:
-        raise ValueError("aggregated record without digest")
-    body = data[len(AGGREGATED_MAGIC):-DIGEST_BYTES]
-    return [_bytes_fields(record, 3)[-1] for record in _bytes_fields(body, 3)]
-
-
 def _unpack(data: bytes) -> bytes:
     """One snappy block. Its length stands in front, so it is checked before use."""
-    size, _ = _varint(data, 0)
+    size, _ = varint(data, 0, len(data))
     if size > 64 * len(data):
         raise ValueError("declared size is impossible for this input")
     return pa.Codec("snappy").decompress(data, decompressed_size=size, asbytes=True)
@@ -121,7 +75,12 @@ def deaggregate(df: DataFrame, data: str = "data", mode: str = "FAILFAST") -> Da
     kept, the digest is not verified. Only aggregated rows reach Python.
     """
     _check(mode)
-    split = _mapped(_payloads, T.ArrayType(T.BinaryType()), pa.list_(pa.binary()), mode)
+    strict = mode == "FAILFAST"
+
+    @F.arrow_udf(T.ArrayType(T.BinaryType()))
+    def split(values: pa.Array) -> pa.Array:
+        return payloads(values, strict)
+
     packed = F.substring(data, 1, len(AGGREGATED_MAGIC)) == F.lit(AGGREGATED_MAGIC)
     parts = F.when(packed, split(F.when(packed, F.col(data)))).otherwise(F.array(data))
     if mode == "PERMISSIVE":
