@@ -66,7 +66,7 @@ def _(spark, d):
 
 _predicate("pred_eq", lambda r: eq(r.json("event_type"), "purchase"), "event_type = 'purchase'")
 _predicate("pred_eq_number", lambda r: eq(r.json("props.k"), "42"), "k = 42")
-_predicate("pred_eq_number_spelling", lambda r: eq(r.json("props.k"), "42.00"), "k = 42")
+_predicate("pred_eq_number_spelling", lambda r: eq(r.json("props.k"), "26.00"), "k = 26")
 _predicate("pred_eq_null", lambda r: eq(r.json("maybe"), None), "event_id % 5 = 0")
 _predicate("pred_eq_missing", lambda r: eq(r.json("nowhere.at.all"), "null"), "true")
 _predicate("pred_eq_bool", lambda r: eq(r.json("flag"), True), "event_id % 3 = 0")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weir import (
-    SEND_ALL, ListedRule, Rule, RuleSet, all_of, any_of, apply_rule, eq, fan_out, ge, gt, join_, lt, match_counts, ne, publish, read_records, route,
+    SEND_ALL, ListedRule, Rule, RuleSet, all_of, any_of, apply_rule, eq, fan_out, ge, gt, join_, lt, match_counts, ne, publish, read_once, read_records, route,
     ruleset_table, split_by_destination, split_errors, sprintf, work_folder, write_batches, read_batches, run_router,
 )
 
@@ -212,3 +215,17 @@ def _(spark, d):
     run_router(stream, rules, f"{out}/progress").awaitTermination()
     lines = read_batches(spark, f"{out}/high/*").unionByName(read_batches(spark, f"{out}/errors/*"))
     return lines.groupBy(F.col("value").alias("outbound")).agg(F.count("*").alias("sent"))
+
+
+@query("publish_each", f"""
+WITH {ROUTED} SELECT CASE WHEN rule = 'purchases' THEN 'own' ELSE destination END AS folder, event_id, rule, outbound FROM routed""")
+def _(spark, d):
+    # Every rule into the folder of its destination, one rule into its own, all in one pass; the micro-batch is repeated.
+    folder = work_folder(spark, "each")
+    names = {r.name: "own" if r.name == "purchases" else r.destination for r in RULES}
+    rules = RuleSet(Rule(**{**r.__dict__, "destination": "files", "params": {"path": f"{folder}/{names[r.name]}"}}) for r in RULES)
+    routed = route(records(spark, d), rules, keep=["event_id"]).select("event_id", "rule", "outbound")
+    for _again in range(2):
+        publish(routed, rules, 0)
+    parts = [read_once(spark, f"{folder}/{n}", routed.schema).withColumn("folder", F.lit(n)) for n in sorted(set(names.values()))]
+    return reduce(DataFrame.unionByName, parts)

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from weir import (
-    KeyStore, Rule, RuleSet, cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove, eq, key_hash,
-    register_sink, route, run_router, seen_add, seen_clear, seen_count, seen_lookup, seen_remove,
+    KeyStore, Rule, RuleSet, cache_asof, cache_check, cache_clear, cache_fetch, cache_put, cache_remove, eq, gt, key_hash,
+    read_counts, register_sink, route, run_router, seen_add, seen_clear, seen_count, seen_lookup, seen_remove,
     StreamCache, stream_unique, unique_filter,
     unique_flag, work_folder,
 )
@@ -311,3 +312,42 @@ def _(spark, d):
             store.remove(rows.where("event_id % 20 = 18 AND event_type = 'error'").select("user_id").distinct())
         store.save()
     return KeyStore(spark, folder, keys, values, 20).rows()
+
+
+@query("stream_counts", """
+WITH rec AS (
+  SELECT event_id, ts, event_id % 70 = 0 AS cut, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
+         strlen(props) - CASE WHEN event_id % 70 = 0 THEN 1 ELSE 0 END AS size
+  FROM events)
+SELECT event_id % 10 AS batch, count(*) AS records, sum(size)::BIGINT AS bytes, epoch_us(max(ts)) // 1000 AS newest,
+       (count_if(NOT cut AND k > 50) + count(*))::BIGINT AS matches,
+       (coalesce(sum(strlen('{"k":' || k || '}')) FILTER (NOT cut AND k > 50), 0) + 2 * count(*))::BIGINT AS sent_bytes,
+       count_if(cut)::BIGINT AS errors
+FROM rec GROUP BY 1""")
+def _(spark, d):
+    # Ten micro-batches with some records cut off: an error each, and a match of the rule that takes everything. The stream stops at a failing sink and starts again.
+    text = F.when(F.col("event_id") % 70 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
+    rows = events(spark, d).select("event_id", "ts", text.alias("record"))
+    stream, folder = _in_ten_turns(spark, rows, F.pmod("event_id", F.lit(10)), "counts")
+    down = [4]
+
+    def sink(matches, batch_id, params):
+        if down and batch_id == down[0]:
+            down.clear()
+            raise OSError("down")
+
+    register_sink("counted", sink)
+    rules = RuleSet([
+        Rule("high", "files", when=lambda r: gt(r.json("k"), 50), send=lambda r: {"k": r.json("k")},
+             params={"path": f"{folder}/high"}),
+        Rule("all", "counted"),
+    ])
+    for _again in range(2):
+        running = run_router(stream, rules, f"{folder}/progress", keep=["event_id"], errors=f"{folder}/errors",
+                             counts=f"{folder}/counts", ts="ts")
+        try:
+            running.awaitTermination()
+        except StreamingQueryException:
+            pass  # the failed micro-batch is taken again
+    return read_counts(spark, f"{folder}/counts").select(
+        "batch", "records", "bytes", "newest", "matches", "sent_bytes", "errors")
