@@ -14,6 +14,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from string import punctuation
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,9 +31,10 @@ class WordEncoder:
     """Ids of texts as little-endian bytes, word by word, each word by the tokenizer once.
 
     The tokenizer drops white space and no token spans it, so the ids of a text are those of its words in turn. It lowers
-    letters, and a comma or full stop after letters is a token of its own; so such spellings of a word share one entry,
-    unless the text may hold a special token, which is looked for before that, or letters beyond Latin-1. A word of small
-    Latin-1 letters is left as it is by all that comes before the tokenizer's model, so the model alone takes it.
+    letters, so the spellings of a word in texts of Latin-1 characters share one entry, unless the text may hold a special
+    token, which is looked for before that. Marks after letters are a piece of their own there, whatever they are: a word of
+    Latin-1 letters and ASCII marks behind them has the ids of the letters, then of the marks. Small Latin-1 letters are left
+    as they are by all that comes before the tokenizer's model, so the model alone takes them.
     """
 
     def __init__(self, path: str):
@@ -44,32 +46,34 @@ class WordEncoder:
 
     def _words(self, text: str) -> list[str]:
         words = text.replace("\n", " ")
-        if "<|" in text or not _is_latin(text):
-            return words.split(" ")
-        out: list[str] = []
-        for word in words.lower().split(" "):
-            if word[-1:] in (",", ".") and word[:-1].isalpha():
-                out += word[:-1], word[-1]
-            else:
-                out.append(word)
-        return out
+        return (words if "<|" in text or not _is_latin(text) else words.lower()).split(" ")
 
     def _learn(self, words: list[str]) -> None:
         import numpy as np
 
-        rest, tokenize, spelling = [], self.tokenizer.model.tokenize, self.spelling
+        known, rest, tailed, tokenize, spelling = self.known, [], [], self.tokenizer.model.tokenize, self.spelling
         for word in words:
-            if word.isalpha() and word.islower() and _is_latin(word):
-                self.known[word] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(word.translate(spelling))])
-            else:
+            stem = word.lower().rstrip(punctuation)
+            if not (stem.isalpha() and stem.islower() and _is_latin(word)) or "<|" in word:
                 rest.append(word)
+                continue
+            ids = known.get(stem)
+            if ids is None:
+                ids = known[stem] = b"".join([t.id.to_bytes(4, "little") for t in tokenize(stem.translate(spelling))])
+            if len(stem) < len(word):
+                tailed.append((word, ids, word[len(stem):]))
+            else:
+                known[word] = ids
+        rest += {tail for _, _, tail in tailed}.difference(known, rest)
         for i in range(0, len(rest), AT_ONCE):
             part = rest[i : i + AT_ONCE]
             found = self.tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
             data = np.array(found.ids, "<u4").tobytes()
             cuts = (4 * np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(part) + 1))).tolist()
             for word, start, end in zip(part, cuts, cuts[1:], strict=False):
-                self.known[word] = data[start:end]
+                known[word] = data[start:end]
+        for word, ids, tail in tailed:
+            known[word] = ids + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self._words(t) for t in texts]
