@@ -111,7 +111,8 @@ def test_packing(docs, rows, empty):
 
 def test_encoder_is_exact():
     texts = ["a<|endoftext|>b <|ENDOFTEXT|> X", "", "  x y", "ΣΑΣ Σ.", "it's IT'S don't, we'll.", "İstanbul, ﬁn. é, ́.",
-             "tab\tx\r\ny  z", "日本語。テスト 12,345.67, a., b.,", "École ÀÉÎ, ª º µ ÿ Straße."]
+             "tab\tx\r\ny  z", "日本語。テスト 12,345.67, a., b.,", "École ÀÉÎ, ª º µ ÿ Straße.",
+             "one$$$ Two.%%% dogs' 'quoted' end'. it's! x_ _x a|> b<|c> d<| e!?« f´, ...", "$$$ ONE$$$ one,& é&&& É!! Ω!! ñ''"]
     encoder = packing.WordEncoder(TOKENIZER)
     for text, got in zip(texts, encoder.encode(texts), strict=True):
         assert got == np.array(encoder.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
