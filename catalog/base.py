@@ -55,13 +55,13 @@ def _with_k(df: DataFrame) -> DataFrame:
     })
 
 
-def records(spark: SparkSession, sf_dir: str) -> DataFrame:
+def records(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Every event as a JSON record with all the kinds of values rules meet.
 
     ``maybe`` is sometimes JSON null, ``mixed`` a number as text, plain text, a
     boolean or null, ``list`` an array or plain text.
     """
-    df = _with_k(read_records(spark, f"{sf_dir}/events.parquet", partitions=PARTITIONS))
+    df = _with_k(read_records(spark, f"{sf_dir}/events.parquet", partitions=partitions or PARTITIONS))
     turn = F.pmod("event_id", F.lit(4))
     mixed = (
         F.when(turn == 0, F.concat(F.lit(" "), F.col("k").cast("string"), F.lit(" ")).cast("variant"))

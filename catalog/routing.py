@@ -103,7 +103,9 @@ FROM rec JOIN listed ON CASE i % 3 WHEN 0 THEN user_id = i AND value >= i % 50
                                    WHEN 1 THEN (event_type = kind OR k = i % 100) AND value > low
                                    ELSE value >= low AND value < low + 1 AND event_id % 5 <> 0 END""")
 def _(spark, d):
-    return fan_out(records(spark, d), _listed(2000), keep=["event_id"]).select("event_id", "rule", "outbound")
+    # A record costs some dozens of lookups here, and a file of one row group would be one task.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return fan_out(records(spark, d, tasks), _listed(2000), keep=["event_id"]).select("event_id", "rule", "outbound")
 
 
 @query("route_errors", f"""

@@ -1,11 +1,13 @@
 """Listed rules against the same rules evaluated one by one."""
 
 import json
+from collections import Counter
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from catalog import QUERIES
 from weir import SEND_ALL, ListedRule, RuleSet, fan_out, route
 from weir.operators import fanout
 
@@ -73,3 +75,20 @@ def test_plan_does_not_grow_with_the_rules(spark):
         return fan_out(df, rules)._jdf.queryExecution().analyzed().toString().count("\n")
 
     assert plan(10) == plan(1000)
+
+
+def test_rules_that_share_a_value_are_told_apart_by_their_thresholds(spark):
+    rules = [ListedRule(f"r{i}", "debug", [[("a", "==", f"k{i % 3}"), ("b", "==", i % 5)], [("c.d", ">", i)]], {"a": "a"}) for i in range(60)]
+    rules += [ListedRule(f"n{i}", "debug", [[("b", "==", 7), ("a", "==", None)], [("c.d", ">=", i)], [("c.d", "<", i + 2.5)]]) for i in range(30)]
+    # A lookup by the value alone would find twelve or twenty rules, whatever their thresholds.
+    alone = Counter((slot, kind, text, node) for slot, kind, text, node, bound, _, _ in fanout._Index(rules).entries if not bound)
+    assert max(alone.values()) <= fanout.SHARED_RULES
+    records = [{"a": a, "b": b, "c": {"d": d}} for a in ("k0", "k2", None) for b in (0, 3, 7, "7", 7.0, None) for d in (-1, 0, 2.5, 29, "30", "x", None)]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, record string")
+    found = rows_of(fan_out(df, rules))
+    assert len(found) > 400 and found == rows_of(route(df, RuleSet(r.as_rule() for r in rules)))
+
+
+def test_records_of_one_split_are_dealt_out(spark, sf_dir):
+    plan = QUERIES["route_thousands"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert f"Repartition {spark.conf.get('spark.sql.shuffle.partitions')}, true" in plan

@@ -29,11 +29,14 @@ _SPELLED = "is"
 
 _TEST = "struct<slot: int, op: string, text: string, number: double>"
 _VALUES = "array<struct<text: string, exact: double, number: double>>"
-_ENTRY = f"slot int, kind string, text string, node double, at int, before array<{_TEST}>"
+_ENTRY = f"slot int, kind string, text string, node double, bound long, at int, before array<{_TEST}>"
+_KEY = ["slot", "kind", "text", "node", "bound"]
 _LISTED = (f"at int, rule string, destination string, checkpoint boolean, lines array<array<{_TEST}>>, whole boolean, "
            "fields array<struct<name: string, slot: int>>")
 # Up to these bytes, counted on the driver that holds the rules anyway, the index goes to every executor.
 BROADCAST_BYTES = 32 << 20
+# A value that more rules than this ask for is looked up together with their thresholds.
+SHARED_RULES = 4
 
 
 @dataclass(frozen=True)
@@ -78,18 +81,22 @@ class _Index:
         used = Counter((t[0], t[1] == "==") for t in {t for rule in lines for line in rule for t in line})
         chosen = [min([*((line, False) for line in rule), *((band, True) for band in _bands(rule))],
                       key=lambda way: _rank(*way, used), default=(None, False)) for rule in lines]
-        for line, _ in chosen:
-            for slot, op, _, number in line or ():
-                if number is not None and op in ("<", "<=", ">", ">="):
-                    self.cuts.setdefault(slot, []).append(number)
+        bounds = [_bound(rule, *way) for rule, way in zip(lines, chosen)]
+        asked = Counter((t[0], t[2], bound[0][0]) for (line, _), bound in zip(chosen, bounds) if bound for t in line)
+        shared = {(slot, by) for (slot, _, by), n in asked.items() if n > SHARED_RULES}
+        bounds = [bound if bound and any((t[0], bound[0][0]) in shared for t in line) else []
+                  for (line, _), bound in zip(chosen, bounds)]
+        for slot, op, _, number in (t for (line, _), bound in zip(chosen, bounds) for t in [*(line or ()), *bound]):
+            if number is not None and op in ("<", "<=", ">", ">="):
+                self.cuts.setdefault(slot, []).append(number)
         self.cuts = {slot: sorted(set(cuts)) for slot, cuts in self.cuts.items()}
-        for at, (rule, tests, way) in enumerate(zip(rules, lines, chosen)):
+        for at, (rule, tests, way, bound) in enumerate(zip(rules, lines, chosen, bounds)):
             fields = rule.send if isinstance(rule.send, Mapping) else {}
             if not isinstance(rule.send, Mapping) and rule.send is not None and rule.send is not SEND_ALL:
                 raise ValueError(f"rule {rule.name}: send is name → path, SEND_ALL or None")
             self.listed.append((at, rule.name, rule.destination, rule.checkpoint, tests, rule.send is SEND_ALL,
                                 [(n, self.sent.setdefault(fields[n], len(self.sent))) for n in sorted(fields)]))
-            self._enter(at, *way)
+            self._enter(at, *way, bound, shared)
 
     def _line(self, line) -> list[tuple]:
         if not line:
@@ -111,21 +118,25 @@ class _Index:
         # An alternative that never holds adds nothing, unless the line has no other.
         return [t for t in dict.fromkeys(tests) if t[1] in ("==", "!=") or t[3] is not None] or tests[:1]
 
-    def _enter(self, at: int, line, together: bool) -> None:
+    def _enter(self, at: int, line, together: bool, bound: list[tuple], shared: set[tuple[int, int]]) -> None:
         if line is None or any(op == "!=" for _, op, _, _ in line):
-            self.entries.append((-1, "any", "", 0.0, at, []))
+            self.kinds[-1].add("any")
+            self.entries.append((-1, "any", "", 0.0, 0, at, []))
             return
         if together:
             slot = line[0][0]
-            spans = [self._span(slot, op, number) for _, op, _, number in line]
             self.kinds[slot].add("range")
-            for node in self._nodes(slot, max(s[0] for s in spans), min(s[1] for s in spans)):
-                self.entries.append((slot, "range", "", float(node), at, []))
+            for node in self._within(line):
+                self.entries.append((slot, "range", "", float(node), 0, at, []))
             return
         for i, (slot, op, text, number) in enumerate(line):
+            bounded = bool(bound) and (slot, bound[0][0]) in shared
+
             def enter(kind, text="", node=0.0, also=()):
+                kind = f"{kind} {bound[0][0]}" if bounded else kind
                 self.kinds[slot].add(kind)
-                self.entries.append((slot, kind, text, node, at, [*line[:i], *also]))
+                for within in self._within(bound) if bounded else [0]:
+                    self.entries.append((slot, kind, text, node, within, at, [*line[:i], *also]))
 
             if op == "==":
                 enter("absent") if text is None else enter("text", text)
@@ -144,6 +155,11 @@ class _Index:
         at, size = 2 * bisect_left(self.cuts[slot], number) + 1, self.leaves(slot)
         return {">": (at + 1, size), ">=": (at, size), "<": (0, at), "<=": (0, at + 1)}[op]
 
+    def _within(self, tests: list[tuple]) -> list[int]:
+        """The nodes for thresholds of one path that must all hold."""
+        spans = [self._span(slot, op, number) for slot, op, _, number in tests]
+        return self._nodes(tests[0][0], max(s[0] for s in spans), min(s[1] for s in spans))
+
     def _nodes(self, slot: int, low: int, high: int) -> list[int]:
         """The few nodes that together cover these places, none twice."""
         size = self.leaves(slot)
@@ -165,7 +181,7 @@ class _Index:
 
         listed = sum(120 + 4 * (len(r[1]) + len(r[2])) + sum(16 + tests(line) for line in r[4])
                      + sum(40 + 4 * len(f[0]) for f in r[6]) for r in self.listed)
-        return listed + sum(80 + 4 * len(e[2]) + tests(e[5]) for e in self.entries)
+        return listed + sum(88 + 4 * len(e[2]) + tests(e[6]) for e in self.entries)
 
 
 def _bands(lines: list[list[tuple]]) -> list[list[tuple]]:
@@ -177,6 +193,14 @@ def _bands(lines: list[list[tuple]]) -> list[list[tuple]]:
     return [tests for tests in alone.values() if len({op[0] for _, op, _, _ in tests}) == 2]
 
 
+def _bound(lines: list[list[tuple]], line, together: bool) -> list[tuple]:
+    """For a rule looked up by equalities: thresholds of one path that must all hold as well, a band if there is one."""
+    if together or not line or any(op != "==" for _, op, _, _ in line):
+        return []
+    alone = [t for t in lines if len(t) == 1 and t[0][1] not in ("==", "!=") and t[0][3] is not None]
+    return next(iter([*_bands(lines), *alone]), [])
+
+
 def _rank(line: list[tuple], together: bool, used: Counter) -> tuple:
     """Less is better to look a rule up by: equality, then bands, thresholds, absence; paths with many values first."""
     kinds = {"==": 0, "!=": 3}
@@ -197,31 +221,41 @@ def _below(cuts: list[float], value: Column) -> tuple[Column, Column]:
     return below, F.coalesce(F.get(table, below) == value, F.lit(False))
 
 
-def _keys(index: _Index, value) -> tuple[list[Column], list[tuple[str, Column, Column]]]:
-    """All a record looks up: single keys, and per path with thresholds a leaf, by name, with the nodes above it."""
-    def key(slot: int, kind: str, text=None, node=None) -> Column:
+def _keys(index: _Index, value) -> tuple[list[tuple[str, Column]], list[Column]]:
+    """Per path with thresholds a leaf, by name; and all keys a record looks up. One with a null in it finds nothing."""
+    def key(slot: int, kind: str, text=None, node=None, bound=None) -> Column:
         return F.struct(F.lit(slot).alias("slot"), F.lit(kind).alias("kind"),
                         (F.lit("") if text is None else text).alias("text"),
-                        (F.lit(0.0) if node is None else node).cast("double").alias("node"))
-
-    single, ranges = [key(-1, "any")], []
+                        (F.lit(0.0) if node is None else node).cast("double").alias("node"),
+                        (F.lit(0) if bound is None else bound).cast("long").alias("bound"))
+
+    def upward(slot: int) -> list[Column]:
+        return [F.shiftright(f"__leaf{slot}", k) for k in range(index.leaves(slot).bit_length())]
+
+    leaves, keys = [], []
+    climbed = {int(kind.partition(" ")[2] or slot) for slot, kinds in index.kinds.items() for kind in kinds if kind == "range" or " " in kind}
+    for slot in sorted(climbed):
+        number = value(slot)["number"]
+        below, met = _below(index.cuts[slot], number)
+        leaf = F.lit(index.leaves(slot)) + 2 * below + met.cast("int")
+        # A value that is in no order has no leaf.
+        leaves.append((f"__leaf{slot}", F.when(number.isNotNull(), leaf)))
     for slot, kinds in sorted(index.kinds.items()):
-        text, exact, number = (value(slot)[n] for n in ("text", "exact", "number"))
-        if "text" in kinds:
-            single.append(F.when(text.isNotNull(), key(slot, "text", text)))
-        if "absent" in kinds:
-            single.append(F.when(text.isNull(), key(slot, "absent")))
-        if "number" in kinds:
-            # Minus zero is found as zero.
-            single.append(F.when(exact.isNotNull(), key(slot, "number", node=exact + F.lit(0.0))))
-        if "range" in kinds:
-            below, met = _below(index.cuts[slot], number)
-            leaf = F.lit(index.leaves(slot)) + 2 * below + met.cast("int")
-            name = f"__leaf{slot}"
-            steps = range(index.leaves(slot).bit_length())
-            nodes = [key(slot, "range", node=F.shiftright(name, k)) for k in steps]
-            ranges.append((name, F.when(number.isNotNull(), leaf), F.array(*nodes)))
-    return single, ranges
+        for kind in sorted(kinds):
+            what, _, by = kind.partition(" ")
+            parts = {}
+            if what == "range":
+                keys += [key(slot, kind, node=node) for node in upward(slot)]
+                continue
+            if what == "text":
+                parts = {"text": value(slot)["text"]}
+            elif what == "absent":
+                parts = {"text": F.when(value(slot)["text"].isNull(), "")}
+            elif what == "number":
+                # Minus zero is found as zero.
+                parts = {"node": value(slot)["exact"] + F.lit(0.0)}
+            keys += [key(slot, kind, **parts, bound=bound) for bound in (upward(int(by)) if by else [None])]
+    return leaves, keys or [key(-1, "any")]
 
 
 def _holds(test: Column, values: Column) -> Column:
@@ -248,7 +282,8 @@ def fan_out(df: DataFrame, rules: Iterable[ListedRule], *, record: str = "record
     The plan grows with the paths the rules name, not with the rules. A record costs a lookup per path and
     log2(thresholds of the path) more, then the evaluation of the rules found. An equality is found by its text or number, a
     threshold by the nodes of a tree over all thresholds of the path that cover its side, each value lying below one of
-    them at most, so no rule is found twice and nothing has to be made distinct. The index is broadcast while it is below
+    them at most, so no rule is found twice and nothing has to be made distinct. Where many rules ask for one value and have
+    thresholds of another path beside it, they are found by value and node together. The index is broadcast while it is below
     ``BROADCAST_BYTES``, counted beforehand; a larger one is joined by a shuffle. Records that are no JSON have no values:
     rules that test for absence match them. Rows that repeat come out as often. Works on streams.
     """
@@ -280,19 +315,15 @@ def fan_out(df: DataFrame, rules: Iterable[ListedRule], *, record: str = "record
                      *([F.col(record).alias("__text")] if index.whole else []))
     rows = views.project(rows)
     values = [value(path) for path in index.slots]
-    single, ranges = _keys(index, lambda slot: values[slot])
-    rows = rows.withColumns({"__values": F.array(*values) if values else F.array().cast(_VALUES),
-                             **{name: leaf for name, leaf, _ in ranges}})
-    # A value that is in no order has no leaf.
-    upward = [F.when(F.col(name).isNotNull(), nodes) for name, _, nodes in ranges]
-    keys = F.flatten(F.array_compact(F.array(F.array_compact(F.array(*single)), *upward)))
+    leaves, keys = _keys(index, lambda slot: F.get("__values", F.lit(slot)))
+    rows = rows.withColumn("__values", F.array(*values) if values else F.array().cast(_VALUES)).withColumns(dict(leaves))
     carried = [*kept, "__doc", "__values", *(["__text"] if index.whole else [])]
-    rows = rows.select(*carried, F.explode(keys).alias("__key")).select(*carried, "__key.*")
+    rows = rows.select(*carried, F.explode(F.array(*keys)).alias("__key")).select(*carried, "__key.*")
 
     def held(test: Column) -> Column:
         return _holds(test, F.col("__values"))
 
-    found = _where(rows.join(entries, ["slot", "kind", "text", "node"]), ~F.exists("before", held)).select(*carried, "at")
+    found = _where(rows.join(entries, _KEY), ~F.exists("before", held)).select(*carried, "at")
     found = _where(found.join(listed, "at"), F.forall("lines", lambda line: F.exists(line, held)))
     body = F.lit("{}")
     if index.sent:
