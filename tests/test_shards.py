@@ -4,6 +4,8 @@ import datetime as dt
 import json
 import os
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 from weir import append_records, read_once, read_shards, shard_stream
@@ -110,3 +112,26 @@ def test_arguments(spark, tmp_path):
     for bad in ({"start": "AT"}, {"start": "NOW"}, {"positions": {"a": "1"}}, {"records": 5}):
         with pytest.raises(ValueError):
             shard_stream(spark, str(tmp_path), **bad)
+
+
+@pytest.mark.parametrize("groups", [50_000, 7_000])
+def test_a_task_holds_little_of_a_large_segment(tmp_path, groups):
+    n, file = 50_000, f"{tmp_path}/segment.parquet"
+    pq.write_table(pa.table({
+        "shard_id": ["s"] * n, "sequence_number": [str(i) for i in range(n)], "partition_key": ["k"] * n,
+        "arrival_ts": pa.array(range(n), pa.timestamp("us", "UTC")), "data": [b"%d" % i for i in range(n)]}), file, row_group_size=groups)
+    reader = shards.ShardReader({"path": str(tmp_path)})
+    whole = [*reader.read(shards._Part(file, 20_500, 25_000, None, None))]
+    assert [v for b in whole for v in b.column("data").to_pylist()] == [b"%d" % i for i in range(20_500, 45_500)]
+    assert max(map(len, whole)) <= shards.READ_ROWS
+    cut = [*reader.read(shards._Part(file, 20_500, 25_000, {"sequence": "30000", "inclusive": True}, "40000"))]
+    assert [v for b in cut for v in b.column("sequence_number").to_pylist()] == [str(i) for i in range(30_000, 40_001)]
+
+
+def test_only_the_segment_with_the_position_is_looked_through(tmp_path):
+    folder = str(tmp_path)
+    entry = [{"file": f"data/{i}", "shard": "s", "first": str(i), "last": str(i + 9), "at": 0, "rows": 10} for i in range(10, 60, 10)]
+    shards.write_json(f"{folder}/log", "000000000000.json", entry)
+    found = shards.ShardReader({"path": folder}).partitions(
+        {"s": {"sequence": "24", "inclusive": False}}, {"s": {"sequence": "45", "inclusive": False}})
+    assert [(p.file[-2:], p.after and p.after["sequence"], p.upto) for p in found] == [("20", "24", None), ("30", None, None), ("40", None, "45")]

@@ -23,6 +23,7 @@ from .envelope import ENVELOPE, sequence_key
 
 SEGMENT_RECORDS = 100_000
 TASK_RECORDS = 100_000
+READ_ROWS = 10_000
 STARTS = ("TRIM_HORIZON", "LATEST", "AT", "AFTER")
 
 
@@ -129,7 +130,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
 class _Part(InputPartition):
     """Rows of one shard in one file, between two positions."""
 
-    def __init__(self, file: str, at: int, rows: int, after: dict | None, upto: str):
+    def __init__(self, file: str, at: int, rows: int, after: dict | None, upto: str | None):
         self.file, self.at, self.rows, self.after, self.upto = file, at, rows, after, upto
 
 
@@ -183,9 +184,12 @@ class ShardReader(DataSourceStreamReader):
             after, upto = start.get(s["shard"]), end.get(s["shard"])
             if upto is None or _passed(after, s["last"]) or order_of(s["first"]) > order_of(upto["sequence"]):
                 continue
+            # Only a segment that a position lies in is looked through for it.
+            after = after if _passed(after, s["first"]) else None
+            upto = None if _passed(upto, s["last"]) else upto["sequence"]
             for at in range(0, s["rows"], TASK_RECORDS):
                 rows = min(TASK_RECORDS, s["rows"] - at)
-                found.append(_Part(f"{self.folder}/{s['file']}", s["at"] + at, rows, after, upto["sequence"]))
+                found.append(_Part(f"{self.folder}/{s['file']}", s["at"] + at, rows, after, upto))
         return found
 
     def read(self, partition: _Part):
@@ -193,17 +197,26 @@ class ShardReader(DataSourceStreamReader):
         import pyarrow.parquet as pq
 
         store, path = store_of(partition.file)
-        names, at = [*ENVELOPE.names], 0
+        names, at, groups = [*ENVELOPE.names], 0, []
         first, last = partition.at, partition.at + partition.rows
         with store.open_input_file(path) as file:
-            for batch in pq.ParquetFile(file).iter_batches(columns=names):
+            # Whatever the segment's size, a task holds a few pages of each column and a batch.
+            segment, begins = pq.ParquetFile(file, buffer_size=1 << 18), 0
+            for group in range(segment.num_row_groups):
+                ends = begins + segment.metadata.row_group(group).num_rows
+                if begins < last and ends > first:
+                    at = at if groups else begins
+                    groups.append(group)
+                begins = ends
+            for batch in segment.iter_batches(READ_ROWS, row_groups=groups, columns=names, use_threads=False):
                 low, high = max(first - at, 0), min(last - at, len(batch))
                 at += len(batch)
                 if low < high:
-                    part = batch.slice(low, high - low)
-                    keep = [not _passed(partition.after, s) and order_of(s) <= order_of(partition.upto)
-                            for s in part.column("sequence_number").to_pylist()]
-                    part = part.select(names).filter(pa.array(keep))
+                    part = batch.slice(low, high - low).select(names)
+                    if partition.after is not None or partition.upto is not None:
+                        keep = [not _passed(partition.after, s) and (partition.upto is None or order_of(s) <= order_of(partition.upto))
+                                for s in part.column("sequence_number").to_pylist()]
+                        part = part.filter(pa.array(keep, pa.bool_()))
                     # Whatever unit the file has, Spark takes microseconds.
                     time = part.column("arrival_ts").cast(pa.timestamp("us", "UTC"), safe=False)
                     yield pa.RecordBatch.from_arrays([time if n == "arrival_ts" else part.column(n) for n in names], names)
