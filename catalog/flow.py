@@ -13,6 +13,7 @@ from weir import (
 )
 from weir.operators import metrics, progress
 from weir.sources.aggregated import AGGREGATED_MAGIC, DIGEST_BYTES
+from weir.sources.shards import SEGMENT_RECORDS
 
 from .base import ENV, REC, envelopes, event_stream, events, query
 
@@ -326,8 +327,10 @@ def _shard_log(spark, d):
     """The events as a shard log, appended in two parts: before and after the middle of the data."""
     env, folder = envelopes(spark, d), work_folder(spark, "shards")
     early = F.col("arrival_ts") < F.lit(MIDDLE).cast("timestamp")
+    # Some sixty segments, more where they would be larger than a task reads.
+    size = min(max(1, env.count() // 60), SEGMENT_RECORDS)
     for part in (early, ~early):
-        append_records(env.where(part), f"{folder}/log", segment_records=max(1, env.count() // 60))
+        append_records(env.where(part), f"{folder}/log", segment_records=size)
     return folder
 
 
