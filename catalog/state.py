@@ -257,13 +257,14 @@ def _(spark, d):
     return cache_clear(_cached_big(spark, d))
 
 
-def _in_ten_turns(spark, rows, turn, name):
-    """A stream that gives the rows with ``turn`` 0 first, then those with 1, up to 9: ten micro-batches."""
-    folder = work_folder(spark, name)
+def _in_ten_turns(spark, rows, turn, folder):
+    """A stream to which the rows with ``turn`` 0 are appended first, then those with 1, up to 9, as files of many tasks.
+
+    Run to its end after each, it makes ten micro-batches and goes on from its checkpoint nine times.
+    """
     for k in range(10):
-        rows.where(turn == k).coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in")
-    return stream, folder
+        rows.where(turn == k).write.mode("append").parquet(f"{folder}/in")
+        yield spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
 
 
 @query("stream_unique", """
@@ -273,9 +274,10 @@ FROM events""")
 def _(spark, d):
     # Most rows come after later ones of their key: in every micro-batch a tenth of all times.
     rows = events(spark, d).select("event_id", "user_id", "event_type")
-    stream, folder = _in_ten_turns(spark, rows, F.pmod("event_id", F.lit(10)), "unique")
-    stream_unique(stream, ["user_id", "event_type"], ["event_id"], f"{folder}/progress", f"{folder}/out",
-                  remember=None).awaitTermination()
+    folder = work_folder(spark, "unique")
+    for stream in _in_ten_turns(spark, rows, F.pmod("event_id", F.lit(10)), folder):
+        stream_unique(stream, ["user_id", "event_type"], ["event_id"], f"{folder}/progress", f"{folder}/out",
+                      remember=None).awaitTermination()
     return spark.read.parquet(f"{folder}/out").drop("batch")
 
 
@@ -286,9 +288,10 @@ def _(spark, d):
     rows = events(spark, d).select("event_id", "user_id", "value", "ts")
     day = F.dayofmonth("ts") - 1
     turn = F.least(F.floor(day / 3) + F.when(F.pmod("event_id", F.lit(7)) == 0, 1).otherwise(0), F.lit(9))
-    stream, folder = _in_ten_turns(spark, rows, turn, "cache")
+    folder = work_folder(spark, "cache")
     cache = StreamCache("value", ["user_id"], ["event_id"], f"{folder}/progress", into="cached", ts="ts", delay="7 days")
-    cache.start(stream, f"{folder}/out").awaitTermination()
+    for stream in _in_ten_turns(spark, rows, turn, folder):
+        cache.start(stream, f"{folder}/out").awaitTermination()
     cache.flush(spark, rows.schema, f"{folder}/out")
     return spark.read.parquet(f"{folder}/out").select("event_id", "user_id", "cached")
 
@@ -328,7 +331,7 @@ def _(spark, d):
     # Ten micro-batches with some records cut off: an error each, and a match of the rule that takes everything. The stream stops at a failing sink and starts again.
     text = F.when(F.col("event_id") % 70 == 0, F.expr("left(props, length(props) - 1)")).otherwise(F.col("props"))
     rows = events(spark, d).select("event_id", "ts", text.alias("record"))
-    stream, folder = _in_ten_turns(spark, rows, F.pmod("event_id", F.lit(10)), "counts")
+    folder = work_folder(spark, "counts")
     down = [4]
 
     def sink(matches, batch_id, params):
@@ -342,12 +345,15 @@ def _(spark, d):
              params={"path": f"{folder}/high"}),
         Rule("all", "counted"),
     ])
-    for _again in range(2):
-        running = run_router(stream, rules, f"{folder}/progress", keep=["event_id"], errors=f"{folder}/errors",
-                             counts=f"{folder}/counts", ts="ts")
+
+    def run(stream):
+        run_router(stream, rules, f"{folder}/progress", keep=["event_id"], errors=f"{folder}/errors",
+                   counts=f"{folder}/counts", ts="ts").awaitTermination()
+
+    for stream in _in_ten_turns(spark, rows, F.pmod("event_id", F.lit(10)), folder):
         try:
-            running.awaitTermination()
+            run(stream)
         except StreamingQueryException:
-            pass  # the failed micro-batch is taken again
+            run(stream)  # the failed micro-batch is taken again
     return read_counts(spark, f"{folder}/counts").select(
         "batch", "records", "bytes", "newest", "matches", "sent_bytes", "errors")

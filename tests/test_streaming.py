@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from catalog.state import _in_ten_turns
 from weir import Rule, RuleSet, StreamCache, eq, join_, register_sink, route, run_router, stream_cache, stream_unique, unique_flag
 from weir.operators import metrics, progress
 
@@ -261,3 +262,14 @@ def test_listener_counts(spark, tmp_path):
         assert listener.record_count == 5 and listener.checkpoint_count >= 1 and listener.critical_error_count == 0
     finally:
         spark.streams.removeListener(listener)
+
+
+def test_turns_of_a_stream_are_written_by_many_tasks_and_read_as_one_batch_each(spark, tmp_path):
+    rows, seen = spark.range(0, 4000, 1, 4).withColumn("turn", F.col("id") % 10).where("turn <> 7"), []
+    folder, files = str(tmp_path), 0
+    for k, stream in enumerate(_in_ten_turns(spark, rows, F.col("turn"), folder)):
+        files, before = len(list((tmp_path / "in").glob("*.parquet"))), files
+        assert files - before >= (4 if k != 7 else 1)
+        out = stream.writeStream.foreachBatch(lambda b, n: seen.append((n, b.count(), [r[0] for r in b.select("turn").distinct().collect()])))
+        out.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
+    assert seen == [(k, 400 if k != 7 else 0, [k] if k != 7 else []) for k in range(10)]
