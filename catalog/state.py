@@ -260,10 +260,15 @@ def _(spark, d):
 def _in_ten_turns(spark, rows, turn, folder):
     """A stream to which the rows with ``turn`` 0 are appended first, then those with 1, up to 9, as files of many tasks.
 
-    Run to its end after each, it makes ten micro-batches and goes on from its checkpoint nine times.
+    The table is read once and its rows are dealt out, as it may be one row group, which a single task reads; by their hash,
+    as dealing them out in turn would sort them in that task. Run to its end after each, the stream makes ten micro-batches
+    and goes on from its checkpoint nine times.
     """
+    dealt = rows.withColumn("__turn", turn.cast("int")).repartition(spark.sparkContext.defaultParallelism, *rows.columns)
+    dealt.write.partitionBy("__turn").parquet(f"{folder}/turns")
+    turns = spark.read.schema(T.StructType([*rows.schema, T.StructField("__turn", T.IntegerType())])).parquet(f"{folder}/turns")
     for k in range(10):
-        rows.where(turn == k).write.mode("append").parquet(f"{folder}/in")
+        turns.where(F.col("__turn") == k).drop("__turn").write.mode("append").parquet(f"{folder}/in")
         yield spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
 
 

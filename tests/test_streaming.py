@@ -273,3 +273,14 @@ def test_turns_of_a_stream_are_written_by_many_tasks_and_read_as_one_batch_each(
         out = stream.writeStream.foreachBatch(lambda b, n: seen.append((n, b.count(), [r[0] for r in b.select("turn").distinct().collect()])))
         out.option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start().awaitTermination()
     assert seen == [(k, 400 if k != 7 else 0, [k] if k != 7 else []) for k in range(10)]
+
+
+def test_turns_of_a_table_of_one_row_group_are_read_by_many_tasks(spark, tmp_path):
+    spark.range(0, 4000, 1, 1).withColumn("text", F.concat(F.lit("t"), F.col("id"))).write.parquet(str(tmp_path / "table"))
+    rows, seen = spark.read.parquet(str(tmp_path / "table")), []
+    assert rows.rdd.getNumPartitions() == 1
+    for stream in _in_ten_turns(spark, rows, F.col("id") % 11, str(tmp_path)):
+        out = stream.writeStream.foreachBatch(lambda b, n: seen.append((n, b.rdd.getNumPartitions(), sorted(b.collect()))))
+        out.option("checkpointLocation", str(tmp_path / "progress")).trigger(availableNow=True).start().awaitTermination()
+    assert [n for n, _, _ in seen] == list(range(10)) and min(tasks for _, tasks, _ in seen) >= 4
+    assert [got for _, _, got in seen] == [[(i, f"t{i}") for i in range(k, 4000, 11)] for k in range(10)]
